@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters that count as whitespace at the ends of a line
+_SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+
+
 def strip(value: Column) -> Column:
     """Remove leading and trailing whitespace of every kind (``trim`` removes spaces only)."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    return F.regexp_replace(value, f"^{_SPACE}|{_SPACE}$", "")
 
 
 def metric_name(value: Column) -> Column:

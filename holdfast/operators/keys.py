@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column], n: int = 1
+    df: DataFrame,
+    keys: Sequence[str],
+    newest_first: Sequence[Column],
+    n: int = 1,
+    rank: str | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows per key in the given order.
+    """The first ``n`` rows per key in the given order, with their position as ``rank``.
 
     Spark keeps only ``n`` rows per key in each map task before the shuffle (window group
     limit), so a key that holds a large share of all rows costs ``n`` rows per task.
     """
     order = Window.partitionBy(*keys).orderBy(*newest_first)
-    return (
-        df.withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= n)
-        .drop("_rank")
-    )
+    first = df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n)
+    return first.withColumnRenamed("_rank", rank) if rank else first.drop("_rank")
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_column: str) -> DataFrame:

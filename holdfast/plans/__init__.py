@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("valuation",)
+_MODULES = ("valuation", "quality", "controls", "history")
 
 
 def load_all() -> None:

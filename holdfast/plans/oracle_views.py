@@ -244,7 +244,8 @@ VIEWS: dict[str, str] = {
         SELECT doc_name || '#' || (row_number() OVER (PARTITION BY doc_name ORDER BY line_no) - 1)
                    AS chunk_id, doc_name, doc_id, chunk_text
         FROM (SELECT doc_name, doc_id, line_no,
-                     regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS chunk_text
+                     regexp_replace(line, '^[\\s\\x0B\\x1C-\\x1F\\x{85}\\p{Z}]+|[\\s\\x0B\\x1C-\\x1F\\x{85}\\p{Z}]+$',
+                                    '', 'g') AS chunk_text
               FROM (SELECT doc_name, doc_id, unnest(string_split(text, chr(10))) AS line,
                            generate_subscripts(string_split(text, chr(10)), 1) AS line_no
                     FROM doc))

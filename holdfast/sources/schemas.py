@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_TYPES = {
+    "string": StringType(),
+    "double": DoubleType(),
+    "date": DateType(),
+    "timestamp": TimestampType(),
+    "boolean": BooleanType(),
+}
+
+
+def struct_of(columns: str) -> StructType:
+    """``"a string, b double"`` as a schema, without a running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return StructType([StructField(name, _TYPES[kind], True) for name, kind in pairs])
+
 
 # Feed columns, in file order
 SCHEMAS: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl)
-    for name, ddl in {
+    name: struct_of(columns)
+    for name, columns in {
         "portfolio_master": "portfolio_id string, portfolio_name string, manager string, "
         "mandate string, base_currency string",
         "investment_asset_master": "investment_asset_id string, name string, asset_type string, "
@@ -64,7 +87,7 @@ AUDIT_COLUMNS = ("_ingest_ts", "_source_file", "_batch_id")
 RESCUE_COLUMN = "_rescued_data"
 
 # One row per executed check, shared by data-quality and reconciliation controls.
-RESULT_SCHEMA = StructType.fromDDL(
+RESULT_SCHEMA = struct_of(
     "check_timestamp timestamp, check_name string, source_table string, business_date date, "
     "pipeline_run_id string, job_run_id string, metric_value double, threshold double, "
     "passed boolean"
