@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("valuation", "quality", "controls", "history")
+_MODULES = ("valuation", "quality", "controls", "history", "serving", "retrieval", "ingest")
 
 
 def load_all() -> None:
