@@ -68,7 +68,10 @@ def portfolio_value_in_base(
         "investment_asset_id", "currency"
     )
     rate = rates.select(
-        F.col("rate_date").alias("as_of_date"), "currency", money(F.col("rate_to_base")).alias("r")
+        F.col("rate_date").alias("as_of_date"),
+        "currency",
+        # Few integer digits, so that the product keeps all its decimals within 38 digits
+        F.col("rate_to_base").cast("decimal(9,4)").alias("r"),
     )
     by_currency = (
         fact.join(currency, "investment_asset_id")
@@ -108,8 +111,8 @@ SCOPE_COLUMNS = {"SECTOR": "sector", "ISSUER": "issuer_id"}
 def exposure_by_scope(fact: DataFrame) -> DataFrame:
     """Exposure in long form (portfolio, date, scope_type, scope_value, exposure_pct).
 
-    Holdings are first summed by portfolio, date, sector and issuer; only those sums are
-    expanded to the scopes, so the large input is shuffled once, partially aggregated.
+    Each holding is offered to every scope in the map task and partially summed there, so the
+    large input is shuffled once, as sums.
     """
     value = F.col("scope_market_value")
     total = F.sum("scope_market_value").over(
@@ -122,9 +125,7 @@ def exposure_by_scope(fact: DataFrame) -> DataFrame:
         ]
     )
     return (
-        fact.groupBy("portfolio_id", "as_of_date", *SCOPE_COLUMNS.values())
-        .agg(F.sum("market_value").alias("market_value"))
-        .select("portfolio_id", "as_of_date", "market_value", F.explode(scopes).alias("s"))
+        fact.select("portfolio_id", "as_of_date", "market_value", F.explode(scopes).alias("s"))
         .groupBy("portfolio_id", "as_of_date", "s.scope_type", "s.scope_value")
         .agg(F.sum("market_value").alias("scope_market_value"))
         .withColumn("exposure_pct", rounded(ratio(value, total) * 100, 4))

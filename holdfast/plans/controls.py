@@ -166,7 +166,7 @@ def feed_readiness(spark, folder):
 def _balance(landed):
     return (
         _result("bronze_silver_quarantine_balance", "bronze.raw_investment_transactions", "d",
-                "abs(b - s - q)")
+                "abs(coalesce(b, 0) - coalesce(s, 0) - coalesce(q, 0))")
         + f""" FROM (SELECT transaction_date AS d, count(*) AS b FROM ({landed}) GROUP BY 1) b
                FULL JOIN (SELECT transaction_date AS d, count(*) FILTER (dq_reason IS NULL) AS s,
                                  count(*) FILTER (dq_reason IS NOT NULL) AS q
