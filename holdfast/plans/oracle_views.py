@@ -207,7 +207,7 @@ VIEWS: dict[str, str] = {
         FROM (SELECT DISTINCT sku_name, year(usage_date) AS y FROM usg)""",
     "audit": """
         SELECT CAST(ts AS DATE) AS event_date, ts AS event_time, event_id,
-               CASE WHEN event_type = 'click' THEN 'accounts' ELSE 'unityCatalog' END
+               CASE WHEN event_type = 'click' THEN 'accounts' ELSE 'catalog' END
                    AS service_name,
                CASE event_type WHEN 'click' THEN 'userLogin' WHEN 'signup' THEN 'tokenLogin'
                     WHEN 'purchase' THEN 'updateGrants' WHEN 'error' THEN 'changePermission'

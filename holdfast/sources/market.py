@@ -366,7 +366,7 @@ def audit_log(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").cast("date").alias("event_date"),
         F.col("ts").alias("event_time"),
         F.col("event_id"),
-        F.when(kind == "click", "accounts").otherwise("unityCatalog").alias("service_name"),
+        F.when(kind == "click", "accounts").otherwise("catalog").alias("service_name"),
         F.when(kind == "click", "userLogin").when(kind == "signup", "tokenLogin")
         .when(kind == "purchase", "updateGrants").when(kind == "error", "changePermission")
         .otherwise("getTable").alias("action_name"),
