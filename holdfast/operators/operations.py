@@ -178,11 +178,11 @@ def price_usage(usage: DataFrame, prices: DataFrame, since: str, until: str) ->
         .agg(F.sum(money(F.col("usage_quantity"))).alias("quantity"))
         .withColumn("month", F.trunc(F.col("usage_end_time").cast("date"), "month"))
     )
-    # End times may lie after the usage date, so the window's last month is opened by one
+    # An end time may lie after its usage date, so the window is open for one more month
+    window_end = F.add_months(high, 1)
     first = F.trunc(F.greatest(F.col("price_start_time").cast("date"), low), "month")
     last = F.trunc(
-        F.least(F.coalesce(F.col("price_end_time").cast("date"), high), F.add_months(high, 1)),
-        "month",
+        F.least(F.coalesce(F.col("price_end_time").cast("date"), window_end), window_end), "month"
     )
     opened = (
         prices.filter(first <= last)

@@ -76,6 +76,10 @@ def test_price_valid_at_usage_time(spark):
         (TIMESTAMP_NTZ'2024-03-10 12:00:00', NULL, 3.0BD) AS p(a, z, v)""")
     got = operations.price_usage(usage, prices, "2024-01-01", "2024-03-31").select("cost").collect()
     assert [float(r.cost) for r in got] == [6.0]
+    # Usage of the last day that ends after the report window is priced as well
+    late = usage.withColumn("usage_end_time", F.expr("TIMESTAMP_NTZ'2024-04-01 00:00:00'"))
+    got = operations.price_usage(late, prices, "2024-03-01", "2024-03-10").select("cost").collect()
+    assert [float(r.cost) for r in got] == [6.0]
 
 
 def test_row_filter_by_group_and_user(spark):
