@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from holdfast.llm import mixing, tokens
+from holdfast.llm import mixing, quality, tokens
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,46 @@ FROM sized d JOIN s5 s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN taken
 @_query("op8_fair_mix", MIX_SQL)
 def op8_fair_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
+
+
+QUALITY_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+g AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (
+  SELECT r, unnest([i, i + 1, i + 2]) AS p
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM twice GROUP BY r),
+m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l)::BIGINT AS n_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN rep USING (r)),
+b AS (
+  SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+            + 4 * (100 * n_symbols > 20 * n_words)::BIGINT + 8 * (word_chars > 12 * n_words)::BIGINT
+            + 16 * (word_chars < 2 * n_words)::BIGINT
+            + 32 * (100 * n_dup_lines > 50 * n_lines)::BIGINT AS failed_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits,
+       failed_bits % 4 <> 0 AS base_failed, failed_bits = 0 AS kept FROM b
+"""
+
+
+@_query("op5_quality_ledger", QUALITY_SQL)
+def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    noted = quality.ledger(table(spark, folder, "documents"))
+    bits = F.col("_ledger.failed_bits")
+    return noted.select(
+        "doc_id",
+        *[F.col(f"_ledger.{m}") for m in quality.MEASURES if m != "n_lines"],
+        bits,
+        (bits.bitwiseAND(F.lit(quality.BASE)) != 0).alias("base_failed"),
+        quality.passes().alias("kept"),
+    )
