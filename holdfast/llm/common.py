@@ -29,7 +29,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     costs the tasks that ran on it and not the steps before.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

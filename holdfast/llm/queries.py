@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import mixing, quality, tokens
+from holdfast.llm import mixing, neardup, quality, tokens
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,9 @@ def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
         (bits.bitwiseAND(F.lit(quality.BASE)) != 0).alias("base_failed"),
         quality.passes().alias("kept"),
     )
+
+
+@_query("op2_min_max_hash")
+def op2_min_max_hash(spark: SparkSession, folder: str) -> DataFrame:
+    held = neardup.hold(table(spark, folder, "documents").select("doc_id", "text"))
+    return neardup.near_duplicates(held).select("doc_id", "n_shingles", "component_id", "kept")
