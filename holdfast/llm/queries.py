@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import mixing, neardup, quality, tokens
+from holdfast.llm import mixing, neardup, quality, secrets, tokens
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
 def op2_min_max_hash(spark: SparkSession, folder: str) -> DataFrame:
     held = neardup.hold(table(spark, folder, "documents").select("doc_id", "text"))
     return neardup.near_duplicates(held).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("op7_linked_secrets", secrets.scan_sql())
+def op7_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, folder, "documents"))
