@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import mixing, neardup, quality, secrets, tokens
+from holdfast.llm import mixing, neardup, quality, secrets, tokens, warc
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,19 @@ def op2_min_max_hash(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_linked_secrets", secrets.scan_sql())
 def op7_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(table(spark, folder, "documents"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY page_id DESC) AS k,
+             max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND k > 1 THEN last END AS refers_to
+FROM q
+"""
+
+
+@_query("op4_warc_salvage", WARC_SQL)
+def op4_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages")).drop("target")
