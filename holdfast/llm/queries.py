@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import mixing, neardup, quality, secrets, tokens, warc
+from holdfast.llm import mixing, mtree, neardup, quality, secrets, tokens, warc
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,21 @@ FROM q
 @_query("op4_warc_salvage", WARC_SQL)
 def op4_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages")).drop("target")
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
+@_query("op9_mtree_topk", TOP_SQL)
+def op9_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.nearest(table(spark, folder, "embeddings"), 50)
