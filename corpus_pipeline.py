@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-import public_tokenizers
-from holdfast.llm import mixing, tokens
+from holdfast.llm import lines, mixing, neardup, quality, tokens
 from holdfast.llm.common import table, written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the current policy keeps."""
+    return quality.filtered(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that stand elsewhere; one of which nothing remains goes."""
+    cleaned = lines.without_repeats(lines.hold(docs))
+    changed = F.col("_n_removed") > 0
+    rest = cleaned.filter(~changed | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return rest.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return neardup.deduplicated(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the mix's order; one that is taken twice occurs twice."""
     return mixing.mix(docs)
@@ -25,7 +44,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("mixing", mix_sources), ("bpe", encode)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("near-duplicates", near_duplicates),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
 
 # Near-duplicate search and BPE ids are beyond SQL; tests/llm holds the stages against brute force
 ORACLE_SQL = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import mixing, mtree, neardup, quality, secrets, tokens, warc
+from holdfast.llm import lines, mixing, mtree, neardup, quality, secrets, tokens, warc
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,11 @@ WHERE rank <= 5
 @_query("op9_mtree_topk", TOP_SQL)
 def op9_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
     return mtree.nearest(table(spark, folder, "embeddings"), 50)
+
+
+@_query("op6_line_chunks", lines.chunks_sql())
+def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    held = lines.hold(table(spark, folder, "documents").select("doc_id", "text"))
+    return lines.without_repeats(held).select(
+        "doc_id", F.col("_n_chunks").alias("n_chunks"), F.col("_n_removed").alias("n_removed"), "text"
+    )
