@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import lines, mixing, mtree, neardup, quality, secrets, tokens, warc
+from holdfast.llm import lines, mixing, mtree, neardup, pii, quality, secrets, tokens, warc
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,15 @@ def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_repeats(held).select(
         "doc_id", F.col("_n_chunks").alias("n_chunks"), F.col("_n_removed").alias("n_removed"), "text"
     )
+
+
+@_query("op1_contextual_pii")
+def op1_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_spans(table(spark, folder, "documents"))
+    of_kind = lambda i: F.size(F.filter("base", lambda s: s["kind_no"] == i)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *[of_kind(i).alias(f"n_{kind}") for i, kind in enumerate(pii.BASE)],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.sort_array(F.concat("base", "found"))).alias("spans"),
+    )
