@@ -83,11 +83,25 @@ def _base32(hexed: Column) -> Column:
     return F.concat(*[F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), d, F.lit(1)) for d in digits])
 
 
-def write(stored: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE) -> None:
+# An empty gzip member: what the text sink puts after each compressed record. Readers of
+# concatenated members pass over it
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+
+
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        closed = [member(v.as_py().encode() + b"\r\n\r\n") for v in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(closed, pa.binary())], names=["value"])
+
+
+def write(
+    stored: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, gzipped: bool = True
+) -> None:
     """Archives at ``path``, one record per row of :func:`planned`.
 
-    Spark's text sink writes each record and, as line end, the two empty lines that close it;
-    its commit keeps the files of failed attempts out.
+    Spark's text sink writes each record and, as line end, what closes it: an empty gzip
+    member, or in a plain archive the two empty lines. Its commit keeps the files of failed
+    attempts out.
     """
     head = F.concat(
         F.lit(f"HTTP/1.1 200 OK{_CRLF}Content-Type: text/html; charset=utf-8{_CRLF}Content-Length: "),
@@ -115,9 +129,13 @@ def write(stored: DataFrame, path: str, records_per_archive: int = RECORDS_PER_A
         line("Content-Length", F.octet_length("block").cast("string")),
         F.lit(_CRLF), F.col("block"),
     )
+    records = withblock.select(record.alias("value"))
+    if gzipped:
+        records = records.mapInArrow(_compressed, "value binary").select(F.col("value").cast("string"))
     (
-        withblock.select(record.alias("value"))
-        .write.option("lineSep", _CRLF + _CRLF).option("maxRecordsPerFile", records_per_archive)
+        records.write.option("lineSep", EMPTY_MEMBER.decode("latin-1") if gzipped else _CRLF + _CRLF)
+        .option("encoding", "ISO-8859-1" if gzipped else "UTF-8")
+        .option("maxRecordsPerFile", records_per_archive)
         .mode("overwrite").text(path)
     )
 
@@ -205,8 +223,8 @@ def _members(data: bytes) -> Iterator[Record]:
             if not inflate.eof:
                 raise Damaged("gzip member cut short")
             records = list(_plain(raw))
-            if not records or records[0].reason:
-                raise Damaged(records[0].reason if records else "empty gzip member")
+            if records and records[0].reason:
+                raise Damaged(records[0].reason)
         except (Damaged, zlib.error) as error:
             if bad_from is None:
                 bad_from, reason = at, str(error)
@@ -238,7 +256,7 @@ def salvage(data: bytes) -> Iterator[Record]:
 
 def member(record: bytes) -> bytes:
     """One record as a gzip member of its own."""
-    return gzip.compress(record, mtime=0)
+    return gzip.compress(record, compresslevel=6, mtime=0)
 
 
 def _http_payload(block: bytes) -> bytes:
