@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import lines, mixing, mtree, neardup, pii, quality, secrets, tokens, warc
+from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, secrets, tokens, warc
 from holdfast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,8 @@ def op1_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
         pii.listed(F.sort_array(F.concat("base", "found"))).alias("spans"),
     )
+
+
+@_query("op3_pitman_yor")
+def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return hpylm.scored(table(spark, folder, "documents"))
