@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import numbered, written
+from holdfast.llm.common import body, held, written
 from holdfast.llm.graph import components
 from holdfast.llm.shingles import mix, shingle_sets, stream
 
@@ -17,7 +17,7 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 PERMUTATIONS = 64
 BAND_VALUES = 4
-# While a star round joins at least this share of the rows it asked about, another follows
+# While a turn of stars joins at least this share of the pairs it measured, another follows
 STAR_GAIN = 0.3
 
 _U = np.uint64
@@ -78,92 +78,150 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of both whole sets and of what they share."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", shared.alias("shared"), (F.size("left") + F.size("right")).alias("both"))
-        .filter(F.col("shared") * 100 >= (F.col("both") - F.col("shared")) * PERCENT)
-        .select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size(F.array_intersect("left", "right")).cast("bigint").alias("shared"),
+        F.size("left").cast("bigint").alias("na"), F.size("right").cast("bigint").alias("nb"),
     )
 
 
-def _possible() -> object:
-    """Sizes alone allow the similarity: the smaller set is at least that share of the larger."""
-    return (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT) & (F.col("a") != F.col("b"))
+def _similar(shared: Column, na: Column, nb: Column) -> Column:
+    return shared * 100 >= (na + nb - shared) * PERCENT
 
 
-def _links(nodes: DataFrame, held: DataFrame) -> DataFrame:
-    """(node, component) of every node with a link.
+def _stars(buckets: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The comparisons with the first leads, all links found, and the labels they give.
 
-    Rounds of stars: in each band bucket that still holds several components, every row
-    outside the bucket's first component is compared with one member of it, another member
-    each round. Rows of one group of copies are thereby joined by as many comparisons as
-    rows. When a round joins little, all pairs of rows that share a bucket and are still in
-    different components are compared, so no pair that shares a band goes unseen.
+    The lead of a bucket is its most central member, the one with the largest buckets: in a
+    group of copies that is the copy with the fewest changes. Everyone in the bucket is compared
+    with the lead; members outside the lead's component form a bucket with a lead of its own,
+    again while a turn joins a good part of those it asked about.
     """
-    keys = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
-    buckets = written(keys.join(shared, "key"), "neardup-buckets")
-    wanted = buckets.select("node").distinct()
-    texts = held.select(F.col("row_id").alias("node"), "text").join(wanted, "node", "left_semi")
-    sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>"), "neardup-sets")
-    spark = nodes.sparkSession
-    edges = spark.createDataFrame([], "a bigint, b bigint")
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    turn, asked_before = 0, None
+    first, edges, labels = None, None, None
+    opened = buckets
     while True:
-        labeled = (
-            buckets.join(labels, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
-        )
-        lead = F.struct("component", F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n")
-        mixed = (
-            labeled.groupBy("key")
-            .agg(F.min(lead).alias("lead"), F.max("component").alias("last"))
-            .filter(F.col("lead.component") != F.col("last"))
-            .select("key", F.col("lead.component").alias("first"), F.col("lead.node").alias("b"),
-                    F.col("lead.n").alias("nb"))
-        )
-        rest = labeled.join(mixed, "key")
-        star = (
-            rest.filter(F.col("component") != F.col("first"))
-            .select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
-            .filter(_possible()).select("a", "b").distinct()
+        lead = F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("lead")
+        leads = opened.groupBy("key").agg(lead, F.count("*").alias("rows")).filter("rows > 1").select(
+            "key", (-F.col("lead.minus")).alias("b")
         )
-        pairs = written(star, "neardup-pairs")
-        asked = pairs.count()
-        if asked and (asked_before is None or asked < (1 - STAR_GAIN) * asked_before):
-            edges = edges.unionByName(written(_confirmed(pairs, sets), "neardup-edges"))
-            labels = components(edges)
-            turn, asked_before = turn + 1, asked
-            continue
-        left = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        right = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        pairs = (
-            left.join(right, "key").filter(F.col("ca") < F.col("cb"))
-            .filter(_possible()).select("a", "b").distinct()
+        led = written(opened.join(leads, "key"), "neardup-led")
+        pairs = led.filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+        star = written(_measured(pairs, sets), "neardup-star")
+        linked = star.filter(_similar(F.col("shared"), F.col("na"), F.col("nb"))).select("a", "b")
+        first = star if first is None else first
+        edges = linked if edges is None else edges.unionByName(linked)
+        labels = components(edges)
+        counts = star.agg(
+            F.count("*").alias("asked"),
+            F.count_if(_similar(F.col("shared"), F.col("na"), F.col("nb"))).alias("joined"),
+        ).first()
+        if counts["joined"] < STAR_GAIN * counts["asked"] or not counts["asked"]:
+            return first, edges, labels
+        of_node = labels.select("node", F.col("component").alias("own"))
+        of_lead = labels.select(F.col("node").alias("b"), F.col("component").alias("theirs"))
+        opened = written(
+            led.join(of_node, "node", "left").join(of_lead, "b", "left")
+            .filter(
+                (F.col("node") != F.col("b"))
+                & (F.coalesce("own", "node") != F.coalesce("theirs", "b"))
+            )
+            .select("key", "node", "weight"),
+            "neardup-open",
         )
-        found = written(_confirmed(pairs, sets), "neardup-edges")
-        return labels if found.isEmpty() else components(edges.unionByName(found))
 
 
-def near_duplicates(held: DataFrame) -> DataFrame:
+def _left_over(first: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that may still join two components, of all that share a bucket.
+
+    Both members x, y were measured against their bucket's lead R. What they share within R is at
+    most the smaller of their parts of R; what they share outside R is counted exactly by a
+    join on the shingles that R lacks. So x and y need comparing only if their parts of
+    R alone would suffice, or if they share shingles outside R and both together suffice. All
+    other pairs are excluded for certain without being formed.
+    """
+    own = labels.select(F.col("node").alias("a"), F.col("component").alias("_own"))
+    lead = labels.select(F.col("node").alias("b"), F.col("component").alias("_lead"))
+    members = (
+        first.join(own, "a", "left").join(lead, "b", "left")
+        .withColumn("component", F.coalesce("_own", "a"))
+        .withColumn("outside", F.col("component") != F.coalesce("_lead", "b"))
+    )
+    families = (
+        members.groupBy("b")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("outside").alias("open"),
+             F.min("na").alias("least"))
+        .filter(F.col("open") & (F.col("low") != F.col("high")))
+        .select("b", "least")
+    )
+    members = written(
+        members.join(families, "b").select(
+            "b", F.col("a").alias("node"), F.col("na").alias("n"), "shared", "component", "outside", "least"
+        ),
+        "neardup-members",
+    )
+
+    def both(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+        x = rows.filter("outside").select(*keys, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"), F.col("component").alias("cx"))
+        y = rows.select(*keys, F.col("node").alias("y"), F.col("n").alias("ny"), F.col("shared").alias("sy"), F.col("component").alias("cy"), F.col("outside").alias("oy"))
+        return x, y
+
+    # A pair of two outside members is formed once
+    once = (F.col("cx") != F.col("cy")) & (~F.col("oy") | (F.col("x") < F.col("y")))
+    within = F.least("sx", "sy")
+    enough = members.filter(_similar(F.col("shared"), F.col("n"), F.col("least")))
+    x, y = both(enough, ["b"])
+    by_lead = x.join(y, "b").filter(once & _similar(within, F.col("nx"), F.col("ny"))).select("x", "y")
+    inner = sets.select("node", F.col("shingles").alias("own_set"))
+    outer = sets.select(F.col("node").alias("b"), F.col("shingles").alias("lead_set"))
+    private = members.join(inner, "node").join(outer, "b").select(
+        "b", "node", "n", "shared", "component", "outside",
+        F.explode(F.array_except("own_set", "lead_set")).alias("shingle"),
+    )
+    x, y = both(private, ["b", "shingle"])
+    by_rest = (
+        x.join(y, ["b", "shingle"]).filter(once)
+        .groupBy("b", "x", "y", "nx", "ny", "sx", "sy").agg(F.count("*").alias("apart"))
+        .filter(_similar(within + F.col("apart"), F.col("nx"), F.col("ny")))
+        .select("x", "y")
+    )
+    return by_lead.unionByName(by_rest).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    ).distinct()
+
+
+def _links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, component) of every node with a link; no pair that shares a band is lost."""
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    common = written(keys.join(shared, "key"), "neardup-buckets")
+    weights = common.groupBy("node").agg(F.sum("rows").alias("weight"))
+    buckets = written(common.select("key", "node").join(weights, "node"), "neardup-weighted")
+    texts = rows.select(F.col("row_id").alias("node"), "text").join(weights.select("node"), "node", "left_semi")
+    sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>"), "neardup-sets")
+    first, edges, labels = _stars(buckets, sets)
+    measured = _measured(_left_over(first, labels, sets), sets)
+    found = written(
+        measured.filter(_similar(F.col("shared"), F.col("na"), F.col("nb"))).select("a", "b"), "neardup-edges"
+    )
+    return labels if found.isEmpty() else components(edges.unionByName(found))
+
+
+def near_duplicates(rows: DataFrame) -> DataFrame:
     """Per row: row_id, doc_id, n_shingles, component_id, kept, stays.
 
-    ``held`` (row_id, doc_id, text) is a written table. Rows with equal sets are one node,
+    ``rows`` (row_id, doc_id, text) are a written table. Rows with equal sets are one node,
     so copies cost no comparison. ``component_id`` is the smallest doc_id reachable (null only
     if all are null), ``kept`` tells whether it is the row's own, and ``stays`` marks exactly one
     row of each group, also when a doc_id repeats. A null, empty or blank text has no shingles,
     is linked with nothing and stays. An empty table gives no rows.
     """
     signed = written(
-        held.select("row_id", "doc_id", "text").mapInArrow(
+        rows.select("row_id", "doc_id", "text").mapInArrow(
             _signatures,
-            f"row_id bigint, doc_id {held.schema['doc_id'].dataType.simpleString()}, "
+            f"row_id bigint, doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
             "n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>",
         ),
         "neardup-signatures",
@@ -177,7 +235,7 @@ def near_duplicates(held: DataFrame) -> DataFrame:
         "neardup-nodes",
     )
     placed = nodes.select(*same, "node", "first").join(
-        _links(nodes.select("node", "n_shingles", "bands"), held), "node", "left"
+        _links(nodes.select("node", "n_shingles", "bands"), rows), "node", "left"
     ).withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min("first").alias("head"))
     group = placed.join(heads, "component").select(*same, "head")
@@ -190,13 +248,8 @@ def near_duplicates(held: DataFrame) -> DataFrame:
     )
 
 
-def hold(documents: DataFrame) -> DataFrame:
-    """``documents`` written once with a row number, for :func:`near_duplicates`."""
-    return written(numbered(documents), "neardup-documents")
-
-
 def deduplicated(documents: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, with the columns it came with."""
-    held = hold(documents)
-    stays = near_duplicates(held).filter("stays").select("row_id")
-    return held.join(stays, "row_id", "left_semi").select(*documents.columns)
+    kept = held(documents, "neardup-documents")
+    stays = near_duplicates(body(kept)).filter("stays").select("row_id")
+    return kept.join(stays, "row_id", "left_semi").select("doc.*")
