@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from holdfast.llm import lines, mixing, neardup, quality, tokens
 from holdfast.llm.common import table, written
@@ -17,11 +16,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that stand elsewhere; one of which nothing remains goes."""
-    cleaned = lines.without_repeats(lines.hold(docs))
-    changed = F.col("_n_removed") > 0
-    rest = cleaned.filter(~changed | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
-    n_chars = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rest.withColumn("n_chars", n_chars).select(*docs.columns)
+    return lines.deduplicated(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,3 +36,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
     """``df`` with a distinct number per row; write the result before it is used twice."""
     return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def held(documents: DataFrame, label: str) -> DataFrame:
+    """``documents`` written once as (row_id, doc): a number per row and its columns as a struct.
+
+    Whatever the columns are called, they cannot clash with those that an operator adds;
+    Parquet still reads single fields of the struct.
+    """
+    return written(numbered(documents.select(F.struct("*").alias("doc"))), label)
+
+
+def body(documents: DataFrame) -> DataFrame:
+    """(row_id, doc_id, text) of :func:`held`."""
+    return documents.select("row_id", "doc.doc_id", "doc.text")
+
+
+def filter_once(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on columns that cost much to work out.
+
+    Spark moves a filter below the projection that it reads and then works the columns out
+    once more for every mention. It leaves a projection alone that numbers its rows.
+    """
+    marked = df.withColumn("_once", F.monotonically_increasing_id())
+    return marked.filter(condition & (F.col("_once") >= 0)).drop("_once")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import SPACE, SPACE_CHARS, numbered, written
+from holdfast.llm.common import SPACE, SPACE_CHARS, filter_once, held, written
 
 # A line ends at a line feed or, within a paragraph, at the space after a sentence
 LINE_END = "(?<=\\n)|(?<=[.!?]\\x20)"
@@ -43,10 +43,10 @@ def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     return ended.withColumn("_chunks", F.transform("_ends", chunk)).drop("_lines", "_hashes", "_ends")
 
 
-def _repeats(held: DataFrame) -> DataFrame:
+def _repeats(rows: DataFrame) -> DataFrame:
     """(row_id, places): the chunks to remove of each row that has any."""
     chunks = written(
-        with_chunks(held.select("row_id", "doc_id", "text"))
+        with_chunks(rows)
         .select(
             "row_id", "doc_id",
             F.posexplode(F.transform("_chunks", lambda c: F.struct(F.xxhash64(_bare(c["body"])).alias("h"), c["n_lines"].alias("n")))).alias("place", "c"),
@@ -67,7 +67,7 @@ def _repeats(held: DataFrame) -> DataFrame:
     )
     body = lambda a: F.get(F.col("_chunks"), a["place"])["body"]
     bodies = written(
-        with_chunks(held.select("row_id", "text").join(per_row, "row_id"))
+        with_chunks(rows.select("row_id", "text").join(per_row, "row_id"))
         .select(
             "row_id",
             F.explode(F.transform("at", lambda a: F.struct(a["place"].alias("place"), a["h"].alias("h"), a["is_first"].alias("is_first"), _bare(body(a)).alias("body")))).alias("c"),
@@ -83,10 +83,10 @@ def _repeats(held: DataFrame) -> DataFrame:
     )
 
 
-def without_repeats(held: DataFrame) -> DataFrame:
-    """``held`` with the cleaned ``text`` and the columns ``_n_chunks`` and ``_n_removed``.
+def cleaned(rows: DataFrame, extra: str | None = None) -> DataFrame:
+    """Per row: row_id, doc_id, text without repeats, n_chunks, n_removed (and the column ``extra``).
 
-    ``held`` (row_id, doc_id, text, ...) is a written table. Of a chunk that repeats anywhere,
+    ``rows`` (row_id, doc_id, text) are a written table. Of a chunk that repeats anywhere,
     the first occurrence stays: smallest doc_id (null last), then row and place. Chunks are
     found by hash, counted before the shuffle, and only those of equal hash are fetched and
     compared byte by byte (white space at the end aside), each with the first occurrence, so
@@ -94,20 +94,38 @@ def without_repeats(held: DataFrame) -> DataFrame:
     stays null, an empty one empty. Repeated rows and doc_ids are told apart by row_id. An empty
     table gives no rows.
     """
-    marked = with_chunks(held.join(_repeats(held).withColumnRenamed("row_id", "_row"), F.col("row_id") == F.col("_row"), "left"))
+    repeats = _repeats(rows.select("row_id", "doc_id", "text"))
+    marked = with_chunks(rows.join(repeats, "row_id", "left"))
     removed = F.coalesce("places", F.array().cast("array<int>"))
     every = F.transform("_chunks", lambda c, i: i)
     rest = F.transform(F.array_except(every, removed), lambda i: F.get(F.col("_chunks"), i)["body"])
-    return marked.withColumn("_n_chunks", F.size("_chunks").cast("bigint")).withColumn(
-        "_n_removed", F.size(removed).cast("bigint")
-    ).withColumn("text", F.when(F.size(removed) > 0, F.array_join(rest, "")).otherwise(F.col("text"))).drop(
-        "_chunks", "places", "_row"
+    return marked.select(
+        "row_id", "doc_id",
+        F.when(F.size(removed) > 0, F.array_join(rest, "")).otherwise(F.col("text")).alias("text"),
+        F.size("_chunks").cast("bigint").alias("n_chunks"),
+        F.size(removed).cast("bigint").alias("n_removed"),
+        *([extra] if extra else []),
     )
 
 
-def hold(documents: DataFrame) -> DataFrame:
-    """``documents`` written once with a row number."""
-    return written(numbered(documents), "line-documents")
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """The documents without repeated chunks, with the columns they came with.
+
+    ``n_chars`` is counted anew where a text changed; a document of which nothing but white
+    space remains goes. The cases of :func:`cleaned` hold.
+    """
+    kept = held(documents, "line-documents")
+    out = cleaned(kept.select("row_id", "doc.doc_id", "doc.text", "doc"), "doc")
+    changed = F.col("n_removed") > 0
+    doc = F.when(changed, F.col("doc").withField("text", F.col("text"))).otherwise(F.col("doc"))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        doc = F.when(
+            changed,
+            F.col("doc").withField("text", F.col("text")).withField("n_chars", F.length("text").cast(kind)),
+        ).otherwise(F.col("doc"))
+    rest = filter_once(out, ~changed | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    return rest.select(doc.alias("doc")).select("doc.*")
 
 
 def chunks_sql() -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import numbered, words, written
+from holdfast.llm.common import held, numbered, words, written
 
 # Weights of the sources in code point order, repeating; share of all words
 # that the mix takes; times a document may be taken
@@ -193,17 +193,9 @@ def mix(documents: DataFrame) -> DataFrame:
     The cases of :func:`mix_plan` hold. The documents are written once with a row number,
     because the plan is worked out from their sizes and joined back.
     """
-    held = written(numbered(documents, "_mix_row"), "mix-documents")
+    kept = held(documents, "mix-documents")
     sized = written(
-        held.select(
-            F.col("_mix_row").alias("row_id"), "doc_id", "source", size_of(F.col("text")).alias("size")
-        ),
-        "mix-sizes",
+        kept.select("row_id", "doc.doc_id", "doc.source", size_of(F.col("doc.text")).alias("size")), "mix-sizes"
     )
     _, copies = schedule(sized)
-    placed = copies.select(F.col("row_id").alias("_mix_row"), F.col("finish").alias("_mix_finish"))
-    return (
-        held.join(placed, "_mix_row")
-        .orderBy("_mix_finish", "_mix_row")
-        .select(*documents.columns)
-    )
+    return kept.join(copies.select("row_id", "finish"), "row_id").orderBy("finish", "row_id").select("doc.*")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import words
+from holdfast.llm.common import filter_once, words
 
 # One bit per rule; a rule keeps its bit for ever, so old ledgers stay readable
 RULES = (
@@ -79,10 +79,8 @@ def ledger(df: DataFrame, text: str = "text") -> DataFrame:
         for measure in MEASURES:
             rule = rule.replace(measure, f"_q_measures.{measure}")
         failed = failed.bitwiseOR(F.when(F.expr(rule), F.lit(BIT[name])).otherwise(F.lit(0)))
-    return measured.withColumn(
-        "_ledger",
-        F.struct(*[f"_q_measures.{m}" for m in MEASURES], failed.alias("failed_bits")),
-    ).drop("_q_words", "_q_windows", "_q_lines", "_q_at", "_q_measures")
+    noted = F.struct(*[f"_q_measures.{m}" for m in MEASURES], failed.alias("failed_bits"))
+    return measured.withColumn("_ledger", noted).drop("_q_words", "_q_windows", "_q_lines", "_q_at", "_q_measures")
 
 
 def passes(version: int = CURRENT) -> Column:
@@ -91,8 +89,9 @@ def passes(version: int = CURRENT) -> Column:
 
 
 def filtered(df: DataFrame, version: int = CURRENT, text: str = "text") -> DataFrame:
-    """The rows that the policy keeps, with the columns they came with."""
-    return ledger(df, text).filter(passes(version)).select(*df.columns)
+    """The rows that the policy keeps, with the columns they came with, whatever their names."""
+    packed = df.select(F.struct("*").alias("doc"))
+    return filter_once(ledger(packed, f"doc.{text}"), passes(version)).select("doc.*")
 
 
 def ablations(bits: DataFrame, policies: Mapping[int, int] = POLICIES) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, secrets, tokens, warc
-from holdfast.llm.common import table
+from holdfast.llm.common import body, held, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,8 +127,8 @@ def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("op2_min_max_hash")
 def op2_min_max_hash(spark: SparkSession, folder: str) -> DataFrame:
-    held = neardup.hold(table(spark, folder, "documents").select("doc_id", "text"))
-    return neardup.near_duplicates(held).select("doc_id", "n_shingles", "component_id", "kept")
+    rows = body(held(table(spark, folder, "documents").select("doc_id", "text"), "neardup-documents"))
+    return neardup.near_duplicates(rows).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @_query("op7_linked_secrets", secrets.scan_sql())
@@ -172,10 +172,8 @@ def op9_mtree_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("op6_line_chunks", lines.chunks_sql())
 def op6_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    held = lines.hold(table(spark, folder, "documents").select("doc_id", "text"))
-    return lines.without_repeats(held).select(
-        "doc_id", F.col("_n_chunks").alias("n_chunks"), F.col("_n_removed").alias("n_removed"), "text"
-    )
+    rows = body(held(table(spark, folder, "documents").select("doc_id", "text"), "line-documents"))
+    return lines.cleaned(rows).select("doc_id", "n_chunks", "n_removed", "text")
 
 
 @_query("op1_contextual_pii")

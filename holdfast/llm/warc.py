@@ -171,6 +171,8 @@ def parse_record(data: bytes, at: int) -> Record:
     stop = data.find(b"\r\n\r\n", version.end() - 2)
     if stop < 0:
         raise Damaged("headers without end")
+    if _VERSION_LINE.search(data, version.end(), stop + 2):
+        raise Damaged("headers run into the next record")
     headers: dict[str, str] = {}
     for line in data[version.end() : stop].split(b"\r\n"):
         name, colon, value = line.partition(b":")
