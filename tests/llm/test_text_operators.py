@@ -293,4 +293,4 @@ def test_secret_edges_and_links(edge, make):
     assert {s.split(":")[0] for s in spans[1]} == {"access", "weak_secret", "endpoint"}
     assert spans[2] == spans[3] == set()
     assert {s.split(":")[0] for s in spans[4]} == {"access"}
-    assert "assign:2:18" in spans[5] and "weak_id:29:43" in spans[5]
+    assert spans[5] == {"assign:2:17", "assign:42:60", "weak_id:26:40"}
