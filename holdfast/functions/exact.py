@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY_TYPE = "decimal(18,4)"
+# Quantities, prices and usage as they enter a product or sum: eight decimals
+FACTOR_TYPE = "decimal(18,8)"
 _ROUNDING_TYPE = "decimal(28,10)"
 
 
@@ -17,6 +19,22 @@ def money(value: Column) -> Column:
     return value.cast(MONEY_TYPE)
 
 
+def factor(value: Column) -> Column:
+    """A quantity, price or usage with eight decimals; more integer digits than ten are an error."""
+    return value.cast(FACTOR_TYPE)
+
+
+def cut_factors(df, *columns: str):
+    """Per column, how many rows hold more decimals than :func:`factor` keeps."""
+    exact = "decimal(38,18)"
+    return df.agg(
+        *[
+            F.count_if(F.col(c).cast(exact) != factor(F.col(c)).cast(exact)).alias(c)
+            for c in columns
+        ]
+    )
+
+
 def rounded(value: Column, digits: int) -> Column:
     """Half-up rounding of a double to ``digits`` places, as double."""
     return F.round(value.cast(_ROUNDING_TYPE), digits).cast("double")

@@ -174,8 +174,8 @@ def feed_violations(
     """One row per rule of the feed: how many rows break it.
 
     ``unique`` counts keys that occur more than once; ``freshness`` is 1 when the newest
-    date differs from the run date. Rules on columns the feed does not carry count 0. All
-    row rules of a feed share one pass; uniqueness needs its own grouping by the key.
+    date differs from the run date. A rule on a column that the feed does not carry is not
+    evaluated: its count is NULL, which is not 0 (only drift is 0 then). All row rules of a feed share one pass; uniqueness needs its own grouping by the key.
     ``accepted`` replaces the accepted values of a column, for feeds with their own codes.
     """
     rules = [
@@ -187,7 +187,7 @@ def feed_violations(
     flags: dict[str, str] = {}
     checked = df
     for rule in rules:
-        if rule.kind == "fk":
+        if rule.kind == "fk" and rule.columns[0] in df.columns:
             reference_feed, key, _ = rule.argument
             flags[rule.rule_id] = f"_{rule.rule_id}"
             checked = mark_known(
@@ -199,7 +199,8 @@ def feed_violations(
         if rule.kind == "unique":
             continue
         if not present:
-            counter = F.lit(0).cast("bigint")
+            # Without the rescue column a feed has no rescued value; other rules are unknown
+            counter = F.lit(0 if rule.kind == "no_drift" else None).cast("bigint")
         elif rule.kind == "fresh":
             newest = F.max(rule.columns[0])
             counter = F.when(newest.eqNullSafe(F.lit(run_date)), 0).otherwise(1).cast("bigint")
@@ -211,7 +212,13 @@ def feed_violations(
         [], [r.rule_id for r in row_rules], "rule_id", "violations"
     )
     for rule in rules:
-        if rule.kind == "unique":
+        if rule.kind == "unique" and not set(rule.columns) <= set(df.columns):
+            counted = counted.unionByName(
+                df.agg(F.lit(None).cast("bigint").alias("violations")).select(
+                    F.lit(rule.rule_id).alias("rule_id"), "violations"
+                )
+            )
+        elif rule.kind == "unique":
             repeated = (
                 df.groupBy(*rule.columns)
                 .agg(F.count("*").alias("n"))
@@ -225,9 +232,18 @@ def feed_violations(
     )
 
 
-def contract_violations(feeds: Mapping[str, DataFrame], run_date: str) -> DataFrame:
-    """Violations of all contracted feeds that are present, one row per feed and rule."""
+def contract_violations(
+    feeds: Mapping[str, DataFrame],
+    run_date: str,
+    accepted: Mapping[str, Mapping[str, Sequence[str]]] | None = None,
+) -> DataFrame:
+    """Violations of all contracted feeds that are present, one row per feed and rule.
+
+    ``accepted``: feed -> column -> accepted values, for feeds with their own codes.
+    """
     parts = [
-        feed_violations(name, df, feeds, run_date) for name, df in feeds.items() if name in CONTRACTS
+        feed_violations(name, df, feeds, run_date, (accepted or {}).get(name))
+        for name, df in feeds.items()
+        if name in CONTRACTS
     ]
     return reduce(DataFrame.unionByName, parts)

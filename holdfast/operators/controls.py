@@ -102,17 +102,26 @@ def check_breach_count(breaches: DataFrame, business_date: str, job_run_id: str)
     )
 
 
-def check_assets_missing_price(assets: DataFrame, prices: DataFrame, job_run_id: str) -> DataFrame:
-    """Listed assets without a price, per price date."""
+def check_assets_missing_price(
+    assets: DataFrame, prices: DataFrame, job_run_id: str, expected: DataFrame | None = None
+) -> DataFrame:
+    """Listed assets without a price, per date.
+
+    ``expected`` (price_date) names the dates on which prices are due, such as those of the
+    holdings: a date without any price then has a row, with every listed asset missing.
+    """
     listed = (
         assets.filter(F.col("asset_type").startswith("LISTED"))
         .select("investment_asset_id")
         .distinct()
     )
     total = listed.agg(F.count("*").alias("n"))
+    offered = prices.select("investment_asset_id", "price_date").distinct()
+    if expected is not None:
+        due = expected.select(F.lit(None).cast("string").alias("investment_asset_id"), "price_date")
+        offered = offered.unionByName(due.distinct())
     missing = (
-        prices.select("investment_asset_id", "price_date")
-        .distinct()
+        offered
         .join(listed.withColumn("_listed", F.lit(True)), "investment_asset_id", "left")
         .groupBy("price_date")
         .agg(F.count("_listed").alias("priced"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from holdfast.operators.keys import current_master
 from holdfast.sources import sinks
 
 # Fixed value: end of a version that is still valid
@@ -81,13 +82,15 @@ def scd2_apply(
 
     A new key gets a current version, a tracked change (NULL-safe) closes the current version
     and opens one, no change keeps it. A key absent from the batch keeps its version, or is
-    closed when ``close_missing`` says that the batch is a full snapshot. History rows pass
-    through without a shuffle.
+    closed when ``close_missing`` says that the batch is a full snapshot. ``existing`` is read
+    once: history rows go through the join as rows that match nothing, so the plan grows by one
+    join a batch. A batch that landed twice is reduced to one row per key.
     """
     columns = incoming.columns
-    opened = F.coalesce(F.col("is_current"), F.lit(True))
-    current = existing.filter(opened).select(
+    incoming = current_master(incoming, *keys)
+    current = existing.select(
         *[F.col(k).alias(f"_c_{k}") for k in keys],
+        F.coalesce(F.col("is_current"), F.lit(True)).alias("_open"),
         F.struct(*[F.col(c) for c in (*columns, *VERSION_COLUMNS)]).alias("old"),
     )
     batch = incoming.select(
@@ -99,7 +102,7 @@ def scd2_apply(
             F.lit(True).alias("is_current"),
         ).alias("new"),
     )
-    same_key: Column = F.lit(True)
+    same_key: Column = F.col("_open")
     for key in keys:
         same_key = same_key & (F.col(f"_c_{key}") == F.col(f"_n_{key}"))
     same_values: Column = F.lit(True)
@@ -111,20 +114,18 @@ def scd2_apply(
         F.lit(effective_date).cast("date").alias("effective_to"),
         F.lit(False).alias("is_current"),
     )
-    absent = closed if close_missing else F.col("old")
+    absent = F.when(F.col("_open"), closed).otherwise(F.col("old")) if close_missing else F.col("old")
     versions = (
         F.when(F.col("new").isNull(), F.array(absent))
         .when(F.col("old").isNull(), F.array(F.col("new")))
         .when(same_values, F.array(F.col("old")))
         .otherwise(F.array(closed, F.col("new")))
     )
-    state = (
+    return (
         current.join(batch, same_key, "full_outer")
         .select(F.explode(versions).alias("v"))
         .select("v.*")
     )
-    history = existing.filter(~opened).select(*columns, *VERSION_COLUMNS)
-    return history.unionByName(state)
 
 
 def scd2_from_snapshots(

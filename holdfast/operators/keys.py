@@ -35,11 +35,12 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_column: str) -> Data
     return latest_per_key(df, keys, [F.col(order_column).desc(), *[F.col(c).desc() for c in rest]])
 
 
-def current_master(df: DataFrame, key: str) -> DataFrame:
+def current_master(df: DataFrame, *keys: str) -> DataFrame:
     """One row per key of a master that is landed append-only: the last ingested one."""
     if "_ingest_ts" in df.columns:
-        return dedupe_latest(df, [key], "_ingest_ts")
-    return latest_per_key(df, [key], [F.col(c).desc() for c in df.columns if c != key])
+        return dedupe_latest(df, keys, "_ingest_ts")
+    rest = [F.col(c).desc() for c in df.columns if c not in keys]
+    return latest_per_key(df, keys, rest) if rest else df.distinct()
 
 
 def mark_known(

@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.exact import money, ratio, rounded
+from holdfast.functions.exact import factor, ratio, rounded
 
 # Fixed values
 FAILED_STATES = ("FAILED", "TIMED_OUT", "INTERNAL_ERROR")
@@ -86,7 +86,7 @@ def failed_runs(
 
 
 def _quantity() -> Column:
-    return F.round(F.sum(money(F.col("usage_quantity"))), 2)
+    return F.round(F.sum(factor(F.col("usage_quantity"))), 2)
 
 
 def usage_by(
@@ -109,7 +109,7 @@ def usage_by_workflow(usage: DataFrame, jobs: DataFrame, since: str | None = Non
         _from(usage, "usage_date", since)
         .filter(job_id.isNotNull() | F.col("sku_name").ilike("%JOBS%"))
         .groupBy("workspace_id", job_id.alias("job_id"), "sku_name")
-        .agg(F.sum(money(F.col("usage_quantity"))).alias("q"))
+        .agg(F.sum(factor(F.col("usage_quantity"))).alias("q"))
     )
     return (
         with_workflow(per_job, jobs, F.col("job_id"))
@@ -128,9 +128,9 @@ def usage_week_change(usage: DataFrame, until: str) -> DataFrame:
     weekly = (
         usage.filter(F.col("usage_date") <= F.lit(until).cast("date"))
         .groupBy("sku_name", weeks_ago.cast("int").alias("weeks_ago"))
-        .agg(F.sum(money(F.col("usage_quantity"))).alias("q"))
+        .agg(F.sum(factor(F.col("usage_quantity"))).alias("q"))
     )
-    nothing = F.lit(None).cast("decimal(28,4)")
+    nothing = F.lit(None).cast("decimal(28,8)")
     offered = weekly.select(
         "sku_name",
         F.explode(
@@ -162,28 +162,31 @@ def usage_week_change(usage: DataFrame, until: str) -> DataFrame:
 def price_usage(usage: DataFrame, prices: DataFrame, since: str, until: str) -> DataFrame:
     """Cost of each (job, SKU, end time) at the list price valid at that time.
 
-    A validity range is opened into the months it covers, clipped to the report window, and
-    joined on SKU, unit and month; the exact bounds stay as a filter. A SKU that holds much
+    A validity range is opened into the months it covers, clipped to the months in which the
+    chosen usage ends, and joined on SKU, unit and month; the exact bounds stay as a filter. A SKU that holds much
     of the usage is thereby spread over its months, and no pair of rows outside a month is
     ever formed. Usage is summed per end time before the join.
     """
     low, high = F.lit(since).cast("date"), F.lit(until).cast("date")
+    chosen = usage.filter(
+        F.col("usage_date").between(low, high) & F.col("usage_metadata.job_id").isNotNull()
+    )
     used = (
-        usage.filter(F.col("usage_date").between(low, high))
-        .filter(F.col("usage_metadata.job_id").isNotNull())
+        chosen
         .groupBy(
             "workspace_id", F.col("usage_metadata.job_id").alias("job_id"), "sku_name",
             "usage_unit", "usage_end_time",
         )
-        .agg(F.sum(money(F.col("usage_quantity"))).alias("quantity"))
+        .agg(F.sum(factor(F.col("usage_quantity"))).alias("quantity"))
         .withColumn("month", F.trunc(F.col("usage_end_time").cast("date"), "month"))
     )
-    # An end time may lie after its usage date, so the window is open for one more month
-    window_end = F.add_months(high, 1)
-    first = F.trunc(F.greatest(F.col("price_start_time").cast("date"), low), "month")
-    last = F.trunc(
-        F.least(F.coalesce(F.col("price_end_time").cast("date"), window_end), window_end), "month"
+    # An end time may lie far from its usage date: the months come from the usage itself
+    ends = chosen.agg(
+        F.min("usage_end_time").cast("date").alias("low"), F.max("usage_end_time").cast("date").alias("high")
     )
+    earliest, latest = ends.select("low").scalar(), ends.select("high").scalar()
+    first = F.trunc(F.greatest(F.col("price_start_time").cast("date"), earliest), "month")
+    last = F.trunc(F.least(F.coalesce(F.col("price_end_time").cast("date"), latest), latest), "month")
     opened = (
         prices.filter(first <= last)
         .select(

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.exact import ratio, rounded
@@ -17,6 +17,8 @@ from holdfast.operators.keys import latest_per_key
 SCORE_DIGITS = 9
 # Question vectors held by a task at once; more questions are scored block by block
 QUESTION_BLOCK = 4096
+# Bytes of scores that a task holds at once
+SCORE_BYTES = 32 << 20
 
 
 def approved_documents(documents: DataFrame, register: DataFrame) -> DataFrame:
@@ -74,22 +76,28 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def _block_scorer(question_ids: list, questions: np.ndarray, k: int):
     """Arrow task: the best ``k`` chunks of its partition for each question of the block."""
+    rows = max(1, SCORE_BYTES // (8 * max(1, len(question_ids))))
 
     def best(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(ids) > k:
+            # All that reach the k-th score, ties included; then the exact order among them
+            reach = np.partition(scores, len(scores) - k)[len(scores) - k]
+            near = scores >= reach
+            ids, scores = ids[near], scores[near]
         order = np.lexsort((ids, -scores))[:k]
         return ids[order], scores[order]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [(np.empty(0, np.int64), np.empty(0))] * len(question_ids)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = batch.column("chunk_id").to_numpy(zero_copy_only=False)
-            scores = np.round(_unit(_vectors(batch.column("embedding"))) @ questions.T, SCORE_DIGITS)
-            kept = [
-                best(np.concatenate([old_ids, ids]), np.concatenate([old, scores[:, q]]))
-                for q, (old_ids, old) in enumerate(kept)
-            ]
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                ids = batch.column("chunk_id").to_numpy(zero_copy_only=False)
+                scores = np.round(_unit(_vectors(batch.column("embedding"))) @ questions.T, SCORE_DIGITS)
+                kept = [
+                    best(np.concatenate([old_ids, ids]), np.concatenate([old, scores[:, q]]))
+                    for q, (old_ids, old) in enumerate(kept)
+                ]
         sizes = [len(ids) for ids, _ in kept]
         if sum(sizes):
             yield pa.RecordBatch.from_arrays(
@@ -104,41 +112,49 @@ def _block_scorer(question_ids: list, questions: np.ndarray, k: int):
     return score
 
 
+def _usable() -> Column:
+    """A vector with a direction: not NULL, no NULL inside, not all zero."""
+    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
+    return F.coalesce(norm > 0, F.lit(False))
+
+
+def rejected_vectors(chunks: DataFrame) -> DataFrame:
+    """Chunks that no search can return, counted per reason."""
+    reason = F.when(F.col("embedding").isNull(), "null_vector").otherwise("no_direction")
+    return chunks.filter(~_usable()).groupBy(reason.alias("reason")).agg(F.count("*").alias("chunks"))
+
+
 def vector_topk(
     questions: DataFrame, chunks: DataFrame, k: int = 3, block: int = QUESTION_BLOCK
 ) -> DataFrame:
     """The ``k`` chunks most similar (cosine) to each question vector; exact.
 
-    Chunk vectors stay where they are: each task scores its Arrow batches against a block of
-    question vectors by one matrix product and hands on only its best ``k`` per question, so
-    the shuffle carries k rows per question and task, never all pairs. The question block is
-    the only thing shipped to tasks; its size is bounded, and more questions mean more
-    blocks, each a further scan of the chunks.
+    Chunk vectors stay where they are: each task scores slices of its Arrow batches against a
+    block of question vectors by one matrix product of at most ``SCORE_BYTES`` and hands on
+    only its best ``k`` per question, so the shuffle carries k rows per question and task,
+    never all pairs. A question meets the chunks of its own width; the question block is the
+    only thing shipped to tasks, its size is bounded, and more questions or widths mean more
+    blocks, each a further scan of the chunks. See ``rejected_vectors`` for the rest.
     """
     width = F.size("embedding")
-    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    usable = chunks.filter(F.col("embedding").isNotNull() & (norm > 0)).select(
-        "chunk_id", "embedding"
-    )
-    asked = questions.filter(F.col("embedding").isNotNull() & (norm > 0)).select(
-        F.col("question_id").cast("bigint"), "embedding"
-    )
-    shape = asked.agg(F.count("*").alias("n"), F.max(width).alias("width")).first()
-    blocks = max(1, -(-shape.n // block))
+    usable = chunks.filter(_usable()).select("chunk_id", "embedding")
+    asked = questions.filter(_usable()).select(F.col("question_id").cast("bigint"), "embedding")
     scored = None
-    for number in range(blocks):
-        part = asked if blocks == 1 else asked.filter(
-            F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == number
-        )
-        rows = part.collect()
-        if not rows:
-            continue
-        matrix = _unit(np.asarray([row.embedding for row in rows], dtype=np.float64))
-        scorer = _block_scorer([row.question_id for row in rows], matrix, k)
-        best = usable.filter(width == shape.width).mapInArrow(
-            scorer, "question_id bigint, chunk_id bigint, score double"
-        )
-        scored = best if scored is None else scored.unionByName(best)
+    for shape in asked.groupBy(width.alias("width")).agg(F.count("*").alias("n")).orderBy("width").collect():
+        blocks = max(1, -(-shape.n // block))
+        for number in range(blocks):
+            part = asked.filter(width == shape.width)
+            if blocks > 1:
+                part = part.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == number)
+            rows = part.collect()
+            if not rows:
+                continue
+            matrix = _unit(np.asarray([row.embedding for row in rows], dtype=np.float64))
+            best = usable.filter(width == shape.width).mapInArrow(
+                _block_scorer([row.question_id for row in rows], matrix, k),
+                "question_id bigint, chunk_id bigint, score double",
+            )
+            scored = best if scored is None else scored.unionByName(best)
     if scored is None:
         return usable.select(
             F.lit(0).cast("bigint").alias("question_id"), "chunk_id",

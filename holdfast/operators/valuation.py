@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions.exact import money, ratio, rounded
+from holdfast.functions.exact import factor, money, ratio, rounded
 from holdfast.operators.keys import current_master, latest_per_key
 
 # Fixed values
@@ -34,10 +34,10 @@ def holdings_without_price(holdings: DataFrame, prices: DataFrame) -> DataFrame:
 def daily_holding(holdings: DataFrame, prices: DataFrame, assets: DataFrame) -> DataFrame:
     """Priced holdings with sector, issuer and market value; unmatched holdings drop out.
 
-    Masters are landed append-only, so the asset side is reduced to one row per asset before
-    the join and cannot multiply holdings.
+    Masters are landed append-only, so assets and prices are reduced to one row per key before
+    the join and cannot multiply holdings. Factors keep eight decimals, the product all sixteen.
     """
-    priced = prices.select(
+    priced = current_master(prices, "investment_asset_id", "price_date").select(
         "investment_asset_id", F.col("price_date").alias("as_of_date"), "close_price"
     )
     master = current_master(assets, "investment_asset_id").select(
@@ -46,7 +46,7 @@ def daily_holding(holdings: DataFrame, prices: DataFrame, assets: DataFrame) ->
     return (
         holdings.join(priced, ["investment_asset_id", "as_of_date"])
         .join(master, "investment_asset_id")
-        .withColumn("market_value", money(F.col("quantity")) * money(F.col("close_price")))
+        .withColumn("market_value", factor(F.col("quantity")) * factor(F.col("close_price")))
         .select(
             "portfolio_id", "as_of_date", "investment_asset_id", "quantity", "close_price",
             "sector", "issuer_id", "market_value",
@@ -67,21 +67,21 @@ def portfolio_value_in_base(
     currency = current_master(assets, "investment_asset_id").select(
         "investment_asset_id", "currency"
     )
-    rate = rates.select(
+    rate = current_master(rates, "currency", "rate_date").select(
         F.col("rate_date").alias("as_of_date"),
         "currency",
         # Few integer digits, so that the product keeps all its decimals within 38 digits
-        F.col("rate_to_base").cast("decimal(9,4)").alias("r"),
+        F.col("rate_to_base").cast("decimal(15,8)").alias("r"),
     )
     by_currency = (
         fact.join(currency, "investment_asset_id")
         .groupBy("portfolio_id", "as_of_date", "currency")
-        .agg(F.sum("market_value").cast("decimal(28,4)").alias("v"))
+        .agg(F.sum("market_value").cast("decimal(22,6)").alias("v"))
     )
     return (
         by_currency.join(rate, ["as_of_date", "currency"])
         .groupBy("portfolio_id", "as_of_date")
-        .agg(F.round(F.sum((F.col("v") * F.col("r")).cast("decimal(38,8)")), 2).alias("base_value"))
+        .agg(F.round(F.sum((F.col("v") * F.col("r")).cast("decimal(38,14)")), 2).alias("base_value"))
     )
 
 
@@ -144,7 +144,7 @@ def limit_breach(scoped: DataFrame, limits: DataFrame) -> DataFrame:
     offered = scoped.withColumn(
         "limit_portfolio", F.explode(F.array(F.col("portfolio_id"), F.lit(ALL_PORTFOLIOS)))
     )
-    rules = limits.select(
+    rules = current_master(limits, "limit_id").select(
         F.upper("scope_type").alias("scope_type"),
         "scope_value",
         F.coalesce("portfolio_id", F.lit(ALL_PORTFOLIOS)).alias("limit_portfolio"),
@@ -185,6 +185,7 @@ def daily_pnl(holdings: DataFrame, prices: DataFrame) -> DataFrame:
     number of assets. Each price is offered twice, as the price of its date and as the
     previous price of the next date, which pairs both by one aggregation and no self-join.
     """
+    prices = current_master(prices, "investment_asset_id", "price_date")
     dates = prices.select("price_date").distinct()
     calendar = dates.withColumn(
         "next_date", F.lead("price_date").over(Window.orderBy("price_date"))
@@ -195,13 +196,13 @@ def daily_pnl(holdings: DataFrame, prices: DataFrame) -> DataFrame:
             F.array(
                 F.struct(
                     F.col("price_date").alias("as_of_date"),
-                    money(F.col("close_price")).alias("current"),
-                    F.lit(None).cast("decimal(18,4)").alias("previous"),
+                    factor(F.col("close_price")).alias("current"),
+                    F.lit(None).cast("decimal(18,8)").alias("previous"),
                 ),
                 F.struct(
                     F.col("next_date").alias("as_of_date"),
-                    F.lit(None).cast("decimal(18,4)").alias("current"),
-                    money(F.col("close_price")).alias("previous"),
+                    F.lit(None).cast("decimal(18,8)").alias("current"),
+                    factor(F.col("close_price")).alias("previous"),
                 ),
             )
         ).alias("p"),
@@ -211,12 +212,12 @@ def daily_pnl(holdings: DataFrame, prices: DataFrame) -> DataFrame:
         .agg(F.max("p.current").alias("current"), F.max("p.previous").alias("previous"))
         .filter(F.col("current").isNotNull() & F.col("previous").isNotNull())
         .select("investment_asset_id", "as_of_date", (F.col("current") - F.col("previous"))
-                .cast("decimal(18,4)").alias("move"))
+                .cast("decimal(18,8)").alias("move"))
     )
     return (
         holdings.join(moves, ["investment_asset_id", "as_of_date"])
         .groupBy("portfolio_id", "as_of_date")
-        .agg(F.round(F.sum(money(F.col("quantity")) * F.col("move")), 4).alias("daily_pnl"))
+        .agg(F.round(F.sum(factor(F.col("quantity")) * F.col("move")), 4).alias("daily_pnl"))
     )
 
 

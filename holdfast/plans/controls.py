@@ -68,7 +68,7 @@ def dq_breach_count(spark, folder):
     "assets_missing_price",
     _result("assets_missing_latest_price", "bronze.raw_investment_asset_master", "d.price_date",
             "count(*)")
-    + """ FROM (SELECT DISTINCT price_date FROM price) d
+    + """ FROM (SELECT price_date FROM price UNION SELECT as_of_date FROM holding) d
           JOIN asset a ON a.asset_type LIKE 'LISTED%'
           LEFT JOIN price p ON p.price_date = d.price_date
                            AND p.investment_asset_id = a.investment_asset_id
@@ -76,7 +76,8 @@ def dq_breach_count(spark, folder):
 )
 def assets_missing_price(spark, folder):
     return controls.check_assets_missing_price(
-        market.assets(spark, folder), market.prices(spark, folder), JOB_RUN_ID
+        market.assets(spark, folder), market.prices(spark, folder), JOB_RUN_ID,
+        market.holdings(spark, folder).select(F.col("as_of_date").alias("price_date")),
     )
 
 

@@ -175,20 +175,35 @@ def snapshot_changes(spark, folder):
     )
 
 
-@query("compact")
+# Target file size of the compaction query
+COMPACT_BYTES = 1 << 20
+_CONTENT = """count(*) AS row_count, count(DISTINCT investment_asset_id) AS assets,
+              sum(close_price::DECIMAL(18,4))::DOUBLE AS price_sum"""
+
+
+@query(
+    "compact",
+    f"""SELECT 'before' AS table_version, {_CONTENT}, true AS within_target FROM price
+        UNION ALL SELECT 'after', {_CONTENT}, true FROM price""",
+)
 def compact(spark, folder):
-    """File count and rows before and after rewriting the prices into few sorted files."""
+    """Content before and after rewriting the prices into sorted files of a target size."""
     prices = market.prices(spark, folder)
     root = work_dir(spark, "compact")
     for year in ("A", "B"):
         first_half = F.col("price_date") < "1998-07-01"
         sinks.append(prices.filter(first_half if year == "A" else ~first_half), f"{root}/raw")
-    sinks.compact(spark, f"{root}/raw", f"{root}/compacted", 2, "investment_asset_id")
+    most = 1 + sinks.stored_bytes(spark, f"{root}/raw") // COMPACT_BYTES
+    sinks.compact(spark, f"{root}/raw", f"{root}/compacted", "investment_asset_id", COMPACT_BYTES)
 
     def summary(label, path):
         stored = spark.read.parquet(path)
+        few = F.count_distinct("_metadata.file_path") <= most
         return stored.agg(
-            F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("row_count")
-        ).select(F.lit(label).alias("table_version"), "files", "row_count")
+            F.count("*").alias("row_count"),
+            F.count_distinct("investment_asset_id").alias("assets"),
+            F.sum(F.col("close_price").cast("decimal(18,4)")).cast("double").alias("price_sum"),
+            (few if label == "after" else F.lit(True)).alias("within_target"),
+        ).select(F.lit(label).alias("table_version"), "row_count", "assets", "price_sum", "within_target")
 
     return summary("before", f"{root}/raw").unionByName(summary("after", f"{root}/compacted"))

@@ -346,8 +346,8 @@ _CONTRACT_SQL = "\nUNION ALL ".join(
              "counterparty_id IS NULL"),
         _bad("counterparty_master", "name_present", "QUARANTINE", "counterparty",
              "name IS NULL"),
-        "SELECT 'counterparty_master', 'valid_type', 'WARN', 0",
-        "SELECT 'counterparty_master', 'valid_risk', 'WARN', 0",
+        "SELECT 'counterparty_master', 'valid_type', 'WARN', NULL::BIGINT",
+        "SELECT 'counterparty_master', 'valid_risk', 'WARN', NULL::BIGINT",
         "SELECT 'counterparty_master', 'schema_drift', 'QUARANTINE', 0",
         _dup("currency_rates", "WARN", "fx", "currency, rate_date"),
         _bad("currency_rates", "pk_not_null", "FAIL", "fx",

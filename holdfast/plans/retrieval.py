@@ -97,20 +97,31 @@ def chunk_leaks(spark, folder):
     )
 
 
-_QUESTIONS = """SELECT label AS question_id, arg_min(embedding, vec_id) AS q
+_QUESTIONS = """SELECT label AS question_id, arg_min(embedding, vec_id) AS q, min(vec_id) AS own
                 FROM embeddings GROUP BY label"""
 _TOP = f"""SELECT question_id, chunk_id, score, rn AS rank FROM (
     SELECT question_id, chunk_id, score, row_number() OVER (
              PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rn
     FROM (SELECT q.question_id, e.vec_id AS chunk_id,
                  round(list_cosine_similarity(q.q::DOUBLE[], e.embedding::DOUBLE[]), 9) AS score
-          FROM embeddings e JOIN ({_QUESTIONS}) q ON true)) WHERE rn <= {TOP_K}"""
+          FROM embeddings e JOIN ({_QUESTIONS}) q ON true
+          WHERE e.vec_id IN (SELECT doc_id FROM labels GROUP BY doc_id
+                             HAVING bool_or(quality = 1) AND NOT bool_or(toxic = 1))
+            AND e.vec_id NOT IN (SELECT min(vec_id) FROM embeddings GROUP BY label)))
+    WHERE rn <= {TOP_K}"""
 
 
 def top(spark, folder):
-    return retrieval.vector_topk(
-        market.question_vectors(spark, folder), market.chunk_vectors(spark, folder), TOP_K
+    """Passages per question: from approved documents only, and never a question itself."""
+    questions = market.question_vectors(spark, folder)
+    index = retrieval.approved_documents(
+        market.chunk_vectors(spark, folder).withColumnRenamed("chunk_id", "doc_id"),
+        market.document_register(spark, folder),
+    ).withColumnRenamed("doc_id", "chunk_id")
+    others = index.join(
+        questions.select(F.col("own_chunk_id").alias("chunk_id")), "chunk_id", "left_anti"
     )
+    return retrieval.vector_topk(questions, others, TOP_K)
 
 
 @query(
@@ -124,11 +135,12 @@ def vector_topk(spark, folder):
 
 @query(
     "retrieval_hit_at_k",
-    f"""SELECT t.question_id::INT AS question_id, count(*) AS retrieved,
-               count(*) FILTER (e.label = t.question_id) AS hits,
-               round(CAST(count(*) FILTER (e.label = t.question_id)::DOUBLE / count(*)::DOUBLE
-                          AS DECIMAL(28,10)), 4)::DOUBLE AS hit_rate
-        FROM ({_TOP}) t JOIN embeddings e ON e.vec_id = t.chunk_id GROUP BY 1""",
+    f"""SELECT q.question_id::INT AS question_id, count(e.vec_id) AS retrieved,
+               count(*) FILTER (e.label = q.question_id) AS hits,
+               coalesce(round(CAST(count(*) FILTER (e.label = q.question_id)::DOUBLE
+                          / nullif(count(e.vec_id), 0)::DOUBLE AS DECIMAL(28,10)), 4)::DOUBLE, 0.0) AS hit_rate
+        FROM ({_QUESTIONS}) q LEFT JOIN ({_TOP}) t USING (question_id)
+        LEFT JOIN embeddings e ON e.vec_id = t.chunk_id GROUP BY 1""",
 )
 def retrieval_hit_at_k(spark, folder):
     return retrieval.hit_at_k(
@@ -146,28 +158,39 @@ def retrieval_hit_at_k(spark, folder):
         b AS (SELECT portfolio_id, string_agg(scope_type || ' ' || scope_value || ' breaches '
                      || limit_id, chr(10) ORDER BY limit_id, scope_value) AS txt
               FROM day GROUP BY 1),
-        p AS (SELECT t.question_id, string_agg('[' || d.doc_name || '] ' || d.text, chr(10)
+        p AS (SELECT t.question_id, string_agg('[' || c.doc_name || '] ' || c.chunk_text, chr(10)
                      ORDER BY t.rank) AS txt
-              FROM ({_TOP}) t JOIN doc d ON d.doc_id = t.chunk_id GROUP BY 1)
+              FROM ({_TOP}) t JOIN approved_chunk c ON c.doc_id = t.chunk_id
+                   AND c.chunk_id = c.doc_name || '#0' GROUP BY 1)
         SELECT q.item_id AS question_id, 'PF_' || q.item_id AS portfolio_id,
                '{INSTRUCTION}' || chr(10) || chr(10) || 'BREACH DATA:' || chr(10)
                || coalesce(b.txt, '') || chr(10) || chr(10) || 'POLICY PASSAGES:' || chr(10)
                || coalesce(p.txt, '') || chr(10) || chr(10) || 'QUESTION: ' || q.text AS prompt
-        FROM benchmark q LEFT JOIN b ON b.portfolio_id = 'PF_' || q.item_id
+        FROM (SELECT * FROM benchmark WHERE item_id IN (SELECT label FROM embeddings)) q
+        LEFT JOIN b ON b.portfolio_id = 'PF_' || q.item_id
         LEFT JOIN p ON p.question_id = q.item_id""",
 )
 def prompt_context(spark, folder):
-    """A prompt per benchmark question, about the portfolio of the same number."""
+    """A prompt per benchmark question that has a vector, about the portfolio of the same number.
+
+    Questions and topics share their numbers. A passage is the first chunk of an approved
+    document found for the question.
+    """
     questions = market.table(spark, folder, "benchmark").select(
         F.col("item_id").alias("question_id"),
         F.col("text").alias("question"),
         F.concat(F.lit("PF_"), "item_id").alias("portfolio_id"),
+    ).join(market.question_vectors(spark, folder).select("question_id"), "question_id", "left_semi")
+    allowed = approved(spark, folder)
+    chunks = retrieval.chunk_documents(allowed).filter(
+        F.col("chunk_id") == F.concat("doc_name", F.lit("#0"))
     )
-    documents = market.documents(spark, folder).withColumnRenamed("doc_id", "chunk_id")
+    names = allowed.select(F.col("doc_id").alias("chunk_id"), "doc_name")
     passages = (
         top(spark, folder)
-        .join(documents, "chunk_id")
-        .select("question_id", "rank", "doc_name", F.col("text").alias("chunk_text"))
+        .join(names, "chunk_id")
+        .join(chunks.select("doc_name", "chunk_text"), "doc_name")
+        .select("question_id", "rank", "doc_name", "chunk_text")
     )
     breaches = valuation_plans.breaches(spark, folder)
     newest = breaches.agg(F.max("as_of_date").alias("d")).scalar()

@@ -29,8 +29,9 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables and stream checkpoints.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, one
-    machine) is a folder of our own made.
+    A cluster names it in ``spark.checkpoint.dir``. Only on one machine (a local master) is a
+    folder of our own made where that is unset; elsewhere that is an error, because executors would
+    not see the driver's disk.
     """
     global _local_work_root
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
@@ -38,6 +39,8 @@ def work_root(spark: SparkSession) -> str:
     )
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_work_root is None:
         _local_work_root = tempfile.mkdtemp(prefix="holdfast-")
     return _local_work_root

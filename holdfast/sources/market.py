@@ -416,10 +416,10 @@ def chunk_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def question_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """One question per topic: the vector of the topic's first chunk."""
+    """One question per topic: the vector of the topic's first chunk, ``own_chunk_id``."""
     return (
         table(spark, folder, "embeddings")
         .groupBy("label")
-        .agg(F.min_by("embedding", "vec_id").alias("embedding"))
-        .select(F.col("label").alias("question_id"), "embedding")
+        .agg(F.min_by("embedding", "vec_id").alias("embedding"), F.min("vec_id").alias("own_chunk_id"))
+        .select(F.col("label").alias("question_id"), "embedding", "own_chunk_id")
     )

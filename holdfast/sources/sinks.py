@@ -60,8 +60,26 @@ def replace_slice(df: DataFrame, path: str, column: str, value: str, cluster_by:
     )
 
 
-def compact(spark: SparkSession, path: str, target: str, files: int, cluster_by: str) -> None:
-    """Rewrite a table into fewer files, range-clustered and sorted by a key."""
+def replace_runs(df: DataFrame, path: str, column: str, values: Sequence[str]) -> None:
+    """Replace the slices of the named runs; a run that now has no row has an empty slice."""
+    rows = df.filter(F.col(column).isin(*values))
+    filled = {r[0] for r in rows.select(column).distinct().collect()}
+    replace_partitions(rows, path, [column])
+    for value in sorted(set(values) - filled):
+        replace_slice(rows, path, column, value, next(c for c in df.columns if c != column))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a table's data files."""
+    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+    return files.agg(F.sum("file_size")).first()[0] or 0
+
+
+def compact(
+    spark: SparkSession, path: str, target: str, cluster_by: str, file_bytes: int = 128 << 20
+) -> None:
+    """Rewrite a table into files of about ``file_bytes``, range-clustered and sorted by a key."""
+    files = max(1, -(-stored_bytes(spark, path) // file_bytes))
     (
         spark.read.parquet(path)
         .repartitionByRange(files, cluster_by)

@@ -8,24 +8,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.operators.history import scd2_apply, scd2_initial, upsert
+from holdfast.operators.history import scd2_from_snapshots, upsert
 from holdfast.operators.keys import latest_per_key
 from holdfast.sources.sinks import table_exists
 
 
-def _run(stream: DataFrame, step, root: str, checkpoint: str) -> str:
-    """Drain the stream through ``step(old or None, batch)``; returns the newest version."""
-    newest = {"path": f"{root}/v0"}
+def newest_version(spark: SparkSession, root: str) -> str | None:
+    """The last version folder below ``root``; None when there is none."""
+    number = 0
+    while table_exists(spark, f"{root}/v{number + 1}"):
+        number += 1
+    return f"{root}/v{number}" if number else None
 
+
+def _run(stream: DataFrame, step, root: str, checkpoint: str) -> str | None:
+    """Drain the stream through ``step(old or None, batch)``; returns the newest version.
+
+    Without new files that is the version of an earlier run.
+    """
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         old_path, new_path = f"{root}/v{batch_id}", f"{root}/v{batch_id + 1}"
         old = spark.read.parquet(old_path) if table_exists(spark, old_path) else None
         step(old, batch).write.mode("overwrite").parquet(new_path)
-        newest["path"] = new_path
 
     (
         stream.writeStream.foreachBatch(apply)
@@ -34,7 +42,7 @@ def _run(stream: DataFrame, step, root: str, checkpoint: str) -> str:
         .start()
         .awaitTermination()
     )
-    return newest["path"]
+    return newest_version(stream.sparkSession, root)
 
 
 def scd2_stream(
@@ -44,24 +52,39 @@ def scd2_stream(
     tracked: Sequence[str],
     root: str,
     checkpoint: str,
-) -> str:
-    """Apply arriving full snapshots in date order; a key that a snapshot omits is closed."""
-
-    def step(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        dates = [r[0] for r in batch.select(date_column).distinct().orderBy(date_column).collect()]
-        state = old
-        for date in dates:
-            rows = batch.filter(F.col(date_column) == date).drop(date_column)
-            if state is None:
-                state = scd2_initial(rows, date)
-            else:
-                state = scd2_apply(state, rows, keys, tracked, date, close_missing=True)
-        return state
+) -> str | None:
+    """Versions from arriving full snapshots; a key that a snapshot omits is closed.
 
-    return _run(stream, step, root, checkpoint)
+    Arriving files are staged per micro-batch, by snapshot date. When the stream is drained,
+    all staged dates are versioned in one shuffle, so it does not matter whether a snapshot came
+    in several files or triggers, late, or twice (the last batch counts for a key and date).
+    """
 
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/staged/_batch={batch_id}")
 
-def upsert_stream(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str) -> str:
+    (
+        stream.writeStream.foreachBatch(stage)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    spark = stream.sparkSession
+    if not table_exists(spark, f"{root}/staged"):
+        return None
+    staged = spark.read.parquet(f"{root}/staged")
+    rows = latest_per_key(
+        staged, [*keys, date_column], [F.col("_batch").desc(), *[F.col(c).desc() for c in stream.columns if c not in keys]]
+    ).select(*stream.columns)
+    newest = newest_version(spark, root)
+    number = int(newest.rpartition("/v")[2]) if newest else 0
+    path = f"{root}/v{number + 1}"
+    scd2_from_snapshots(rows, date_column, keys, tracked).write.mode("overwrite").parquet(path)
+    return path
+
+
+def upsert_stream(stream: DataFrame, keys: Sequence[str], root: str, checkpoint: str) -> str | None:
     """Keyed upsert of arriving rows; within a batch one row per key is kept."""
 
     def step(old: DataFrame | None, batch: DataFrame) -> DataFrame:
