@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,84 +21,94 @@ PRESETS = {
 }
 
 
-def _on_calendar(entities: DataFrame, length: int, index: str) -> DataFrame:
-    """Every entity on every calendar step: each row opens its own sequence, no join."""
-    steps = F.sequence(F.lit(0), F.lit(length - 1))
-    return entities.select("*", F.explode(steps).alias(index))
+def _opened(rows: DataFrame, length: int, step: str) -> DataFrame:
+    """Every row once per calendar step."""
+    return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(length - 1))).alias(step))
+
+
+def _draw(salt: int, *columns: str) -> Column:
+    """A number in [0, 1) that depends on the columns and the salt alone."""
+    bits = F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.lit(salt)), F.lit(1 << 20))
+    return bits / F.lit(float(1 << 20))
+
 
+def _label(kind: str, number: Column) -> Column:
+    return F.format_string(f"{kind}-%07d", number.cast("bigint"))
 
-def _name(prefix: str, column: str | Column) -> Column:
-    return F.concat(F.lit(prefix), F.col(column) if isinstance(column, str) else column)
 
+def _date(step: str, unit: str) -> Column:
+    start = F.lit(START).cast("date")
+    moved = F.date_add(start, F.col(step)) if unit == "day" else F.add_months(start, F.col(step))
+    return moved.cast("string")
 
-def _day() -> Column:
-    return F.date_add(F.lit(START).cast("date"), F.col("day")).cast("string")
 
+def _skewed(salt: int, n: int, *columns: str) -> Column:
+    """Index below ``n`` of which the low ones are drawn far more often than the high ones."""
+    return F.floor(F.pow(_draw(salt, *columns), 3) * n)
 
-def _month() -> Column:
-    return F.add_months(F.lit(START).cast("date"), F.col("month")).cast("string")
+
+def _level(salt: int, *columns: str) -> Column:
+    """A positive level spread over three powers of ten."""
+    return F.pow(F.lit(10.0), _draw(salt, *columns) * 3)
 
 
 def generate_feeds(spark: SparkSession, preset: str = "dev") -> dict[str, DataFrame]:
-    """The seven large feeds of a preset, lazily; write them with a sink to use them."""
+    """The seven large feeds of a preset, lazily; write them with a sink to use them.
+
+    Values are drawn from hashes of their keys: levels over three powers of ten that drift and
+    waver from day to day, a few portfolios and assets with most of the transactions, and about
+    one transaction in a thousand with an unknown asset or a negative quantity.
+    """
     size = PRESETS[preset]
-    days, portfolios, assets = size["days"], size["portfolios"], size["assets"]
-    ids = lambda n, name: spark.range(n).withColumnRenamed("id", name)
-    mod = lambda c, n: F.pmod(F.col(c) if isinstance(c, str) else c, F.lit(n))
-
-    prices = _on_calendar(ids(assets, "a"), days, "day").select(
-        _day().alias("price_date"),
-        _name("SYN_", "a").alias("investment_asset_id"),
-        F.round(F.lit(10) + mod("a", 490) + F.col("day") * 0.01, 4).alias("close_price"),
+    entity = lambda n: spark.range(n).withColumnRenamed("id", "e")
+    wavering = lambda salt, step: (
+        _level(salt, "e") * (1 + F.col(step) * (_draw(salt + 1, "e") - 0.4) / 1000)
+        * (0.98 + 0.04 * _draw(salt + 2, "e", step))
+    )
+    prices = _opened(entity(size["assets"]), size["days"], "t").select(
+        _date("t", "day").alias("price_date"), _label("AST", F.col("e")).alias("investment_asset_id"),
+        F.round(wavering(10, "t"), 4).alias("close_price"),
     )
-    slots = ids(portfolios * size["holdings"], "slot").select(
-        F.floor(F.col("slot") / size["holdings"]).alias("p"), mod("slot", size["holdings"]).alias("h")
+    # Slot s of a portfolio holds the asset a fixed stride further: no asset twice in a portfolio
+    slots = _opened(entity(size["portfolios"]), size["holdings"], "s").withColumn(
+        "a", F.pmod(F.floor(_draw(20, "e") * size["assets"]) + F.col("s"), F.lit(size["assets"]))
     )
-    holdings = _on_calendar(slots, days, "day").select(
-        _name("PF_", "p").alias("portfolio_id"),
-        _day().alias("as_of_date"),
-        _name("SYN_", mod(F.col("h") + F.col("p"), assets)).alias("investment_asset_id"),
-        (mod("h", 5000) + 1).cast("double").alias("quantity"),
+    holdings = _opened(slots, size["days"], "t").select(
+        _label("PFL", F.col("e")).alias("portfolio_id"), _date("t", "day").alias("as_of_date"),
+        _label("AST", F.col("a")).alias("investment_asset_id"),
+        F.round(_level(21, "e", "s") * (1 + F.floor(_draw(22, "e", "s", "t") * 3)), 2).alias("quantity"),
     )
-    transactions = (
-        ids(size["txn_per_day"] * days, "i")
-        .withColumn("day", F.floor(F.col("i") / size["txn_per_day"]).cast("int"))
-        .select(
-            _name("TX", "i").alias("transaction_id"),
-            _day().alias("transaction_date"),
-            _name("PF_", mod("i", portfolios)).alias("portfolio_id"),
-            _name("SYN_", mod("i", assets)).alias("investment_asset_id"),
-            F.when(mod("i", 2) == 0, "BUY").otherwise("SELL").alias("transaction_type"),
-            (mod("i", 1000) + 1).cast("double").alias("quantity"),
-            (mod("i", 490) + 10).cast("double").alias("price"),
-            _name("CP_", mod("i", 5)).alias("counterparty_id"),
-        )
+    odd = _draw(30, "e")
+    transactions = entity(size["txn_per_day"] * size["days"]).select(
+        _label("TRX", F.col("e")).alias("transaction_id"),
+        F.date_add(F.lit(START).cast("date"), F.floor(_draw(31, "e") * size["days"]).cast("int"))
+        .cast("string").alias("transaction_date"),
+        _label("PFL", _skewed(32, size["portfolios"], "e")).alias("portfolio_id"),
+        F.when(odd < 0.0005, F.lit("AST-UNKNOWN"))
+        .otherwise(_label("AST", _skewed(33, size["assets"], "e"))).alias("investment_asset_id"),
+        F.when(_draw(34, "e") < 0.55, "BUY").otherwise("SELL").alias("transaction_type"),
+        F.round(_level(35, "e") * F.when(odd > 0.9995, -1).otherwise(1), 2).alias("quantity"),
+        F.round(_level(36, "e"), 4).alias("price"),
+        _label("CPY", _skewed(37, 12, "e")).alias("counterparty_id"),
     )
-    kinds = F.array(F.lit("DIVIDEND"), F.lit("FEE"), F.lit("DISTRIBUTION"))
-    cashflows = _on_calendar(ids(portfolios, "p"), days, "day").select(
-        F.concat(F.lit("CF"), "p", F.lit("_"), "day").alias("cashflow_id"),
-        _name("PF_", "p").alias("portfolio_id"),
-        _day().alias("cashflow_date"),
-        F.element_at(kinds, (mod("day", 3) + 1).cast("int")).alias("type"),
-        (mod("day", 100000) + 1).cast("double").alias("amount"),
-        F.lit("USD").alias("currency"),
+    cashflows = _opened(entity(size["portfolios"]), size["days"], "t").select(
+        _label("CSH", F.col("e") * size["days"] + F.col("t")).alias("cashflow_id"),
+        _label("PFL", F.col("e")).alias("portfolio_id"), _date("t", "day").alias("cashflow_date"),
+        F.when(_draw(40, "e", "t") < 0.6, "DIVIDEND").when(_draw(41, "e", "t") < 0.5, "FEE")
+        .otherwise("DISTRIBUTION").alias("type"),
+        F.round(_level(42, "e", "t") * 100, 2).alias("amount"), F.lit("USD").alias("currency"),
     )
-    currency_rates = _on_calendar(ids(size["currencies"], "c"), days, "day").select(
-        _day().alias("rate_date"),
-        _name("C", "c").alias("currency"),
-        F.round(0.2 + mod("c", 5) * 0.2, 4).alias("rate_to_base"),
+    currency_rates = _opened(entity(size["currencies"]), size["days"], "t").select(
+        _date("t", "day").alias("rate_date"), _label("CUR", F.col("e")).alias("currency"),
+        F.round(wavering(50, "t") / 100, 4).alias("rate_to_base"),
     )
-    private = _on_calendar(ids(size["private"], "x"), size["months"], "month").select(
-        _name("PE_", "x").alias("investment_asset_id"),
-        _month().alias("valuation_date"),
-        ((mod("x", 1000) + 1) * 100000.0).alias("fair_value"),
-        F.lit("USD").alias("currency"),
+    private = _opened(entity(size["private"]), size["months"], "t").select(
+        _label("PRV", F.col("e")).alias("investment_asset_id"), _date("t", "month").alias("valuation_date"),
+        F.round(wavering(60, "t") * 1e6, 2).alias("fair_value"), F.lit("USD").alias("currency"),
     )
-    navs = _on_calendar(ids(size["funds"], "x"), size["months"], "month").select(
-        _name("FUND_", "x").alias("investment_asset_id"),
-        _month().alias("nav_date"),
-        F.round(F.lit(90) + mod("x", 40) + F.col("month") * 0.1, 4).alias("nav_per_unit"),
-        F.lit("USD").alias("currency"),
+    navs = _opened(entity(size["funds"]), size["months"], "t").select(
+        _label("FND", F.col("e")).alias("investment_asset_id"), _date("t", "month").alias("nav_date"),
+        F.round(wavering(70, "t"), 4).alias("nav_per_unit"), F.lit("USD").alias("currency"),
     )
     return {
         "listed_market_prices": prices,
@@ -110,16 +122,15 @@ def generate_feeds(spark: SparkSession, preset: str = "dev") -> dict[str, DataFr
 
 
 def entity_calendar_grid(
-    activity: DataFrame, entity: str, date_column: str, base: Column
+    activity: DataFrame, entity: str, date_column: str, value: Callable[[Column], Column]
 ) -> DataFrame:
-    """Every month from an entity's first to its last activity, with a drifting value.
+    """Every month from an entity's first to its last activity, with ``value(step)``.
 
     The span is one aggregate per entity; the calendar is opened from it row by row.
     """
     month = F.trunc(F.col(date_column).cast("date"), "month")
     span = activity.groupBy(entity).agg(F.min(month).alias("a"), F.max(month).alias("z"))
     steps = F.sequence("a", "z", F.expr("INTERVAL 1 MONTH"))
-    return (
-        span.select(entity, F.posexplode(steps).alias("step", "grid_month"))
-        .withColumn("grid_value", F.round((base + F.col("step") * 0.01).cast("decimal(18,4)"), 4))
+    return span.select(entity, F.posexplode(steps).alias("step", "grid_month")).withColumn(
+        "grid_value", value(F.col("step"))
     )

@@ -74,12 +74,13 @@ def failed_runs(
     runs: DataFrame, jobs: DataFrame, since: str | None = None, n: int = 200
 ) -> DataFrame:
     """Newest failed runs with their workflow; the lookup happens for the kept rows only."""
-    newest = (
-        _from(runs, "period_start_time", since)
-        .filter(F.col("result_state").isin(*FAILED_STATES))
-        .orderBy(F.col("period_start_time").desc(), F.col("run_id").desc())
-        .limit(n)
-    )
+    failed = F.col("result_state").isin(*FAILED_STATES)
+    return recent_runs(_from(runs, "period_start_time", since).filter(failed), jobs, n)
+
+
+def recent_runs(runs: DataFrame, jobs: DataFrame, n: int = 100) -> DataFrame:
+    """Newest runs of any state with their workflow."""
+    newest = runs.orderBy(F.col("period_start_time").desc(), F.col("run_id").desc()).limit(n)
     return with_workflow(newest, jobs, F.col("job_id")).select(
         "workflow", "job_id", "run_id", "result_state", "period_start_time", "period_end_time"
     )

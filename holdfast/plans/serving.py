@@ -116,6 +116,17 @@ def failed_runs(spark, folder):
     )
 
 
+@query(
+    "recent_runs",
+    f"""SELECT {_WORKFLOW}, t.job_id, t.run_id, t.result_state, t.period_start_time,
+               t.period_end_time
+        FROM job_run t {_NAMED}
+        ORDER BY t.period_start_time DESC, t.run_id DESC LIMIT 100""",
+)
+def recent_runs(spark, folder):
+    return operations.recent_runs(market.job_runs(spark, folder), market.jobs(spark, folder))
+
+
 def _usage_sql(keys, condition="true"):
     return f"""SELECT {keys}, round(sum(usage_quantity::DECIMAL(18,4)), 2)::DOUBLE AS dbus
         FROM usg WHERE usage_date >= DATE '{USAGE_SINCE}' AND ({condition}) GROUP BY ALL"""
@@ -289,13 +300,15 @@ def profile_drift(spark, folder):
                                                      INTERVAL 1 MONTH))::DATE AS grid_month
          FROM span)
        SELECT entity_id, datediff('month', a, grid_month)::INT AS step, grid_month,
-              CAST(10 + entity_id % 490 + datediff('month', a, grid_month)
-                   * 0.01::DECIMAL(4,2) AS DECIMAL(18,4))::DOUBLE AS grid_value
+              (100 + 25 * ((7 * entity_id + datediff('month', a, grid_month)
+                            * datediff('month', a, grid_month)) % 12))::DOUBLE AS grid_value
        FROM grid""",
 )
 def entity_calendar_grid(spark, folder):
     activity = market.table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("entity_id"), "l_shipdate"
     )
-    base = F.lit(10) + F.pmod(F.col("entity_id"), F.lit(490))
-    return generator.entity_calendar_grid(activity, "entity_id", "l_shipdate", base)
+    level = lambda step: (
+        F.lit(100) + F.lit(25) * ((F.col("entity_id") * 7 + step * step) % 12)
+    ).cast("double")
+    return generator.entity_calendar_grid(activity, "entity_id", "l_shipdate", level)

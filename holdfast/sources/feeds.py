@@ -9,6 +9,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from holdfast.sources.schemas import FORMATS, RESCUE_COLUMN, SCHEMAS
 
 
+# Files that one trigger of a stream takes
+MAX_FILES = 1000
+
+
 def batch_id(source: str, run_timestamp: str) -> str:
     """``<source>__<run timestamp>``: the same inputs give the same id."""
     return f"{source}__{run_timestamp}"
@@ -82,13 +86,14 @@ def read_feed(spark: SparkSession, feed: str, path: str, header: bool = True) ->
 
 
 def stream_feed(
-    spark: SparkSession, feed: str, path: str, max_files: int | None = None
+    spark: SparkSession, feed: str, path: str, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """The same rows as a stream that sees each file once; keeps the file name."""
+    """The same rows as a stream that sees each file once; keeps the file name.
+
+    A trigger takes at most ``max_files``, so a backlog is read in steps of a bounded size.
+    """
     schema = SCHEMAS[feed]
-    reader = spark.readStream
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
     name = F.col("_metadata.file_name").alias("_file_name")
     if FORMATS[feed] == "json":
         return rescue_json(reader.text(path).select("value", name), schema)

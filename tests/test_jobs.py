@@ -107,7 +107,7 @@ def test_generated_feeds_have_the_preset_sizes(spark):
         assert df.columns == SCHEMAS[name].names
     fact = valuation.daily_holding(
         made["investment_holdings_snapshot"], made["listed_market_prices"],
-        spark.range(300).select(F.concat(F.lit("SYN_"), "id").alias("investment_asset_id"),
+        spark.range(300).select(F.format_string("AST-%07d", "id").alias("investment_asset_id"),
                                 F.pmod("id", F.lit(7)).cast("string").alias("sector"),
                                 F.lit("i").alias("issuer_id")))
     totals = valuation.exposure(fact).groupBy("portfolio_id", "as_of_date").agg(F.sum("exposure_pct").alias("t"))
