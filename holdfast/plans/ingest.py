@@ -110,6 +110,30 @@ def rescue_csv(spark, folder):
     return readers.read_feed(spark, feed, path, header=False)
 
 
+@query(
+    "rescue_csv_header",
+    """SELECT portfolio_id, CASE WHEN quantity >= 40 THEN NULL ELSE as_of_date END AS as_of_date,
+              investment_asset_id, CASE WHEN quantity >= 45 THEN NULL ELSE quantity END AS quantity,
+              CASE WHEN quantity >= 45 THEN '{"quantity":"n/a"}'
+                   WHEN quantity <= 2 THEN '{"note":"small"}' END AS _rescued_data
+       FROM holding""",
+)
+def rescue_csv_header(spark, folder):
+    """Files with columns in other orders, one too many, one missing, and mistyped values."""
+    feed, path = "investment_holdings_snapshot", work_dir(spark, "rescue-csv-header")
+    rows = market.holdings(spark, folder)
+    quantity = F.col("quantity")
+    amount = F.when(quantity >= 45, "n/a").otherwise(quantity.cast("string")).alias("quantity")
+    orders = (
+        (quantity <= 2, ["investment_asset_id", F.lit("small").alias("note"), amount, "portfolio_id", "as_of_date"]),
+        ((quantity > 2) & (quantity < 40), ["as_of_date", "portfolio_id", "investment_asset_id", amount]),
+        (quantity >= 40, [amount, "portfolio_id", "investment_asset_id"]),
+    )
+    for chosen, columns in orders:
+        rows.filter(chosen).select(*columns).write.mode("append").option("header", True).csv(path)
+    return readers.read_feed(spark, feed, path)
+
+
 @query(
     "audit_columns",
     f"""SELECT transaction_id, '{FEED}.json' AS _source_file,

@@ -77,11 +77,59 @@ def _csv_options(reader, schema: StructType, header: bool):
     )
 
 
+def _values(line: Column, slots: int) -> Column:
+    """The values of a CSV line as an array of ``slots`` texts, absent ones NULL."""
+    names = [f"c{i}" for i in range(slots)]
+    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names))
+    return F.array(*[parsed[n] for n in names])
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, header): the first line of each file, found by one grouped pass."""
+    lines = spark.read.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.filter("file_block_start = 0").groupBy("file_path")
+    return first.agg(F.min_by("value", "at").alias("header"))
+
+
+def bind_csv(lines: DataFrame, headers: DataFrame, schema: StructType) -> DataFrame:
+    """CSV lines (value, file_path, ...) as typed columns, bound by their file's header.
+
+    A column the file lacks is NULL. A column the contract lacks, a value that does not cast and
+    a value beyond the header go to the rescue column as JSON, like those of JSON feeds. A
+    line with more values than there are places for is kept whole. Batch and stream alike.
+    """
+    slots = 2 * len(schema.fields) + 32
+    kept = [c for c in lines.columns if c not in ("value", "file_path")]
+    named = headers.select("file_path", "header", _values(F.col("header"), slots).alias("_names"))
+    names = F.col("_names")
+    label = lambda i: F.when(
+        F.get(names, i).isNotNull() & (F.array_position(names, F.get(names, i)) == i + 1), F.trim(F.get(names, i))
+    ).otherwise(F.concat(F.lit("_extra_"), (i + 1).cast("string")))
+    entries = F.transform("_values", lambda v, i: F.struct(label(i).alias("k"), v.alias("v")))
+    rows = (
+        lines.join(named, "file_path")
+        .filter(F.col("value") != F.col("header"))
+        .withColumn("_values", _values(F.col("value"), slots))
+        .withColumn("_json", F.to_json(F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull()))))
+    )
+    whole = F.when(F.get("_values", F.lit(slots - 1)).isNotNull(), F.col("value")).otherwise(F.col("_json"))
+    return rescue_json(rows.select(*kept, whole.alias("value")), schema)
+
+
 def read_feed(spark: SparkSession, feed: str, path: str, header: bool = True) -> DataFrame:
-    """All files of a feed folder as one typed DataFrame with the rescue column."""
+    """All files of a feed folder as one typed DataFrame with the rescue column.
+
+    CSV columns are bound by each file's header; without one, by position.
+    """
     schema = SCHEMAS[feed]
     if FORMATS[feed] == "json":
         return rescue_json(spark.read.text(path), schema)
+    if header:
+        lines = spark.read.text(path).select("value", "_metadata.file_path")
+        return bind_csv(lines, csv_headers(spark, path), schema)
     return _csv_options(spark.read, schema, header).csv(path)
 
 
@@ -97,4 +145,5 @@ def stream_feed(
     name = F.col("_metadata.file_name").alias("_file_name")
     if FORMATS[feed] == "json":
         return rescue_json(reader.text(path).select("value", name), schema)
-    return _csv_options(reader, schema, True).csv(path).select("*", name)
+    lines = reader.text(path).select("value", "_metadata.file_path", name)
+    return bind_csv(lines, csv_headers(spark, path), schema)
