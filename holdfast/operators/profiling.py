@@ -84,6 +84,25 @@ def profile_table(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) ->
     )
 
 
+def exact_quantiles(df: DataFrame, numeric: Sequence[str], points: Sequence[float]) -> DataFrame:
+    """Per numeric column the smallest value that the share ``point`` of all values reaches.
+
+    Equal values are counted before the shuffle; the running count goes over distinct values in a
+    sorted window that spills, not over a list in memory.
+    """
+    value = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in numeric]
+    counted = (
+        df.select(F.explode(F.array(*value)).alias("x")).select("x.*").filter(F.col("v").isNotNull())
+        .groupBy("column_name", "v").agg(F.count("*").alias("n"))
+    )
+    column = Window.partitionBy("column_name")
+    ranked = counted.withColumn("reached", F.sum("n").over(column.orderBy("v"))).withColumn(
+        "total", F.sum("n").over(column)
+    )
+    at = lambda p: F.min(F.when(F.col("reached") >= F.ceil(F.col("total") * F.lit(p)), F.col("v")))
+    return ranked.groupBy("column_name").agg(*[at(p).alias(f"p{round(p * 100)}") for p in points])
+
+
 def profile_quantiles(
     df: DataFrame, numeric: Sequence[str], points: Sequence[float], accuracy: int = 10000
 ) -> DataFrame:

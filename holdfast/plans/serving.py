@@ -256,9 +256,16 @@ def profile_table(spark, folder):
     return profiling.profile_table(valuation_plans.fact(spark, folder), _FACT_NUMBERS, _FACT_TEXT)
 
 
-@query("profile_quantiles")
+def _quantile(column):
+    return f"""SELECT '{column}' AS column_name, min(v) FILTER (r >= ceil(t * 0.25)) AS p25,
+        min(v) FILTER (r >= ceil(t * 0.5)) AS p50, min(v) FILTER (r >= ceil(t * 0.75)) AS p75
+        FROM (SELECT v, row_number() OVER (ORDER BY v) AS r, count(*) OVER () AS t
+              FROM (SELECT {column}::DOUBLE AS v FROM fact WHERE {column} IS NOT NULL))"""
+
+
+@query("profile_quantiles", " UNION ALL ".join(_quantile(c) for c in _FACT_NUMBERS))
 def profile_quantiles(spark, folder):
-    return profiling.profile_quantiles(
+    return profiling.exact_quantiles(
         valuation_plans.fact(spark, folder), _FACT_NUMBERS, (0.25, 0.5, 0.75)
     )
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.functions.exact import cut_factors
-from holdfast.operators import contracts, controls, history, operations, retrieval, valuation
+from holdfast.operators import contracts, controls, history, operations, profiling, retrieval, valuation
 from holdfast.sources import sinks
 from holdfast.streaming import snapshots
 
@@ -170,3 +170,10 @@ def test_prompts_cite_approved_documents_only(spark, folder):
     found = entry.queries()["vector_topk"](spark, folder).collect()
     assert found and {str(r.chunk_id) for r in found} <= allowed
     assert all("POLICY PASSAGES:\n[" in r.prompt for r in entry.queries()["prompt_context"](spark, folder).collect())
+
+
+def test_exact_quantiles_with_ties_and_nulls(spark):
+    rows = [(1.0,), (1.0,), (1.0,), (2.0,), (9.0,), (None,)]
+    df = spark.createDataFrame(rows, "v double").withColumn("w", F.lit(None).cast("double"))
+    got = {r.column_name: (r.p25, r.p50, r.p75) for r in profiling.exact_quantiles(df, ["v", "w"], (0.25, 0.5, 0.75)).collect()}
+    assert got == {"v": (1.0, 1.0, 2.0)}
