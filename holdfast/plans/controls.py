@@ -292,20 +292,22 @@ def recon_feed_freshness(spark, folder):
     )
 
 
-# A second formulation of the breaches, in SQL: windows over holdings instead of grouping,
+# A second formulation of the breaches, in SQL: grouping sets over one read of the fact,
 # and the limit rule as one OR condition instead of the offered portfolio keys.
 _RECOMPUTE = """
-    WITH shares AS (
-      SELECT DISTINCT portfolio_id, as_of_date, scope_type, scope_value,
-             CAST(round(CAST(CAST(sum(market_value) OVER (
-                     PARTITION BY portfolio_id, as_of_date, scope_type, scope_value) AS DOUBLE)
-                 / CAST(sum(market_value) OVER (
-                     PARTITION BY portfolio_id, as_of_date, scope_type) AS DOUBLE) * 100
+    WITH sums AS (
+      SELECT portfolio_id, as_of_date, sector, issuer_id, sum(market_value) AS value,
+             grouping(sector) AS no_sector, grouping(issuer_id) AS no_issuer
+      FROM {fact}
+      GROUP BY GROUPING SETS ((portfolio_id, as_of_date, sector), (portfolio_id, as_of_date, issuer_id),
+                              (portfolio_id, as_of_date))),
+    shares AS (
+      SELECT p.portfolio_id, p.as_of_date, IF(p.no_sector = 0, 'SECTOR', 'ISSUER') AS scope_type,
+             IF(p.no_sector = 0, p.sector, p.issuer_id) AS scope_value,
+             CAST(round(CAST(CAST(p.value AS DOUBLE) / CAST(t.value AS DOUBLE) * 100
                  AS DECIMAL(28,10)), 4) AS DOUBLE) AS pct
-      FROM (SELECT portfolio_id, as_of_date, 'SECTOR' AS scope_type, sector AS scope_value,
-                   market_value FROM {fact}
-            UNION ALL
-            SELECT portfolio_id, as_of_date, 'ISSUER', issuer_id, market_value FROM {fact}))
+      FROM sums p JOIN sums t ON p.portfolio_id = t.portfolio_id AND p.as_of_date = t.as_of_date
+      WHERE p.no_sector + p.no_issuer = 1 AND t.no_sector + t.no_issuer = 2 AND t.value <> 0)
     SELECT s.portfolio_id, s.as_of_date, s.scope_type, s.scope_value, l.limit_id
     FROM shares s JOIN {limits} l
       ON upper(l.scope_type) = s.scope_type AND l.scope_value = s.scope_value
