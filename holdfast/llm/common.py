@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from holdfast.session import work_dir
 
@@ -39,12 +40,19 @@ def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
 
 
 def held(documents: DataFrame, label: str) -> DataFrame:
-    """``documents`` written once as (row_id, doc): a number per row and its columns as a struct.
+    """``documents`` as (row_id, doc): a distinct number per row and its columns as a struct.
 
-    Whatever the columns are called, they cannot clash with those that an operator adds;
-    Parquet still reads single fields of the struct.
+    Whatever the columns are called, they cannot clash with those that an operator adds. Where
+    doc_id is a whole number, never null and never repeated, it is the row's number, and the
+    documents are read where they are. Otherwise rows get numbers of their own in a copy,
+    written once. Results are the same; a unique id saves the copy.
     """
-    return written(numbered(documents.select(F.struct("*").alias("doc"))), label)
+    packed = documents.select(F.struct("*").alias("doc"))
+    if isinstance(documents.schema["doc_id"].dataType, IntegralType):
+        counted = documents.groupBy("doc_id").agg(F.count("*").alias("n"))
+        if counted.filter((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty():
+            return packed.select(F.col("doc.doc_id").cast("bigint").alias("row_id"), "doc")
+    return written(numbered(packed), label)
 
 
 def body(documents: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def _repeats(rows: DataFrame) -> DataFrame:
 def cleaned(rows: DataFrame, extra: str | None = None) -> DataFrame:
     """Per row: row_id, doc_id, text without repeats, n_chunks, n_removed (and the column ``extra``).
 
-    ``rows`` (row_id, doc_id, text) are a written table. Of a chunk that repeats anywhere,
+    ``rows`` (row_id, doc_id, text) are read several times. Of a chunk that repeats anywhere,
     the first occurrence stays: smallest doc_id (null last), then row and place. Chunks are
     found by hash, counted before the shuffle, and only those of equal hash are fetched and
     compared byte by byte (white space at the end aside), each with the first occurrence, so

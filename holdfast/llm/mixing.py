@@ -190,8 +190,8 @@ def mix(documents: DataFrame) -> DataFrame:
     """The mixed documents themselves, in the order of their virtual finish times.
 
     Columns as in ``documents``; a document taken twice occurs twice, one not taken is gone.
-    The cases of :func:`mix_plan` hold. The documents are written once with a row number,
-    because the plan is worked out from their sizes and joined back.
+    The cases of :func:`mix_plan` hold. The plan is worked out from the sizes alone and joined
+    back by row number.
     """
     kept = held(documents, "mix-documents")
     sized = written(
