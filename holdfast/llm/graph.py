@@ -41,3 +41,29 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "component")
         if moved.filter(F.col("old") != F.col("component")).isEmpty():
             return labels
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after further edges: only components are joined anew.
+
+    The edges are lifted to the components of their ends, so the rounds run over as many
+    edges as are new, whatever has been joined before.
+    """
+    own = lambda n: labels.select(F.col("node").alias(n), F.col("component").alias(f"_{n}"))
+    placed = written(
+        edges.join(own("a"), "a", "left").join(own("b"), "b", "left").select(
+            "a", "b", F.coalesce("_a", "a").alias("ca"), F.coalesce("_b", "b").alias("cb")
+        ),
+        "components",
+    )
+    lifted = components(placed.filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    ends = placed.select(F.explode(F.array(F.struct("a", "ca"), F.struct(F.col("b").alias("a"), F.col("cb").alias("ca")))).alias("e"))
+    new = ends.filter("e.a = e.ca").select(F.col("e.a").alias("node"), F.col("e.ca").alias("component")).distinct()
+    known = labels.unionByName(new.join(labels.select("node"), "node", "left_anti"))
+    moved = lifted.withColumnRenamed("node", "_from").withColumnRenamed("component", "_to")
+    return written(
+        known.join(moved, F.col("component") == F.col("_from"), "left").select(
+            "node", F.coalesce("_to", "component").alias("component")
+        ),
+        "components",
+    )

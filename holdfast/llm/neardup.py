@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.common import body, held, written
-from holdfast.llm.graph import components
+from holdfast.llm.graph import components, merged
 from holdfast.llm.shingles import mix, shingle_sets, stream
 
 SHINGLE_WORDS = 5
@@ -18,7 +18,7 @@ PERCENT = 75
 PERMUTATIONS = 64
 BAND_VALUES = 4
 # While a turn of stars joins at least this share of the pairs it measured, another follows
-STAR_GAIN = 0.3
+STAR_GAIN = 0.05
 
 _U = np.uint64
 
@@ -92,15 +92,15 @@ def _similar(shared: Column, na: Column, nb: Column) -> Column:
     return shared * 100 >= (na + nb - shared) * PERCENT
 
 
-def _stars(buckets: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The comparisons with the first leads, all links found, and the labels they give.
+def _stars(buckets: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The comparisons with the first leads, and the labels that all links found give.
 
     The lead of a bucket is its most central member, the one with the largest buckets: in a
     group of copies that is the copy with the fewest changes. Everyone in the bucket is compared
     with the lead; members outside the lead's component form a bucket with a lead of its own,
     again while a turn joins a good part of those it asked about.
     """
-    first, edges, labels = None, None, None
+    first, labels = None, None
     opened = buckets
     while True:
         lead = F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("lead")
@@ -112,14 +112,13 @@ def _stars(buckets: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, D
         star = written(_measured(pairs, sets), "neardup-star")
         linked = star.filter(_similar(F.col("shared"), F.col("na"), F.col("nb"))).select("a", "b")
         first = star if first is None else first
-        edges = linked if edges is None else edges.unionByName(linked)
-        labels = components(edges)
+        labels = components(linked) if labels is None else merged(labels, linked)
         counts = star.agg(
             F.count("*").alias("asked"),
             F.count_if(_similar(F.col("shared"), F.col("na"), F.col("nb"))).alias("joined"),
         ).first()
         if counts["joined"] < STAR_GAIN * counts["asked"] or not counts["asked"]:
-            return first, edges, labels
+            return first, labels
         of_node = labels.select("node", F.col("component").alias("own"))
         of_lead = labels.select(F.col("node").alias("b"), F.col("component").alias("theirs"))
         opened = written(
@@ -137,9 +136,9 @@ def _left_over(first: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
     """Pairs that may still join two components, of all that share a bucket.
 
     Both members x, y were measured against their bucket's lead R. What they share within R is at
-    most the smaller of their parts of R; what they share outside R is counted exactly by a
-    join on the shingles that R lacks. So x and y need comparing only if their parts of
-    R alone would suffice, or if they share shingles outside R and both together suffice. All
+    most the smaller of their parts of R, so for a link they need a certain number of common
+    shingles that R lacks. x and y need comparing only if their parts of R alone would suffice,
+    or if they meet in the prefixes that this number leaves of their shingles outside R. All
     other pairs are excluded for certain without being formed.
     """
     own = labels.select(F.col("node").alias("a"), F.col("component").alias("_own"))
@@ -163,7 +162,7 @@ def _left_over(first: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
         "neardup-members",
     )
 
-    def both(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    def both(rows: DataFrame, keys: list) -> tuple[DataFrame, DataFrame]:
         x = rows.filter("outside").select(*keys, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"), F.col("component").alias("cx"))
         y = rows.select(*keys, F.col("node").alias("y"), F.col("n").alias("ny"), F.col("shared").alias("sy"), F.col("component").alias("cy"), F.col("outside").alias("oy"))
         return x, y
@@ -177,14 +176,26 @@ def _left_over(first: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
     inner = sets.select("node", F.col("shingles").alias("own_set"))
     outer = sets.select(F.col("node").alias("b"), F.col("shingles").alias("lead_set"))
     private = members.join(inner, "node").join(outer, "b").select(
-        "b", "node", "n", "shared", "component", "outside",
+        "b", "node", "n", "shared", "component", "outside", "least",
         F.explode(F.array_except("own_set", "lead_set")).alias("shingle"),
     )
-    x, y = both(private, ["b", "shingle"])
+    private = written(private, "neardup-private")
+    # A link needs so many shingles outside the lead in common: of any of them, in an order that both
+    # share, one is among the first ones. The rare come first, and one that nobody shares joins nobody
+    common = private.groupBy("b", "shingle").agg(F.count("*").alias("f")).filter("f > 1")
+    place = Window.partitionBy("b", "node").orderBy(F.col("f").desc(), "shingle")
+    other = F.greatest(F.ceil(F.col("n") * PERCENT / 100), F.col("least"))
+    needed = F.greatest(F.ceil((F.col("n") + other) * PERCENT / (100 + PERCENT)) - F.col("shared"), F.lit(1))
+    prefix = (
+        private.join(common, ["b", "shingle"]).withColumn("from_last", F.row_number().over(place))
+        .filter(F.col("from_last") >= needed)
+    )
+    # Where two meet first, what is left of the shorter rest bounds all that they share outside
+    place_of = lambda n: F.col("from_last").alias(n)
+    x, y = both(prefix, ["b", "shingle", place_of("rx")])[0], both(prefix, ["b", "shingle", place_of("ry")])[1]
     by_rest = (
-        x.join(y, ["b", "shingle"]).filter(once)
-        .groupBy("b", "x", "y", "nx", "ny", "sx", "sy").agg(F.count("*").alias("apart"))
-        .filter(_similar(within + F.col("apart"), F.col("nx"), F.col("ny")))
+        x.join(y, ["b", "shingle"])
+        .filter(once & _similar(within + F.least("rx", "ry"), F.col("nx"), F.col("ny")))
         .select("x", "y")
     )
     return by_lead.unionByName(by_rest).select(
@@ -201,18 +212,18 @@ def _links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     buckets = written(common.select("key", "node").join(weights, "node"), "neardup-weighted")
     texts = rows.select(F.col("row_id").alias("node"), "text").join(weights.select("node"), "node", "left_semi")
     sets = written(texts.mapInArrow(_sets, "node bigint, shingles array<bigint>"), "neardup-sets")
-    first, edges, labels = _stars(buckets, sets)
+    first, labels = _stars(buckets, sets)
     measured = _measured(_left_over(first, labels, sets), sets)
     found = written(
         measured.filter(_similar(F.col("shared"), F.col("na"), F.col("nb"))).select("a", "b"), "neardup-edges"
     )
-    return labels if found.isEmpty() else components(edges.unionByName(found))
+    return labels if found.isEmpty() else merged(labels, found)
 
 
 def near_duplicates(rows: DataFrame) -> DataFrame:
     """Per row: row_id, doc_id, n_shingles, component_id, kept, stays.
 
-    ``rows`` (row_id, doc_id, text) are a written table. Rows with equal sets are one node,
+    ``rows`` (row_id, doc_id, text) are read several times. Rows with equal sets are one node,
     so copies cost no comparison. ``component_id`` is the smallest doc_id reachable (null only
     if all are null), ``kept`` tells whether it is the row's own, and ``stays`` marks exactly one
     row of each group, also when a doc_id repeats. A null, empty or blank text has no shingles,
