@@ -35,6 +35,8 @@ LEAST_SUPPORT = 3
 LEAST_SCORE = 0.5
 # Bits of the filter of contexts, a fixed size whatever the corpus
 FILTER_BITS = 1 << 24
+# Distinct contexts that a task counts before it hands them on
+TASK_KEYS = 1 << 20
 
 _U = np.uint64
 
@@ -205,7 +207,12 @@ def _counter(filled: np.ndarray):
             keep &= (filled[number // 64] >> (number % 64).astype(_U)) & _U(1) == 1
         return keys[keep]
 
+    def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(keys, return_inverse=True)
+        return keys, np.bincount(place, n, len(keys)).astype(np.int64)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for raw, offsets in text_chunks(batch.column(0)):
                 hashed, at = word_hashes(raw, offsets)
@@ -215,7 +222,11 @@ def _counter(filled: np.ndarray):
                 one, _ = _context_keys(hashed, np.flatnonzero(place >= 1))
                 _, two = _context_keys(hashed, np.flatnonzero(place >= 2))
                 keys, n = np.unique(np.concatenate([passes(one), passes(two)]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pattern", "n"])
+                held, counts = summed(np.concatenate([held, keys]), np.concatenate([counts, n]))
+                if len(held) > TASK_KEYS:
+                    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts)], names=["pattern", "n"])
+                    held, counts = held[:0], counts[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts)], names=["pattern", "n"])
 
     return count
 
@@ -274,12 +285,15 @@ def personal_spans(df: DataFrame, text: str = "text") -> DataFrame:
     )
     places = rows.select("row_id", F.explode("places").alias("p")).select("row_id", "p.*")
     patterns = F.explode(F.array_compact(F.array("one", "two"))).alias("pattern")
-    edges = written(
+    seen = written(
         places.select("instance", "seed", patterns).groupBy("pattern", "instance").agg(
             F.max("seed").alias("seed"), F.count("*").alias("n")
         ),
         "pii-edges",
     )
+    # With fewer distinct instances in all, a pattern never has the support of confident ones
+    able = seen.groupBy("pattern").agg(F.count("*").alias("all")).filter(F.col("all") >= LEAST_SUPPORT)
+    edges = written(seen.join(able.select("pattern"), "pattern", "left_semi"), "pii-edges")
     counted = df.select(F.col(text).alias("text")).mapInArrow(
         _counter(_filter_of(edges.select("pattern"))), "pattern bigint, n bigint"
     )
