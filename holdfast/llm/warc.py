@@ -26,6 +26,9 @@ _CRLF = "\r\n"
 _VERSION = b"WARC/1."
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
+# Compressed bytes inflated at a time
+_INFLATE_BYTES = 1 << 16
+_TRAILER = "gzip trailer does not fit"
 _RFC4648 = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FIXED_DATE = "1970-01-01T00:00:00Z"
 
@@ -213,47 +216,134 @@ def _plain(data: bytes, offset: int = 0) -> Iterator[Record]:
         yield Record(offset + bad_from, offset + len(data), {}, data[bad_from:], reason)
 
 
-def _members(data: bytes) -> Iterator[Record]:
-    """Records of an archive of gzip members; positions are those of the compressed bytes."""
-    at, bad_from, reason = 0, None, ""
-    while at < len(data):
-        try:
-            if data[at : at + 3] != _GZIP:
-                raise Damaged("no gzip member")
-            inflate = zlib.decompressobj(wbits=31)
-            raw = inflate.decompress(data[at:])
-            if not inflate.eof:
+def _member_body(data: bytes, at: int) -> int:
+    """Where the compressed bytes of the gzip member at ``at`` begin, behind its header."""
+    if len(data) < at + 10:
+        raise Damaged("gzip member cut short")
+    flags, to = data[at + 3], at + 10
+    if flags & 0xE0:
+        raise Damaged("no gzip member")
+    if flags & 4:
+        to += 2 + int.from_bytes(data[to : to + 2], "little")
+    for bit in (8, 16):
+        if flags & bit:
+            to = data.find(b"\0", to) + 1
+            if not to:
                 raise Damaged("gzip member cut short")
-            records = list(_plain(raw))
-            if records and records[0].reason:
-                raise Damaged(records[0].reason)
-        except (Damaged, zlib.error) as error:
-            if bad_from is None:
-                bad_from, reason = at, str(error)
-            at = data.find(_GZIP, at + 1)
-            if at < 0:
-                break
-            continue
-        if bad_from is not None:
-            yield Record(bad_from, at, {}, data[bad_from:at], reason)
-            bad_from = None
-        end = len(data) - len(inflate.unused_data)
-        for record in records:
-            record.start, record.end = at, end
-            yield record
-        at = end
-    if bad_from is not None:
-        yield Record(bad_from, len(data), {}, data[bad_from:], reason)
+    return to + 2 * bool(flags & 2)
+
 
+def _inflated(data: bytes, begin: int) -> tuple[bytes, int, str | None]:
+    """What the compressed bytes from ``begin`` inflate to, where that ends, and what is wrong with it.
 
-def salvage(data: bytes) -> Iterator[Record]:
+    Of damaged bytes all that inflates before the damage is returned.
+    """
+    inflate, out, at, step = zlib.decompressobj(wbits=-15), [], begin, _INFLATE_BYTES
+    while at < len(data) and not inflate.eof:
+        piece = data[at : at + step]
+        # A failed call keeps its output to itself: the piece is fed again byte by byte
+        before = inflate.copy() if step > 1 else None
+        try:
+            out.append(inflate.decompress(piece))
+        except zlib.error as error:
+            if before is None:
+                return b"".join(out), at, str(error)
+            inflate, step = before, 1
+            continue
+        at += len(piece)
+    raw, end = b"".join(out), at - len(inflate.unused_data)
+    if not inflate.eof or end + 8 > len(data):
+        return raw, len(data), _TRAILER if inflate.eof else "gzip member cut short"
+    trailer = zlib.crc32(raw).to_bytes(4, "little") + (len(raw) % (1 << 32)).to_bytes(4, "little")
+    return raw, end + 8, None if data[end : end + 8] == trailer else _TRAILER
+
+
+def _used(data: bytes, begin: int, size: int) -> int:
+    """How far the compressed bytes from ``begin`` are read for ``size`` bytes of output."""
+    inflate, at = zlib.decompressobj(wbits=-15), begin
+    while size and at < len(data):
+        piece = data[at : at + _INFLATE_BYTES]
+        size -= len(inflate.decompress(piece, size))
+        at += len(piece) - len(inflate.unconsumed_tail)
+        if inflate.eof:
+            return at - len(inflate.unused_data)
+    return at
+
+
+def _member(data: bytes, at: int, inside: bool) -> tuple[list[Record], int, int]:
+    """Records of the gzip member at ``at``, where it ends, and where the search goes on.
+
+    A member that is whole ends where the search goes on. A damaged one gives the good records
+    of what it inflates to; the search goes on behind the bytes that these take. The trailer of
+    a member of one record answers for that record alone, so if it does not fit the record is bad.
+    """
+    begin = _member_body(data, at)
+    raw, end, wrong = _inflated(data, begin)
+    # Damaged bytes may inflate on over members that stand behind them
+    records = list(_plain(raw) if wrong is None or inside else salvage(raw, True))
+    good = [r for r in records if not r.reason]
+    if records and (not good or wrong == _TRAILER and len(records) == 1):
+        raise Damaged(wrong or records[0].reason)
+    if wrong and not good:
+        raise Damaged(wrong)
+    on = end if wrong is None else max(_used(data, begin, good[-1].end), at + 1)
+    return records, end, on
+
+
+def salvage(data: bytes, inside: bool = False) -> Iterator[Record]:
     """All records of an archive that pass their checks, and a gap for each run of other bytes.
 
     After a failed check the search goes on, one byte behind the place that failed, for the
-    next version line (or gzip member) at which a whole record passes. A stored length that
-    does not fit is never trusted to skip by.
+    next version line or gzip member at which a whole record passes, whatever the archive began
+    with. A stored length that does not fit is never trusted to skip by. Of a gzip member,
+    positions are those of the compressed bytes; a gap inside one has the inflated bytes. ``inside``
+    says that the data are what a damaged member inflates to.
     """
-    return _members(data) if data[:2] == _GZIP[:2] else _plain(data)
+    at, bad_from, reason = 0, None, ""
+    # The last member that was damaged but has good records: they wait for where it ends
+    waiting: tuple[list[Record], int] | None = None
+    following = {_GZIP: -1, _VERSION: -1}
+
+    def closed(to: int) -> Iterator[Record]:
+        start = bad_from
+        if waiting is not None:
+            records, end = waiting
+            end = min(end, to)
+            for record in records:
+                record.start, record.end = bad_from, end
+                yield record
+            start = end
+        if start is not None and start < to:
+            yield Record(start, to, {}, data[start:to], reason)
+
+    while at < len(data):
+        try:
+            if data.startswith(_GZIP, at):
+                records, end, on = _member(data, at, inside)
+                whole = on == end
+                for record in records:
+                    record.start, record.end = at, end
+            else:
+                record = parse_record(data, at)
+                records, on, whole = [record], record.end, True
+        except Damaged as error:
+            if bad_from is None:
+                bad_from, reason = at, str(error)
+            on = at + 1
+        else:
+            yield from closed(at)
+            bad_from, waiting = None, None
+            if whole:
+                yield from records
+                at = on
+                continue
+            bad_from, waiting, reason = at, (records, end), "gzip member damaged"
+        for mark, place in following.items():
+            if place < on:
+                place = data.find(mark, on)
+                following[mark] = place if place >= 0 else len(data)
+        at = min(following.values())
+    yield from closed(len(data))
 
 
 def member(record: bytes) -> bytes:

@@ -1,5 +1,6 @@
 """Archives, mixing, metric search and the pipeline."""
 
+import gzip
 import hashlib
 from collections import Counter
 
@@ -58,6 +59,46 @@ def test_salvage_recovers_later_records(how, packed):
     assert all(a[1] == b[0] for a, b in zip(covered, covered[1:], strict=False))
 
 
+def good_ids(data):
+    return [r.headers["warc-record-id"] for r in warc.salvage(data) if not r.reason]
+
+
+@pytest.mark.parametrize("start", ["flipped", "junk"])
+def test_salvage_of_members_behind_a_bad_start(start):
+    data = b"".join(warc.member(record(i, p)) for i, p in enumerate(PAYLOADS))
+    data = b"\xff" + data[1:] if start == "flipped" else b"junk" + data
+    assert good_ids(data) == [f"<urn:{i}>" for i in range(1 if start == "flipped" else 0, 5)]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("how", ["first", "middle", "tail", "flipped", "cut before a member"])
+def test_salvage_of_a_member_with_many_records(how, level):
+    rng = np.random.default_rng(7)
+    parts = [record(i, rng.integers(97, 123, 5000, dtype=np.uint8).tobytes()) for i in range(40)]
+    lost = {"first": [0], "middle": [20]}.get(how, [])
+    for i in lost:
+        parts[i] = parts[i][:-10] + b"#" + parts[i][-9:]
+    data = gzip.compress(b"".join(parts), level)
+    if how == "tail":
+        data = data[: len(data) // 2]
+    elif how == "flipped":
+        at = len(data) // 2
+        data = data[:at] + bytes([data[at] ^ 255]) + data[at + 1 :]
+    elif how == "cut before a member":
+        data = data[: len(data) // 2] + warc.member(record(99, b"behind")) + record(100, b"plain behind")
+    ids = good_ids(data)
+    assert len(ids) == len(set(ids))
+    if how in ("first", "middle"):
+        assert ids == [f"<urn:{i}>" for i in range(40) if i not in lost]
+    else:
+        assert set(ids) >= {f"<urn:{i}>" for i in range(18)}
+    if how == "cut before a member":
+        assert ids[-2:] == ["<urn:99>", "<urn:100>"]
+    covered = sorted({(r.start, r.end) for r in warc.salvage(data)})
+    assert covered[0][0] == 0 and covered[-1][1] == len(data)
+    assert all(a[1] == b[0] for a, b in zip(covered, covered[1:], strict=False))
+
+
 def test_archives_round_trip_with_damage(spark, tmp_path):
     html = "<p>" + "x" * 1200 + "é</p>"
     pages = spark.createDataFrame(
