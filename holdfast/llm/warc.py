@@ -19,8 +19,9 @@ from holdfast.session import work_dir
 
 # Payloads from this many bytes on are stored once
 REVISIT_BYTES = 1000
-# Records per archive file; a reader's task holds one archive
+# Records per archive file, and about the bytes that they may come to; a reader's task holds one archive
 RECORDS_PER_ARCHIVE = 2000
+ARCHIVE_BYTES = 1 << 29
 
 _CRLF = "\r\n"
 _VERSION = b"WARC/1."
@@ -39,7 +40,7 @@ def _uri(url: Column) -> Column:
 
 
 def planned(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Pages as they are to be stored: row_id, page_id, target, payload, digest, revisits.
+    """Pages as they are to be stored: row_id, page_id, target, payload, digest, size, revisits.
 
     Of rows with the same payload of at least ``REVISIT_BYTES`` bytes, the one with the largest
     page_id (nulls least; of equal ids the row read last) is stored; the others name it. The choice is a
@@ -52,10 +53,10 @@ def planned(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
                 _uri(F.col(url)).alias("target"),
                 F.coalesce(F.col(html), F.lit("")).alias("payload"),
             )
-        ).withColumn("digest", F.sha1(F.col("payload").cast("binary"))),
+        ).withColumn("digest", F.sha1(F.col("payload").cast("binary"))).withColumn("size", F.octet_length("payload")),
         "warc-pages",
     )
-    large = F.octet_length("payload") >= REVISIT_BYTES
+    large = F.col("size") >= REVISIT_BYTES
     last = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("at"), "page_id", "row_id")
     chosen = (
         held.filter(large).groupBy("digest").agg(F.count("*").alias("n"), F.max(last).alias("to"))
@@ -63,7 +64,7 @@ def planned(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
         .select(F.col("digest").alias("_digest"), F.col("to.row_id").alias("to_row"))
     )
     return held.join(chosen, large & (F.col("digest") == F.col("_digest")), "left").select(
-        "row_id", "page_id", "target", "payload", "digest",
+        "row_id", "page_id", "target", "payload", "digest", "size",
         F.when(F.col("to_row") != F.col("row_id"), F.col("to_row")).alias("revisits"),
     )
 
@@ -98,10 +99,15 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write(
-    stored: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, gzipped: bool = True
+    stored: DataFrame, path: str, records_per_archive: int = RECORDS_PER_ARCHIVE, gzipped: bool = True,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
     """Archives at ``path``, one record per row of :func:`planned`.
 
+    Records go by size into classes, each with so many records a file that they come to about
+    ``archive_bytes`` at most, before compression; a larger record has a file of its own. A
+    revisit counts as its page.
+
     Spark's text sink writes each record and, as line end, what closes it: an empty gzip
     member, or in a plain archive the two empty lines. Its commit keeps the files of failed
     attempts out.
@@ -132,15 +138,25 @@ def write(
         line("Content-Length", F.octet_length("block").cast("string")),
         F.lit(_CRLF), F.col("block"),
     )
-    records = withblock.select(record.alias("value"))
-    if gzipped:
-        records = records.mapInArrow(_compressed, "value binary").select(F.col("value").cast("string"))
-    (
-        records.write.option("lineSep", EMPTY_MEMBER.decode("latin-1") if gzipped else _CRLF + _CRLF)
-        .option("encoding", "ISO-8859-1" if gzipped else "UTF-8")
-        .option("maxRecordsPerFile", records_per_archive)
-        .mode("overwrite").text(path)
-    )
+    # Without the revisits the sizes are read from the pages alone, no payload is shuffled for them
+    size = F.octet_length("target") + F.col("size")
+    most = max(1, archive_bytes // records_per_archive)
+    bounds = []
+    while (most << 3 * len(bounds)) < archive_bytes:
+        bounds.append(most << 3 * len(bounds))
+    of_size = sum((F.when(size > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    used = sorted(r[0] for r in stored.select(of_size.alias("c")).distinct().collect()) or [0]
+    for c in used:
+        own = withblock.filter(of_size == c) if len(used) > 1 else withblock
+        records = own.select(record.alias("value"))
+        if gzipped:
+            records = records.mapInArrow(_compressed, "value binary").select(F.col("value").cast("string"))
+        (
+            records.write.option("lineSep", EMPTY_MEMBER.decode("latin-1") if gzipped else _CRLF + _CRLF)
+            .option("encoding", "ISO-8859-1" if gzipped else "UTF-8")
+            .option("maxRecordsPerFile", min(records_per_archive, archive_bytes // bounds[c]) if c < len(bounds) else 1)
+            .mode("overwrite" if c == used[0] else "append").text(path)
+        )
 
 
 @dataclass
@@ -380,14 +396,18 @@ def _hex_digest(named: str | None) -> str | None:
         return None
 
 
+def _bigint(value: str) -> int | None:
+    number = int(value) if re.fullmatch("-?[0-9]{1,19}", value) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
 def _row(archive: str, r: Record) -> tuple:
     if r.reason:
         return (archive, r.start, r.end, r.reason, r.block) + (None,) * 7
     h = r.headers
-    page = h.get("warc-page-id", "")
     return (
         archive, r.start, r.end, None, None, h.get("warc-record-id"), h.get("warc-type"),
-        int(page) if re.fullmatch("-?[0-9]{1,18}", page) else None, h.get("warc-target-uri"),
+        _bigint(h.get("warc-page-id", "")), h.get("warc-target-uri"),
         h.get("warc-refers-to"), _hex_digest(h.get("warc-payload-digest")),
         _http_payload(r.block) if h.get("warc-type") != "revisit" else None,
     )

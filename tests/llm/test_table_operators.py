@@ -124,6 +124,30 @@ def test_archives_round_trip_with_damage(spark, tmp_path):
     assert len(log) == 1 and log[0].reason and log[0].end > log[0].start
 
 
+def test_archives_keep_ids_of_all_64_bits(spark):
+    html = "<p>" + "x" * 1200
+    ids = [10**18, 2**63 - 1, -(2**63), -(10**18)]
+    pages = spark.createDataFrame([(i, "u", html + str(i % 2)) for i in ids], "page_id bigint, url string, html string")
+    rows = warc.round_trip(pages).collect()
+    assert sorted(r.page_id for r in rows) == sorted(ids)
+    assert {r.page_id: r.refers_to for r in rows if r.record_type == "revisit"} == {-(2**63): 10**18, -(10**18): 10**18}
+
+
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    text = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    sizes = [100] * 40 + [5000] * 20 + [30_000] * 4 + [90_000]
+    pages = spark.createDataFrame(
+        [(i, "u", text(n)) for i, n in enumerate(sizes)], "page_id bigint, url string, html string"
+    ).coalesce(1)
+    path = tmp_path / "archives"
+    warc.write(warc.planned(pages), str(path), records_per_archive=50, gzipped=False, archive_bytes=50_000)
+    got = warc.read(spark, str(path)).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(sizes))) and not any(r.reason for r in got)
+    files = [f.stat().st_size for f in path.glob("part-*")]
+    assert sum(n > 70_000 for n in files) == 1 and len(files) < len(sizes)
+
+
 def test_mix_edges(edge, make):
     rows, df = edge
     plan = mixing.mix_plan(df).collect()
