@@ -162,6 +162,9 @@ class Tree:
                 if i == query_id:
                     continue
                 entry = (int(s), -i)
+                # An id may have several vectors of one score, here or in other shards
+                if entry in best:
+                    continue
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
@@ -200,7 +203,7 @@ def _build_shard(table: pa.Table) -> pa.Table:
 def build_index(points: DataFrame, k: int) -> DataFrame:
     """All pages of the index, one subtree per shard, as a written table.
 
-    ``points`` (vec_id, width, q) is a written table. Of equal vectors only the ``k`` + 1
+    ``points`` (vec_id, width, q) is a written table; rows that repeat count once. Of equal vectors only the ``k`` + 1
     smallest ids can ever be among a query's ``k`` best (ties go to the smaller id and one
     may be the query itself), so the others are left out exactly; that limit is applied
     before the shuffle. A vector goes to the nearest of at most ``TOP_PIVOTS`` routing objects
@@ -208,7 +211,7 @@ def build_index(points: DataFrame, k: int) -> DataFrame:
     """
     same = Window.partitionBy("width", "q").orderBy("vec_id")
     distinct = written(
-        points.withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k + 1).drop("_r"),
+        points.select("vec_id", "width", "q").distinct().withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k + 1).drop("_r"),
         "mtree-points",
     )
     norm = F.aggregate("q", F.lit(0.0), lambda a, x: a + x * x)
@@ -260,6 +263,7 @@ def top_k(points: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     bits.
     """
     nodes = build_index(points, k)
+    queries = queries.select("vec_id", "width", "q").distinct()
     blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     shards = nodes.filter("parent < 0").select(

@@ -210,6 +210,15 @@ def test_mtree_leaves_bad_vectors_out(spark):
     assert mtree.nearest(df.filter("false"), 50).count() == 0
 
 
+def test_mtree_counts_repeated_rows_once(spark):
+    """Seven copies of one row, and an id with two vectors of one score, take one place each."""
+    rows = [(1, [2.0, 2.0])] * 7 + [(i, [2.0, 2.0]) for i in range(2, 5)] + [(5, [3.0, 1.0]), (5, [1.0, 3.0])]
+    rows += [(i, [1.0, 1.0]) for i in range(6, 9)] + [(0, [1.0, 1.0])] * 2
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id) for r in mtree.nearest(df, 50, 7).collect())
+    assert got == [(k + 1, k + 1) for k in range(7)]
+
+
 def test_tree_prunes():
     rng = np.random.default_rng(2)
     points = rng.normal(size=(2000, 3))
