@@ -177,3 +177,10 @@ def test_exact_quantiles_with_ties_and_nulls(spark):
     df = spark.createDataFrame(rows, "v double").withColumn("w", F.lit(None).cast("double"))
     got = {r.column_name: (r.p25, r.p50, r.p75) for r in profiling.exact_quantiles(df, ["v", "w"], (0.25, 0.5, 0.75)).collect()}
     assert got == {"v": (1.0, 1.0, 2.0)}
+
+
+def test_exact_quantiles_sort_only_values_near_them(spark):
+    df = spark.range(200_000).selectExpr("(id * 7919) % 200000 AS v", "cast(id % 3 AS double) AS w")
+    assert profiling._around(df, ["v", "w"], (0.25, 0.5, 0.75)).count() < 2000
+    got = {r.column_name: (r.p25, r.p50, r.p75) for r in profiling.exact_quantiles(df, ["v", "w"], (0.25, 0.5, 0.75)).collect()}
+    assert got == {"v": (49_999.0, 99_999.0, 149_999.0), "w": (0.0, 1.0, 2.0)}
