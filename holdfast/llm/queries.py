@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, secrets, tokens, warc
+from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, resample, secrets, tokens, warc
 from holdfast.llm.common import body, held, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,53 @@ def op1_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op3_pitman_yor")
 def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return hpylm.scored(table(spark, folder, "documents"))
+
+
+def _resample_sql() -> str:
+    """The CRC of each distinct feature is folded over its bytes; the step table comes from its rule."""
+    steps = ", ".join(str(n) for n in resample.CRC_TABLE)
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, 0 AS side, doc_id, text FROM documents
+  UNION ALL SELECT row_number() OVER (), 1, NULL, text FROM benchmark),
+w AS (
+  SELECT r, side, doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM texts),
+f AS (
+  SELECT r, side, unnest(list_concat(w, list_concat(
+           list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+           list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS f FROM w),
+n AS (SELECT r, side, f, count(*) AS n FROM f GROUP BY ALL),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM n)),
+b AS (
+  SELECT f, xor(4294967295::BIGINT, list_reduce(
+           list_transform(range(0, len(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::BIGINT),
+           lambda c, y: xor(c >> 8, [{steps}][(xor(c, y) & 255) + 1]::BIGINT),
+           4294967295::BIGINT)) % 10000 AS b FROM h),
+counts AS (SELECT b, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM n JOIN b USING (f) GROUP BY b),
+total AS (SELECT coalesce(sum(s), 0)::DOUBLE + 10000 AS s_all, coalesce(sum(t), 0)::DOUBLE + 10000 AS t_all FROM counts),
+g AS (
+  SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * s_all / ((coalesce(s, 0) + 1)::DOUBLE * t_all)))::BIGINT AS gain
+  FROM counts, total),
+v AS (
+  SELECT r, sum(n) AS n_features, sum(n * gain) AS weight FROM n JOIN b USING (f) JOIN g USING (b)
+  WHERE side = 0 GROUP BY r),
+s AS (
+  SELECT w.r, doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((
+           ('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT
+           AS score
+  FROM w LEFT JOIN v USING (r) WHERE side = 0),
+k AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS k FROM s WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN k <= (SELECT 5 * count(*) // 100 FROM k) THEN k END AS rank
+FROM s LEFT JOIN k USING (r)
+"""
+
+
+@_query("op11_importance_resampling", _resample_sql())
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
