@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, resample, secrets, tokens, warc
+from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, resample, secrets, simhash, tokens, warc
 from holdfast.llm.common import body, held, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,3 +241,8 @@ FROM s LEFT JOIN k USING (r)
 def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     drawn = resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query("op12_deletion_variants")
+def op12_deletion_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
