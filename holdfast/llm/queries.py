@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import hpylm, lines, mixing, mtree, neardup, pii, quality, resample, secrets, simhash, tokens, warc
+from holdfast.llm import hpylm, lines, mixing, mtree, neardup, phrases, pii, quality, resample, secrets, simhash, tokens, warc
 from holdfast.llm.common import body, held, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,3 +246,39 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op12_deletion_variants")
 def op12_deletion_variants(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+PHRASE_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+g AS (
+  SELECT lang, k, i, w[i : i + k - 1] AS w
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k))),
+n AS (SELECT lang, count(*)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, w, array_to_string(w, ' ') AS phrase, count(*)::BIGINT AS f FROM g GROUP BY lang, k, w HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, k, w, phrase, f AS a, unnest(range(1, k)) AS cut FROM f WHERE k >= 2),
+sided AS (
+  SELECT c.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.w = c.w[1 : cut] JOIN f y ON y.lang = c.lang AND y.w = c.w[cut + 1 : c.k]),
+best AS (
+  SELECT * FROM sided QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, cut) = 1),
+held AS (
+  SELECT lang, sub, max(f) AS f
+  FROM (SELECT lang, f, w[i : i + size - 1] AS sub
+        FROM (SELECT lang, f, w, size, unnest(range(1, k - size + 2)) AS i
+              FROM (SELECT lang, f, w, k, unnest(range(2, k)) AS size FROM f WHERE k >= 3))) GROUP BY lang, sub),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.sub = b.w
+  WHERE NOT coalesce(100::HUGEINT * h.f >= 80::HUGEINT * b.a, false))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@_query("op13_phrase_collocations", PHRASE_SQL)
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
