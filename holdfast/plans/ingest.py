@@ -134,6 +134,31 @@ def rescue_csv_header(spark, folder):
     return readers.read_feed(spark, feed, path)
 
 
+@query(
+    "ingest_csv_stream",
+    f"""SELECT portfolio_id, CASE WHEN quantity >= 40 THEN NULL ELSE as_of_date END AS as_of_date,
+              investment_asset_id, quantity,
+              CASE WHEN quantity <= 2 THEN '{{"note":"small"}}' END AS _rescued_data,
+              'investment_holdings_snapshot__{RUN_TS}' AS _batch_id, true AS has_source_file FROM holding""",
+)
+def ingest_csv_stream(spark, folder):
+    """Three deliveries of other columns and orders, each landed by a run of its own; a fourth run finds nothing."""
+    feed, root = "investment_holdings_snapshot", work_dir(spark, "ingest-csv")
+    rows, quantity = market.holdings(spark, folder), F.col("quantity")
+    deliveries = (
+        (quantity <= 2, ["investment_asset_id", F.lit("small").alias("note"), "quantity", "portfolio_id", "as_of_date"]),
+        ((quantity > 2) & (quantity < 40), ["as_of_date", "portfolio_id", "investment_asset_id", "quantity"]),
+        (quantity >= 40, ["quantity", "portfolio_id", "investment_asset_id"]),
+        (F.lit(False), ["quantity"]),
+    )
+    for chosen, columns in deliveries:
+        rows.filter(chosen).select(*columns).write.mode("append").option("header", True).csv(f"{root}/raw/{feed}")
+        landing.ingest_all(spark, f"{root}/raw", f"{root}/tables", f"{root}/checkpoints", RUN_TS, [feed])
+    return landing.landed(spark, feed, f"{root}/tables").select(
+        *SCHEMAS[feed].names, "_rescued_data", "_batch_id", F.col("_source_file").endswith(".csv").alias("has_source_file")
+    )
+
+
 @query(
     "audit_columns",
     f"""SELECT transaction_id, '{FEED}.json' AS _source_file,

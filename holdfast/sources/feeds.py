@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+import re
+from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -77,46 +83,104 @@ def _csv_options(reader, schema: StructType, header: bool):
     )
 
 
-def _values(line: Column, slots: int) -> Column:
-    """The values of a CSV line as an array of ``slots`` texts, absent ones NULL."""
-    names = [f"c{i}" for i in range(slots)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names))
-    return F.array(*[parsed[n] for n in names])
+# A value of a CSV line behind its comma, quoted or not
+_CSV_VALUE = r',("(?:[^"\\\\]|\\\\.|"")*"|[^,]*)'
+_PLACE = "_extra_"
+
+
+def split_csv(line: Column) -> Column:
+    """The values of one CSV record as an array of texts, as many as there are; empty ones NULL."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CSV_VALUE), F.lit(1))
+    inner = lambda v: F.regexp_replace(F.substring(v, 2, F.length(v) - 2), r'[\\"]"', '"')
+    return F.transform(found, lambda v: F.nullif(F.when(v.startswith('"'), inner(v)).otherwise(v), F.lit("")))
+
+
+def header_names(values: Sequence[str | None]) -> list[str]:
+    """Names of a header's columns; an empty or repeated one is named after its place."""
+    names: list[str] = []
+    for i, value in enumerate(values):
+        name = (value or "").lstrip("\ufeff").strip()
+        usable = name and name not in names and not name.startswith(_PLACE)
+        names.append(name if usable else f"{_PLACE}{i + 1}")
+    return names
 
 
-def csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, header): the first line of each file, found by one grouped pass."""
-    lines = spark.read.text(path).select(
-        "value", "_metadata.file_path", "_metadata.file_block_start",
+def csv_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[Row]:
+    """(header, torn, slashed, own, files) of the CSV files at ``paths``, one row per distinct header.
+
+    One grouped pass over the lines finds each file's first line, whether any line has an odd
+    number of quotes, so that a value of the file holds a line end, and whether quotes inside values are
+    marked by a backslash and not doubled. What reaches the driver is the headers and the file names.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start", (quotes % 2 == 1).alias("odd"),
+        F.contains("value", F.lit('\\"')).alias("slash"),
         F.monotonically_increasing_id().alias("at"),
     )
-    first = lines.filter("file_block_start = 0").groupBy("file_path")
-    return first.agg(F.min_by("value", "at").alias("header"))
+    by_file = lines.groupBy("file_path").agg(
+        F.min_by("value", F.when(F.col("file_block_start") == 0, F.col("at"))).alias("header"),
+        F.bool_or("odd").alias("torn"),
+        F.bool_or("slash").alias("slashed"),
+    )
+    # A header with a line end inside is told apart by file: its first line alone does not name it
+    cut = F.when((F.length("header") - F.length(F.replace("header", F.lit('"'), F.lit("")))) % 2 == 1, F.col("file_path"))
+    return by_file.groupBy("header", "torn", "slashed", cut.alias("own")).agg(F.collect_list("file_path").alias("files")).collect()
+
+
+def literal_path(path: str) -> str:
+    """A file's name with no character of it read as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _bound(spark: SparkSession, schema: StructType, layout: Row) -> DataFrame:
+    files = [literal_path(unquote(f)) for f in layout["files"]]
+    reader = spark.read.option("multiLine", layout["torn"]).option("columnPruning", False)
+    reader = reader.option("escape", "\\" if layout["slashed"] else '"')
+    if layout["own"] is not None:
+        names = header_names(reader.option("header", False).csv(files[:1]).first() or ())
+    else:
+        names = header_names(next(csv.reader([layout["header"]]), []))
+    columns = ", ".join(f"_c{i} string" for i in range(len(names)))
+    raw = (
+        reader.schema(f"{columns}, _whole string").option("header", True).option("enforceSchema", True)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_whole").csv(files)
+    )
+    place = {name: F.col(f"_c{i}") for i, name in enumerate(names)}
+    cast = {
+        f.name: F.expr(f"try_cast({f'_c{names.index(f.name)}' if f.name in place else 'NULL'} AS {f.dataType.simpleString()})")
+        for f in schema.fields
+    }
+    entry = lambda k, v: F.struct(k.alias("k"), v.alias("v"))
+    drift = [
+        F.when(value.isNotNull() & (cast[name].isNull() if name in cast else F.lit(True)), entry(F.lit(name), value))
+        for name, value in place.items()
+        if name not in cast or not isinstance(schema[name].dataType, StringType)
+    ]
+    more = F.slice(split_csv(F.col("_whole")), len(names) + 1, 1 << 30)
+    named = F.transform(more, lambda v, i: entry(F.concat(F.lit(_PLACE), (i + len(names) + 1).cast("string")), v))
+    beyond = F.coalesce(F.filter(named, lambda e: e["v"].isNotNull()), F.array().cast("array<struct<k:string,v:string>>"))
+    rescued = F.concat(F.array_compact(F.array(*drift)), beyond) if drift else beyond
+    return raw.select(
+        *[value.alias(name) for name, value in cast.items()],
+        F.when(F.size(rescued) > 0, F.to_json(F.map_from_entries(rescued))).alias(RESCUE_COLUMN),
+        F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("_file_name"),
+    )
 
 
-def bind_csv(lines: DataFrame, headers: DataFrame, schema: StructType) -> DataFrame:
-    """CSV lines (value, file_path, ...) as typed columns, bound by their file's header.
+def read_csv(spark: SparkSession, schema: StructType, paths: str | Sequence[str]) -> DataFrame:
+    """CSV files as typed columns bound by each file's header, with the rescue column and ``_file_name``.
 
-    A column the file lacks is NULL. A column the contract lacks, a value that does not cast and
-    a value beyond the header go to the rescue column as JSON, like those of JSON feeds. A
-    line with more values than there are places for is kept whole. Batch and stream alike.
+    Files of one header are one scan of Spark's CSV reader, of whatever width; files with a line end
+    inside a value are read record by record, the others are split. A column the file lacks is NULL.
+    A column the contract lacks, a value that does not cast and a value beyond the header go to the rescue
+    column as JSON, like those of JSON feeds. Only a file's first record is its header.
     """
-    slots = 2 * len(schema.fields) + 32
-    kept = [c for c in lines.columns if c not in ("value", "file_path")]
-    named = headers.select("file_path", "header", _values(F.col("header"), slots).alias("_names"))
-    names = F.col("_names")
-    label = lambda i: F.when(
-        F.get(names, i).isNotNull() & (F.array_position(names, F.get(names, i)) == i + 1), F.trim(F.get(names, i))
-    ).otherwise(F.concat(F.lit("_extra_"), (i + 1).cast("string")))
-    entries = F.transform("_values", lambda v, i: F.struct(label(i).alias("k"), v.alias("v")))
-    rows = (
-        lines.join(named, "file_path")
-        .filter(F.col("value") != F.col("header"))
-        .withColumn("_values", _values(F.col("value"), slots))
-        .withColumn("_json", F.to_json(F.map_from_entries(F.filter(entries, lambda e: e["v"].isNotNull()))))
-    )
-    whole = F.when(F.get("_values", F.lit(slots - 1)).isNotNull(), F.col("value")).otherwise(F.col("_json"))
-    return rescue_json(rows.select(*kept, whole.alias("value")), schema)
+    bound = [_bound(spark, schema, layout) for layout in csv_layouts(spark, paths)]
+    if not bound:
+        names = [RESCUE_COLUMN, "_file_name"]
+        return spark.createDataFrame([], StructType([*schema.fields, *[StructField(n, StringType(), True) for n in names]]))
+    return reduce(DataFrame.unionByName, bound)
 
 
 def read_feed(spark: SparkSession, feed: str, path: str, header: bool = True) -> DataFrame:
@@ -128,22 +192,30 @@ def read_feed(spark: SparkSession, feed: str, path: str, header: bool = True) ->
     if FORMATS[feed] == "json":
         return rescue_json(spark.read.text(path), schema)
     if header:
-        lines = spark.read.text(path).select("value", "_metadata.file_path")
-        return bind_csv(lines, csv_headers(spark, path), schema)
+        return read_csv(spark, schema, path).drop("_file_name")
     return _csv_options(spark.read, schema, header).csv(path)
 
 
 def stream_feed(
     spark: SparkSession, feed: str, path: str, max_files: int = MAX_FILES
 ) -> DataFrame:
-    """The same rows as a stream that sees each file once; keeps the file name.
+    """The same rows of a JSON feed as a stream that sees each file once; keeps the file name.
 
     A trigger takes at most ``max_files``, so a backlog is read in steps of a bounded size.
     """
-    schema = SCHEMAS[feed]
+    if FORMATS[feed] != "json":
+        raise ValueError(f"{feed} is bound by the headers of its files: see stream_files and read_csv")
     reader = spark.readStream.option("maxFilesPerTrigger", max_files)
     name = F.col("_metadata.file_name").alias("_file_name")
-    if FORMATS[feed] == "json":
-        return rescue_json(reader.text(path).select("value", name), schema)
-    lines = reader.text(path).select("value", "_metadata.file_path", name)
-    return bind_csv(lines, csv_headers(spark, path), schema)
+    return rescue_json(reader.text(path).select("value", name), SCHEMAS[feed])
+
+
+def stream_files(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
+    """The names (``path``) of arriving files as a stream; their content is not read.
+
+    A micro-batch holds at most ``max_files`` names. Whatever depends on a whole file, such as its header,
+    is worked out when its batch runs, so it makes no difference when a file arrives.
+    """
+    listed = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(listed).option("maxFilesPerTrigger", max_files)
+    return reader.load(path).select("path")

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from holdfast.sources.feeds import batch_id, stream_feed, with_audit
-from holdfast.sources.schemas import SCHEMAS
+from holdfast.sources.feeds import literal_path, batch_id, read_csv, stream_feed, stream_files, with_audit
+from holdfast.sources.schemas import FORMATS, SCHEMAS
+
+# Number of the micro-batch that landed a CSV file, as a folder of the table
+LANDED = "_landed"
 
 
 def ingest(
@@ -17,21 +20,39 @@ def ingest(
 ) -> StreamingQuery:
     """Start landing the new files of one feed in ``<tables>/raw_<feed>``.
 
-    The checkpoint remembers the files already read and the file sink commits each batch
-    once, so a rerun, or a restart after a failure, neither repeats nor loses rows.
+    The checkpoint remembers the files already read. JSON goes through the file sink, which commits
+    each batch once. CSV files are bound by their own headers when their batch runs, and
+    the batch is written to the folder of its number, which a repeated batch replaces. Either way a
+    rerun, or a restart after a failure, neither repeats nor loses rows.
     """
-    landed = stream_feed(spark, feed, f"{raw}/{feed}")
-    audited = with_audit(landed, F.col("_file_name"), batch_id(feed, run_ts)).drop("_file_name")
+    source, target, batch = f"{raw}/{feed}", f"{tables}/raw_{feed}", batch_id(feed, run_ts)
+
+    def audited(rows: DataFrame) -> DataFrame:
+        return with_audit(rows, F.col("_file_name"), batch).drop("_file_name")
+
+    def land(names: DataFrame, number: int) -> None:
+        files = [literal_path(r["path"]) for r in names.collect()]
+        if files:
+            rows = read_csv(names.sparkSession, SCHEMAS[feed], files)
+            audited(rows).write.mode("overwrite").parquet(f"{target}/{LANDED}={number}")
+
+    if FORMATS[feed] == "json":
+        writer = audited(stream_feed(spark, feed, source)).writeStream.format("parquet").option("path", target)
+    else:
+        writer = stream_files(spark, source).writeStream.foreachBatch(land)
     return (
-        audited.writeStream.format("parquet")
-        .option("path", f"{tables}/raw_{feed}")
-        .option("checkpointLocation", f"{checkpoints}/{feed}")
+        writer.option("checkpointLocation", f"{checkpoints}/{feed}")
         .trigger(availableNow=True)
         .queryName(f"ingest-{feed}")
         .start()
     )
 
 
+def landed(spark: SparkSession, feed: str, tables: str) -> DataFrame:
+    """The landed rows of a feed, with the contract's columns, the rescue column and the audit columns."""
+    return spark.read.parquet(f"{tables}/raw_{feed}").drop(LANDED)
+
+
 def ingest_all(
     spark: SparkSession,
     raw: str,
