@@ -129,15 +129,20 @@ def scd2_apply(
 
 
 def scd2_from_snapshots(
-    snapshots: DataFrame, date_column: str, keys: Sequence[str], tracked: Sequence[str]
+    snapshots: DataFrame,
+    date_column: str,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
     """Versions from a series of dated full snapshots, in one shuffle by key.
 
     A version runs while the key is in every snapshot with unchanged tracked values; it ends
     on the date of the first snapshot that changes or omits it. The window holds one row per
-    snapshot of a key, and the calendar of snapshot dates is as small as their number.
+    snapshot of a key, and the calendar of snapshot dates is as small as their number. ``calendar``
+    has the dates where ``snapshots`` holds some keys only.
     """
-    dates = snapshots.select(F.col(date_column).alias("_date")).distinct()
+    dates = (snapshots if calendar is None else calendar).select(F.col(date_column).alias("_date")).distinct()
     in_order = Window.orderBy("_date")
     calendar = dates.withColumns(
         {"_before": F.lag("_date").over(in_order), "_after": F.lead("_date").over(in_order)}
@@ -165,6 +170,68 @@ def scd2_from_snapshots(
     )
 
 
+def splice_snapshots(
+    versions: DataFrame,
+    calendar: DataFrame,
+    arrived: DataFrame,
+    date_column: str,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+) -> tuple[DataFrame, DataFrame]:
+    """What snapshot rows change in a stored history: (new versions, versions that they replace).
+
+    ``versions`` as :func:`scd2_from_snapshots` returns them for the dates of ``calendar``; ``arrived`` holds
+    one row per key and date, dates and keys, with ``date_column`` a date: new dates, late ones between known
+    ones, or further or corrected rows of a known date. At a date that is new, a key that did not arrive is
+    absent; at a known date it stays as it was. Only keys whose stored version says something else on an
+    arrived date are derived again, from the last date before on, and spliced to what was before. The dates
+    reach the driver, rows do not. Untracked columns of a version that is split are those it had.
+    """
+    known = sorted(r[0] for r in calendar.select(F.col(date_column).cast("date")).distinct().collect())
+    fresh = sorted(r[0] for r in arrived.select(date_column).distinct().collect())
+    if not fresh:
+        return versions.limit(0), versions.limit(0).select(*keys, "effective_from")
+    since = max((d for d in known if d < fresh[0]), default=fresh[0])
+    days = lambda dates: F.array(*[F.lit(d) for d in dates]).cast("array<date>")
+    valid = lambda d: (F.col("effective_from") <= d) & (d < F.col("effective_to"))
+    same_key = [F.col(f"_k{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
+    renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+
+    def on(dates: list) -> DataFrame:
+        """The stored rows of some dates, one per key and date."""
+        return versions.filter(F.col("effective_to") > F.lit(since)).withColumn(
+            date_column, F.explode(F.filter(days(dates), valid))
+        )
+
+    said = on(fresh).select(*renamed, F.col(date_column).alias("_day"), F.struct(*tracked).alias("_said"))
+    rows = arrived.select(*keys, date_column, F.struct(*tracked).alias("_now"))
+    met = said.join(rows, [*same_key, F.col("_day") == F.col(date_column)], "full_outer")
+    unheard = F.col("_now").isNull() & F.lit(not set(fresh) <= set(known)) & ~F.array_contains(days(known), F.col("_day"))
+    differs = F.col("_now").isNotNull() & ~F.col("_now").eqNullSafe(F.col("_said"))
+    heard = F.col("_now").isNotNull()
+    touched = met.filter(unheard | differs).select(
+        *[F.when(heard, F.col(k)).otherwise(F.col(f"_k{i}")).alias(f"_k{i}") for i, k in enumerate(keys)]
+    ).distinct()
+    columns = [c for c in versions.columns if c not in VERSION_COLUMNS]
+    replaced = versions.filter(F.col("effective_to") > F.lit(since)).join(touched, same_key, "left_semi")
+    stays = on([d for d in known if d >= since]).join(touched, same_key, "left_semi")
+    sent = arrived.select(*renamed, F.col(date_column).alias("_day"))
+    stays = stays.join(sent, [*same_key, F.col("_day") == F.col(date_column)], "left_anti")
+    daily = stays.select(*columns, date_column).unionByName(
+        arrived.join(touched, same_key, "left_semi").select(*columns, date_column)
+    )
+    dates = versions.sparkSession.createDataFrame(
+        [(d,) for d in sorted({d for d in known if d >= since} | set(fresh))], f"`{date_column}` date"
+    )
+    derived = scd2_from_snapshots(daily, date_column, keys, tracked, dates)
+    begun = replaced.filter(F.col("effective_from") < F.lit(since)).select(*renamed, F.col("effective_from").alias("_begun"))
+    goes_on = [*same_key, F.col("effective_from") == F.lit(since)]
+    spliced = derived.join(begun, goes_on, "left").withColumn(
+        "effective_from", F.coalesce("_begun", "effective_from")
+    )
+    return spliced.select(*versions.columns), replaced.select(*keys, "effective_from")
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changed keys between two snapshots: insert, update or delete."""
     rest = [c for c in new.columns if c not in keys]

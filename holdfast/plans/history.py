@@ -9,11 +9,12 @@ from holdfast.operators.keys import dedupe_latest
 from holdfast.plans import valuation as valuation_plans
 from holdfast.plans.registry import query
 from holdfast.session import work_dir
-from holdfast.sources import market, sinks
+from holdfast.sources import keyed, market, sinks
 
 # Where the landed data is cut into a first load and a later batch
 BATCH_CUT = "1999-01-01 00:00:00"
 CORRECTION_FROM = "2000-01-01"
+UPSERT_BUCKETS = 16
 TRACKED = ("sector", "issuer_id", "asset_type", "name")
 ASSET_KEY = ("investment_asset_id",)
 D1, D2, D3 = market.SNAPSHOT_DATES
@@ -45,10 +46,9 @@ def upsert(spark, folder):
     first = dedupe_latest(landed.filter(F.col("_ingest_ts") < cut), key, "_ingest_ts")
     batch = dedupe_latest(landed.filter(F.col("_ingest_ts") >= cut), key, "_ingest_ts")
     root = work_dir(spark, "upsert")
-    table = history.upsert_table(spark, first, None, f"{root}/v1", key)
-    table = history.upsert_table(spark, batch, table, f"{root}/v2", key)
-    table = history.upsert_table(spark, batch, table, f"{root}/v3", key)
-    return spark.read.parquet(table)
+    for rows in (first, batch, batch):
+        keyed.merge(spark, root, rows, key, buckets=UPSERT_BUCKETS)
+    return keyed.read(spark, root)
 
 
 @query(

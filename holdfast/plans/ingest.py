@@ -277,33 +277,32 @@ def stream_dedupe(spark, folder):
         {_next_state("state2", "snap3", D3, True)}""",
 )
 def scd2_stream(spark, folder):
-    """The three snapshots arrive as files, one per trigger."""
+    """The three snapshots arrive as files: the last and the first before one run, the late second before another."""
     root = work_dir(spark, "scd2-stream")
-    schema = None
-    for version, date in enumerate((D1, D2, D3), start=1):
-        rows = market.asset_snapshot(spark, folder, version).withColumn(
-            "snapshot_date", F.lit(date)
+    for run in ((3, 1), (2,)):
+        for version in run:
+            rows = market.asset_snapshot(spark, folder, version).withColumn(
+                "snapshot_date", F.lit((D1, D2, D3)[version - 1])
+            )
+            rows.write.mode("append").parquet(f"{root}/snapshots")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/snapshots")
+        versions = snapshots.history_stream(
+            stream, "snapshot_date", ASSET_KEY, TRACKED, f"{root}/dim", f"{root}/checkpoint", buckets=16
         )
-        rows.write.mode("append").parquet(f"{root}/snapshots")
-        schema = rows.schema
-    stream = spark.readStream.schema(schema).parquet(f"{root}/snapshots")
-    newest = snapshots.scd2_stream(
-        stream, "snapshot_date", ASSET_KEY, TRACKED, f"{root}/dim", f"{root}/checkpoint"
-    )
-    return spark.read.parquet(newest)
+    return versions
 
 
 @query("chunk_refresh_stream", "SELECT chunk_id, doc_name, chunk_text FROM approved_chunk")
 def chunk_refresh_stream(spark, folder):
-    """Approved documents arrive as files and are chunked and upserted on arrival."""
+    """Approved documents arrive in three deliveries and are chunked and merged on arrival, one file a batch."""
     root = work_dir(spark, "chunk-stream")
     documents = approved(spark, folder)
-    documents.write.parquet(f"{root}/documents")
-    stream = spark.readStream.schema(documents.schema).parquet(f"{root}/documents")
-    newest = snapshots.upsert_stream(
-        retrieval.chunk_documents(stream), ["chunk_id"], f"{root}/chunks", f"{root}/checkpoint"
+    for turn in range(3):
+        documents.filter(F.pmod("doc_id", F.lit(3)) == turn).coalesce(1).write.mode("append").parquet(f"{root}/documents")
+    stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/documents")
+    return snapshots.merge_stream(
+        retrieval.chunk_documents(stream), ["chunk_id"], f"{root}/chunks", f"{root}/checkpoint", buckets=16
     )
-    return spark.read.parquet(newest)
 
 
 @query(

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from holdfast.operators import history, retrieval
+from holdfast.operators import retrieval
 from holdfast.plans import valuation as valuation_plans
 from holdfast.plans.registry import query
 from holdfast.session import work_dir
-from holdfast.sources import market
+from holdfast.sources import keyed, market
 
 # Fixed values
 TOP_K = 3
+INDEX_BUCKETS = 16
 INSTRUCTION = "Answer from the data below only and name the document you used."
 
 
@@ -50,13 +51,9 @@ def chunk_upsert(spark, folder):
         "text", F.replace("text", F.lit("e"), F.lit("E"))
     )
     root = work_dir(spark, "chunks")
-    table = history.upsert_table(
-        spark, retrieval.chunk_documents(first), None, f"{root}/v1", ["chunk_id"]
-    )
-    table = history.upsert_table(
-        spark, retrieval.chunk_documents(refresh), table, f"{root}/v2", ["chunk_id"]
-    )
-    return spark.read.parquet(table)
+    for texts in (first, refresh):
+        keyed.merge(spark, root, retrieval.chunk_documents(texts), ["chunk_id"], buckets=INDEX_BUCKETS)
+    return keyed.read(spark, root)
 
 
 @query(

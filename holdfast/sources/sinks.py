@@ -21,6 +21,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of finished steps, in whatever store it is; none there is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one table partition together, large ones split, small ones merged (AQE)."""
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
