@@ -57,82 +57,117 @@ def apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def _variants(rows: DataFrame, spot: str, part: str, bits: int, first: str) -> DataFrame:
-    """Each row at 2 * ``bits`` spots: per half of ``part``'s width the value without one of its bits.
+def _opened(rows: DataFrame, part: str, bits: int, first: str) -> DataFrame:
+    """Each row at 2 * ``bits`` spots: per half of ``part`` the value without one of its bits, which is the side.
 
     ``part`` has 2 * ``bits`` bits. Two values that differ by at most one bit in a half share a spot. The
-    spot is packed behind ``first``, a number that the rows of one spot have in common.
+    spot is packed behind ``first``, a number that the rows of one spot have in common; ``half`` says which half.
     """
     half = f"(shiftrightunsigned({part}, CAST({bits} * (_i DIV {bits}) AS INT)) & {(1 << bits) - 1}L)"
     low = f"({half} & (shiftleft(1L, _i % {bits}) - 1))"
     high = f"shiftleft(shiftright({half}, _i % {bits} + 1), _i % {bits})"
     packed = f"shiftleft(shiftleft({first}, {(2 * bits - 1).bit_length()}) | _i, {bits - 1}) | {high} | {low}"
-    opened = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(2 * bits - 1))))
-    return opened.withColumn(spot, F.expr(packed)).drop("_i")
+    numbered = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(2 * bits - 1))))
+    return numbered.withColumns(
+        {"spot": F.expr(packed), "_half": F.expr(f"_i DIV {bits}"), "_bit": F.expr(f"shiftright({half}, _i % {bits}) & 1")}
+    ).drop("_i")
 
 
 def halves(nodes: DataFrame) -> DataFrame:
-    """Fingerprints at 64 spots of 37 bits: which half and bit is left out, and the other 31 bits."""
-    return _variants(nodes, "spot", "print", 32, "0L")
+    """Fingerprints at two spots: each half as it is."""
+    spot = "shiftleft(CAST(half AS BIGINT), 32) | (shiftrightunsigned(print, CAST(32 * half AS INT)) & 4294967295L)"
+    return nodes.withColumn("half", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("spot", F.expr(spot))
+
+
+def variants(nodes: DataFrame) -> DataFrame:
+    """Fingerprints at 64 spots of 37 bits, a half without one bit each, with that bit as their side."""
+    return _opened(nodes, "print", 32, "0L").withColumnsRenamed({"_half": "half", "_bit": "side"})
 
 
 def quarters(rows: DataFrame) -> DataFrame:
     """Rows of a spot dealt to 32 finer ones by the half that the spot leaves open.
 
-    Links within a spot differ in three bits of that half at most, so in one bit of one of its halves.
+    Links within a spot differ in three bits of that half at most, so in one bit at most of one of its halves.
     """
-    other = "shiftrightunsigned(print, IF(shiftright(spot, 31) < 32, 32, 0)) & 4294967295L"
-    return _variants(rows.withColumn("_open", F.expr(other)), "spot", "_open", 16, "spot").drop("_open")
+    other = "shiftrightunsigned(print, IF(half = 0, 32, 0)) & 4294967295L"
+    return _opened(rows.withColumn("_open", F.expr(other)), "_open", 16, "spot").drop("_open", "_half", "_bit")
 
 
-def meetings(rows: DataFrame) -> DataFrame:
-    """(spot, print, n, lead, members) of the spots with two members or more.
+def _starred(rows: DataFrame, distance: int) -> DataFrame:
+    """Links (a, b) of each spot's members with the one that has the most documents.
 
-    The lead is the member with the most documents. It is found by an aggregation and joined back, so a
-    spot that holds a third of all rows is split by Spark and none is gathered in one task.
+    The lead is found by an aggregation and joined back, so a spot that holds a third of all rows is split by Spark
+    and none is gathered in one task. Where rows have a side, they are compared with the other side's lead.
     """
-    leads = rows.groupBy("spot").agg(F.max_by("print", "n").alias("lead"), F.count("*").alias("members"))
-    return rows.join(leads.filter("members > 1"), "spot").select("spot", "print", "n", "lead", "members")
-
-
-def _edges(met: DataFrame, distance: int) -> DataFrame:
-    linked = met.filter((F.col("print") != F.col("lead")) & (apart("print", "lead") <= distance))
+    sides = ["side"] if "side" in rows.columns else []
+    leads = rows.groupBy("spot", *sides).agg(F.max_by("print", "n").alias("lead"))
+    if sides:
+        leads = leads.withColumn("side", 1 - F.col("side"))
+    linked = rows.join(leads, ["spot", *sides]).filter((F.col("print") != F.col("lead")) & (apart("print", "lead") <= distance))
     return linked.select(F.least("print", "lead").alias("a"), F.greatest("print", "lead").alias("b")).distinct()
 
 
-def _torn(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (spot, print, n, label) of the spots whose members are of several components yet."""
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     own = labels.select(F.col("node").alias("print"), F.col("component").alias("_label"))
-    known = rows.select("spot", "print", "n").join(own, "print", "left")
-    known = written(known.select("spot", "print", "n", F.coalesce("_label", "print").alias("label")), "simhash-labels")
-    spans = known.groupBy("spot").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
-    return known.join(spans.filter("_least < _most").select("spot"), "spot", "left_semi")
+    return rows.drop("label").join(own, "print", "left").withColumn("label", F.coalesce("_label", "print")).drop("_label")
+
+
+def _torn(rows: DataFrame) -> DataFrame:
+    """Rows of the spots whose members are of several components yet; with sides, those that meet another one there."""
+    if "side" not in rows.columns:
+        spans = rows.groupBy("spot").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
+        return rows.join(spans.filter("_least < _most").select("spot"), "spot", "left_semi")
+    ends = [
+        f(F.when(F.col("side") == side, F.col("label"))).alias(f"_{name}{side}")
+        for side in (0, 1) for name, f in (("least", F.min), ("most", F.max))
+    ]
+    apart_ = "_least0 IS NOT NULL AND _least1 IS NOT NULL AND NOT (_least0 = _most0 AND _most0 = _least1 AND _least1 = _most1)"
+    spans = rows.groupBy("spot").agg(*ends).filter(apart_)
+    meets = F.expr("IF(side = 0, _least1 <> label OR _most1 <> label, _least0 <> label OR _most0 <> label)")
+    return rows.join(spans, "spot").filter(meets).select(*rows.columns)
+
+
+def _pairs(rows: DataFrame, distance: int) -> DataFrame:
+    """Links between members of one spot and of different components, pair by pair."""
+    side = ["side"] if "side" in rows.columns else []
+    x = rows.select("spot", F.col("print").alias("a"), F.col("label").alias("_a"), *[F.col(c).alias("_sa") for c in side])
+    y = rows.select("spot", F.col("print").alias("b"), F.col("label").alias("_b"), *[F.col(c).alias("_sb") for c in side])
+    order = (F.col("_sa") < F.col("_sb")) & (F.col("_a") != F.col("_b")) if side else F.col("_a") < F.col("_b")
+    return x.join(y, "spot").filter(order & (apart("a", "b") <= distance)).select("a", "b").distinct()
+
+
+def _joined(rows: DataFrame, labels: DataFrame, distance: int) -> DataFrame:
+    """``labels`` with every link inside the spots of ``rows`` (spot, half, print, n, label): a written table.
+
+    Members are compared with leads, first in these spots and then in the finer ones, and those that
+    are apart after that pair by pair. Spots whose members are all of one component leave in between.
+    """
+    labels = merged(labels, written(_starred(rows, distance), "simhash-edges"))
+    finer = written(_torn(quarters(_torn(written(_labelled(rows, labels), "simhash-rows")))), "simhash-finer")
+    if finer.isEmpty():
+        return labels
+    labels = merged(labels, written(_starred(finer, distance), "simhash-edges"))
+    left = written(_torn(written(_labelled(finer, labels), "simhash-rows")), "simhash-left")
+    return labels if left.isEmpty() else merged(labels, written(_pairs(left, distance), "simhash-edges"))
 
 
 def linked_prints(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(node, component) of the fingerprints with a link; ``nodes`` (print, n) distinct, a written table.
 
-    First every member of a spot is compared with its lead. A spot of two is then settled, and so is one
-    whose members are all of one component by now. The members of the others are dealt to the finer spots
-    and compared with those spots' leads; what is torn after that is compared pair by pair, members of one
-    component not with each other. No link is lost: the steps left out join what is joined already.
+    Of the two halves of linked fingerprints one differs by one bit at most. Those with an equal half are
+    joined first. The variants without one bit then have to bring together fingerprints that differ in just that
+    bit, and only those that are not of one component by then: a large group of near copies has mostly
+    become one and its members meet nobody. No link is lost: what is left out joins what is joined already.
     """
     if distance > DISTANCE:
         raise ValueError(f"two halves with one open bit each find links of up to {DISTANCE} bits")
-    met = written(meetings(halves(nodes)), "simhash-halves")
-    labels = components(written(_edges(met, distance), "simhash-edges"))
-    torn = written(_torn(met.filter("members > 2"), labels), "simhash-torn")
-    if torn.isEmpty():
-        return labels
-    finer = written(meetings(quarters(torn)), "simhash-quarters")
-    labels = merged(labels, written(_edges(finer, distance), "simhash-edges"))
-    torn = written(_torn(finer.filter("members > 2"), labels), "simhash-torn")
-    if torn.isEmpty():
-        return labels
-    x = torn.select("spot", F.col("print").alias("a"), F.col("label").alias("_a"))
-    y = torn.select("spot", F.col("print").alias("b"), F.col("label").alias("_b"))
-    pairs = x.join(y, "spot").filter((F.col("_a") < F.col("_b")) & (apart("a", "b") <= distance))
-    return merged(labels, written(pairs.select("a", "b").distinct(), "simhash-edges"))
+    none = nodes.select(F.col("print").alias("node"), F.col("print").alias("component")).filter("false")
+    alike = halves(nodes)
+    shared = alike.groupBy("spot").agg(F.count("*").alias("_members")).filter("_members > 1")
+    rows = written(alike.join(shared.select("spot"), "spot", "left_semi").withColumn("label", F.col("print")), "simhash-halves")
+    labels = _joined(rows, none, distance)
+    rows = written(_torn(variants(written(_labelled(nodes, labels), "simhash-nodes"))), "simhash-variants")
+    return labels if rows.isEmpty() else _joined(rows, labels, distance)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
