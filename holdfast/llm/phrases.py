@@ -22,8 +22,8 @@ CONTAINED_PERCENT = 80
 TOP = 2_000
 UNKNOWN = "und"
 # Bytes of text whose words are numbered together; n-grams that a task holds before it hands them on
-BLOCK_BYTES = 1 << 22
-TASK_KEYS = 1 << 21
+BLOCK_BYTES = 1 << 21
+TASK_KEYS = 1 << 20
 # Counters of one hash partition's summary, about; n-grams in one row of a partial summary
 CELL_KEYS = 1 << 18
 ROW_KEYS = 1 << 10
@@ -90,9 +90,11 @@ class Grams:
                 # Two numbers below 2**31 each in one, then numbered anew: exact, no hash
                 level = pd.factorize(level[:-1] * (len(self.words) + 1) + ids[width - 1 :])[0].astype(np.int64)
             new = np.arange(len(level)) + width > carried
-            at = np.flatnonzero(inside & new)
-            distinct, first, count = np.unique(level[at], return_index=True, return_counts=True)
-            at = at[first]
+            places = np.flatnonzero(inside & new)
+            count = np.bincount(level[places])
+            some = np.zeros(len(count), np.int64)
+            some[level[places]] = places
+            at, count = some[count > 0], count[count > 0]
             with np.errstate(over="ignore"):
                 key = np.full(len(at), _U(width))
                 for j in range(width):
@@ -133,7 +135,7 @@ def merge_summary(
     it has none, by more than the sum of these over all merges. Each lowering by one takes one from
     more than ``capacity`` counters, so that sum is below the mass divided by the capacity.
     """
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     keys = keys[starts]
@@ -149,7 +151,6 @@ def _partial_summaries(documents: DataFrame, cell_bits: int, longest: int) -> Da
     """(cell, mass, keys, counts): what a task counted, by hash partition, in rows of bounded size."""
 
     def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keys, counts, _ = merge_summary(keys, counts)
         cells = (keys >> _U(64 - cell_bits)).astype(np.int64)
         edges = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1], True]) if len(keys) else np.zeros(1, np.int64)
         cuts = np.concatenate([np.arange(a, b, ROW_KEYS) for a, b in zip(edges[:-1], edges[1:])] or [edges[:0]])
@@ -182,7 +183,7 @@ def _partial_summaries(documents: DataFrame, cell_bits: int, longest: int) -> Da
                         k, c = k[:0], c[:0]
                     keys, counts, size, settled = [k], [c], len(k), len(k)
         if size:
-            yield from rows(np.concatenate(keys), np.concatenate(counts))
+            yield from rows(*merge_summary(np.concatenate(keys), np.concatenate(counts))[:2])
 
     return documents.mapInArrow(count, "cell bigint, mass bigint, keys binary, counts binary")
 
@@ -227,10 +228,10 @@ def _survivors(partial: DataFrame, least: int) -> DataFrame:
     return dealt.select("cell", "mass", "keys", "counts").mapInArrow(summed, "key bigint")
 
 
-def _probes(key: np.ndarray) -> list[np.ndarray]:
+def _probe(key: np.ndarray, number: int) -> np.ndarray:
     """Bit numbers of hashed keys in the filter."""
     with np.errstate(over="ignore"):
-        return [(mix(key + _U(j * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % _U(FILTER_BITS)).astype(np.int64) for j in range(_PROBES)]
+        return (mix(key + _U(number * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % _U(FILTER_BITS)).astype(np.int64)
 
 
 def _filter(spark: SparkSession, survivors: DataFrame) -> np.ndarray:
@@ -238,7 +239,8 @@ def _filter(spark: SparkSession, survivors: DataFrame) -> np.ndarray:
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(np.concatenate(_probes(batch.column(0).to_numpy(zero_copy_only=False).view(_U))))
+            key = batch.column(0).to_numpy(zero_copy_only=False).view(_U)
+            at = np.unique(np.concatenate([_probe(key, i) for i in range(_PROBES)]))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.left_shift(1, at & 63))], ["w", "b"])
 
     words = survivors.mapInArrow(bits, "w bigint, b bigint").groupBy("w").agg(F.bit_or("b").alias("b"))
@@ -264,8 +266,9 @@ def _counted(documents: DataFrame, survivors: DataFrame, least: int, longest: in
                     with np.errstate(over="ignore"):
                         key = mix(key + salt)
                     some = np.arange(len(key))
-                    for probe in _probes(key):
-                        some = some[(known[probe[some] >> 3] >> (probe[some] & 7).astype(np.uint8)) & 1 == 1]
+                    for i in range(_PROBES):
+                        bit = _probe(key[some], i)
+                        some = some[(known[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
                     if len(some):
                         yield _rows(lang, width, grams.texts(width, ids, at[some]), count[some])
             if words:
