@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import filter_once, words
+from holdfast.llm.common import filter_once, words, written
 
 # One bit per rule; a rule keeps its bit for ever, so old ledgers stay readable
 RULES = (
@@ -37,50 +37,71 @@ def ledger(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with a struct column ``_ledger``: every measurement and ``failed_bits``.
 
     Each rule is evaluated once. Words are maximal runs without ASCII white space; windows of
-    three words are compared by a 64-bit hash within the document: sorted with their
-    positions, equal ones are neighbours. A null or empty text has zero of everything and fails
-    ``few_words``. Rows are independent: repeated rows and ties need no rule, an empty table
-    gives none, no row is shuffled. Columns that begin with ``_q_`` are taken.
+    three words are sorted within the document, by a hash and then by their words, so that equal
+    ones are neighbours. A null or empty text has zero of everything and fails ``few_words``.
+    Rows are independent: repeated rows and ties need no rule, an empty table gives none, no row is
+    shuffled. Columns may have any names; one called ``_ledger`` is replaced. The ledger is worked
+    out before any filter or other use of it: see :func:`_fenced`.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    with_words = df.withColumn("_q_words", words(F.col(text)))
-    token = F.col("_q_words")
+    kept = [c for c in df.columns if c != "_ledger"]
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("text"))
+    whole = F.coalesce(F.col("text"), F.lit(""))
+    token = F.col("words")
     window = F.transform(
         F.slice(token, 1, F.greatest(F.size(token) - 2, F.lit(0))),
         lambda w, i: F.struct(
-            F.xxhash64(w, F.get(token, i + 1), F.get(token, i + 2)).alias("h"), i.alias("at")
+            F.struct(
+                F.xxhash64(w, F.get(token, i + 1), F.get(token, i + 2)).alias("h"),
+                w.alias("a"), F.get(token, i + 1).alias("b"), F.get(token, i + 2).alias("c"),
+            ).alias("said"),
+            i.alias("at"),
         ),
     )
     lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
-    sorted_windows = with_words.withColumn("_q_windows", F.sort_array(window)).withColumn(
-        "_q_lines", lines
+    with_windows = packed.withColumn("words", words(F.col("text"))).withColumns(
+        {"windows": F.sort_array(window), "lines": lines}
     )
-    found = F.col("_q_windows")
+    found = F.col("windows")
     twice = F.filter(
         found,
-        lambda x, i: (x["h"] == F.get(found, i - 1)["h"]) | (x["h"] == F.get(found, i + 1)["h"]),
+        lambda x, i: (x["said"] == F.get(found, i - 1)["said"]) | (x["said"] == F.get(found, i + 1)["said"]),
     )
-    measured = sorted_windows.withColumn(
-        "_q_at", F.sort_array(F.transform(twice, lambda x: x["at"]))
-    ).withColumn(
-        "_q_measures",
+    measured = with_windows.withColumn("places", F.sort_array(F.transform(twice, lambda x: x["at"]))).withColumn(
+        "measures",
         F.struct(
-            F.size("_q_words").cast("bigint").alias("n_words"),
-            F.length(F.array_join("_q_words", "")).cast("bigint").alias("word_chars"),
+            F.size("words").cast("bigint").alias("n_words"),
+            F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
             F.length(F.regexp_replace(whole, "[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
-            F.size("_q_lines").cast("bigint").alias("n_lines"),
-            (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("bigint")
-            .alias("n_dup_lines"),
-            _repeat_words(F.col("_q_at")).cast("bigint").alias("n_repeat_words"),
+            F.size("lines").cast("bigint").alias("n_lines"),
+            (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+            _repeat_words(F.col("places")).cast("bigint").alias("n_repeat_words"),
         ),
     )
     failed = F.lit(0).cast("bigint")
     for name, rule in RULES:
         for measure in MEASURES:
-            rule = rule.replace(measure, f"_q_measures.{measure}")
+            rule = rule.replace(measure, f"measures.{measure}")
         failed = failed.bitwiseOR(F.when(F.expr(rule), F.lit(BIT[name])).otherwise(F.lit(0)))
-    noted = F.struct(*[f"_q_measures.{m}" for m in MEASURES], failed.alias("failed_bits"))
-    return measured.withColumn("_ledger", noted).drop("_q_words", "_q_windows", "_q_lines", "_q_at", "_q_measures")
+    noted = F.struct(*[f"measures.{m}" for m in MEASURES], failed.alias("failed_bits"))
+    return measured.select(*[F.col(f"doc.`{c}`") for c in kept], _fenced(noted).alias("_ledger"))
+
+
+def _fenced(noted: Column) -> Column:
+    """The ledger as a value that Spark computes once, where it stands.
+
+    A filter on it would otherwise be moved below the steps that work it out, each copied for every
+    mention of it. A condition that numbers the rows, and always holds, keeps it in its place.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, noted)
+
+
+def stored(df: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The ledger alone, written to the shared folder: ``keys``, the measurements and ``failed_bits`` per row.
+
+    Policies and ablations are worked out from it without a second look at the texts.
+    """
+    noted = ledger(df.select(*keys, text), text)
+    return written(noted.select(*keys, "_ledger"), "quality-ledger")
 
 
 def passes(version: int = CURRENT) -> Column:

@@ -82,7 +82,7 @@ def op8_fair_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
 
 
-QUALITY_SQL = r"""
+_MEASURED_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
          list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -107,6 +107,9 @@ b AS (
             + 4 * (100 * n_symbols > 20 * n_words)::BIGINT + 8 * (word_chars > 12 * n_words)::BIGINT
             + 16 * (word_chars < 2 * n_words)::BIGINT
             + 32 * (100 * n_dup_lines > 50 * n_lines)::BIGINT AS failed_bits FROM m)
+"""
+
+QUALITY_SQL = _MEASURED_SQL + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits,
        failed_bits % 4 <> 0 AS base_failed, failed_bits = 0 AS kept FROM b
 """
@@ -114,7 +117,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 
 @_query("op5_quality_ledger", QUALITY_SQL)
 def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    noted = quality.ledger(table(spark, folder, "documents"))
+    noted = quality.stored(table(spark, folder, "documents"))
     bits = F.col("_ledger.failed_bits")
     return noted.select(
         "doc_id",
@@ -125,6 +128,24 @@ def op5_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ABLATION_SQL = _MEASURED_SQL + """,
+p AS (
+  SELECT version, mask, unnest(['few_words', 'repeated_words', 'many_symbols', 'long_words', 'short_words', 'repeated_lines'])
+         AS rule, unnest([1, 2, 4, 8, 16, 32]) AS bit
+  FROM (VALUES (1, 3), (2, 63)) AS v(version, mask))
+SELECT version, rule, count(*) FILTER (failed_bits & mask & bit <> 0)::BIGINT AS failing,
+       count(*) FILTER (failed_bits & mask = bit)::BIGINT AS only_this_rule,
+       count(*) FILTER (failed_bits & mask = 0)::BIGINT AS kept
+FROM b, p WHERE mask & bit <> 0 GROUP BY version, rule
+"""
+
+
+@_query("quality_ablations", ABLATION_SQL)
+def quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    noted = quality.stored(table(spark, folder, "documents"))
+    return quality.ablations(noted.select("_ledger.failed_bits"))
+
+
 @_query("op2_min_max_hash")
 def op2_min_max_hash(spark: SparkSession, folder: str) -> DataFrame:
     rows = body(held(table(spark, folder, "documents").select("doc_id", "text"), "neardup-documents"))
