@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,79 +98,103 @@ def build_nodes(points: np.ndarray, page: int = PAGE) -> list[dict]:
     return nodes
 
 
+def _scores(x: np.ndarray, y: np.ndarray, largest: float) -> np.ndarray:
+    """Inner products of rows of whole numbers as int64, exact; ``largest`` bounds their size."""
+    if largest < _EXACT:
+        return (x @ y.T).astype(np.int64)
+    if largest >= 2.0**62:
+        raise OverflowError("inner products of these vectors do not fit in 64 bits")
+    return x.astype(np.int64) @ y.astype(np.int64).T
+
+
 class Tree:
-    """A shard's pages, searched best first with the stored bounds."""
+    """A shard's pages, searched best first for a block of queries with the stored bounds."""
 
     def __init__(self, pages: pa.Table, width: int):
-        self.ids = [np.asarray(v, np.int64) for v in pages["ids"].to_numpy()]
-        self.distance = [np.asarray(v) for v in pages["distances"].to_numpy()]
-        self.vectors = [
-            np.asarray(v, np.float64).reshape(-1, width) if len(v) else np.zeros((0, width))
-            for v in pages["vectors"].to_numpy()
-        ]
-        self.center = np.vstack([np.asarray(v) for v in pages["center"].to_numpy()])
-        self.radius = pages["radius"].to_numpy()
-        self.parent_distance = pages["parent_distance"].to_numpy()
-        self.children: dict[int, list[int]] = {}
+        arrays = lambda name, kind: [np.asarray(v, kind) for v in pages[name].to_numpy()]
+        self.ids, self.distance = arrays("ids", np.int64), arrays("distances", np.float64)
+        self.vectors = [v.reshape(-1, width) for v in arrays("vectors", np.float64)]
+        self.center = np.vstack(arrays("center", np.float64))
+        self.radius, self.parent_distance = pages["radius"].to_numpy(), pages["parent_distance"].to_numpy()
         place = {n: i for i, n in enumerate(pages["node"].to_pylist())}
-        self.root = 0
-        for i, p in enumerate(pages["parent"].to_pylist()):
-            if p < 0:
-                self.root = i
-            else:
-                self.children.setdefault(place[p], []).append(i)
-        self.kids = {i: np.asarray(c) for i, c in self.children.items()}
+        parents = [place.get(p, -1) for p in pages["parent"].to_pylist()]
+        self.root = parents.index(-1)
+        self.kids = {p: np.flatnonzero(np.asarray(parents) == p) for p in set(parents) - {-1}}
         self.top = float(pages["top"].to_numpy()[0])
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The ``k`` best (score, vec_id), the query's own row excluded."""
-        norm = float(query @ query)
-        lifted = np.append(query, 0.0)
+    def _leaves(self, lifted: np.ndarray, limit: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(leaf, queries, distances, lower bounds) of what a query may have to look at."""
+        first = _to(lifted, self.center[self.root])
+        todo, found = [(self.root, np.arange(len(lifted)), first)], []
+        while todo:
+            node, rows, distance = todo.pop()
+            if node not in self.kids:
+                found.append((node, rows, distance, np.maximum(distance - self.radius[node], 0.0)))
+                continue
+            for kid in self.kids[node]:
+                # The stored parent distance rules out a child before its own distance is computed
+                near = np.abs(distance - self.parent_distance[kid]) - self.radius[kid] <= limit[rows]
+                rows_near = rows[near]
+                own = _to(lifted[rows_near], self.center[kid])
+                reached = own - self.radius[kid] <= limit[rows_near]
+                if reached.any():
+                    todo.append((int(kid), rows_near[reached], own[reached]))
+        return found
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of the query, vec_id, score) of each query's ``k`` best with a score of ``floor`` at least.
+
+        Rows with the query's own vec_id are no candidates. Every query looks first into the leaf with its
+        smallest bound; leaves then come by their smallest bound, each with the queries that still reach it.
+        """
+        norm = np.einsum("ij,ij->i", queries, queries)
+        lifted = np.hstack([queries, np.zeros((len(queries), 1))])
         slack = _SLACK * (self.top + norm + 1.0)
-        best: list[tuple[int, int]] = []  # heap of (score, -vec_id): the worst on top
+        largest = float(np.sqrt(norm.max(initial=0.0) * self.top)) * 1.001
+        worst = floor.astype(np.float64)  # the score that a candidate has to reach by now
+        rows = np.zeros(0, np.int64)
+        ids, scores = rows.copy(), rows.copy()
 
-        def reach() -> float:
+        def reach(at: np.ndarray) -> np.ndarray:
             """Largest distance at which a point can still enter, ties included."""
-            if len(best) < k:
-                return np.inf
-            return float(np.sqrt(max(norm + self.top - 2.0 * best[0][0], 0.0) + slack)) + slack**0.5 * 1e-3
-
-        first = float(np.sqrt(((lifted - self.center[self.root]) ** 2).sum()))
-        queue = [(max(first - self.radius[self.root], 0.0), self.root, first)]
-        while queue:
-            bound, node, distance = heapq.heappop(queue)
-            limit = reach()
-            if bound > limit:
-                break
-            kids = self.kids.get(node)
-            if kids is not None:
-                # Parent distances rule out children before their own distance is computed
-                near = kids[np.abs(distance - self.parent_distance[kids]) - self.radius[kids] <= limit]
-                if len(near):
-                    own = np.sqrt(((self.center[near] - lifted) ** 2).sum(axis=1))
-                    low = np.maximum(own - self.radius[near], 0.0)
-                    for b, n, d in zip(low, near, own, strict=True):
-                        if b <= limit:
-                            heapq.heappush(queue, (float(b), int(n), float(d)))
-                continue
-            keep = np.abs(distance - self.distance[node]) <= limit
-            ids = self.ids[node][keep]
-            scores = self.vectors[node][keep] @ query
-            if len(best) == k:
-                fit = scores >= best[0][0]
-                ids, scores = ids[fit], scores[fit]
-            for i, s in zip(ids.tolist(), scores.tolist(), strict=True):
-                if i == query_id:
-                    continue
-                entry = (int(s), -i)
-                # An id may have several vectors of one score, here or in other shards
-                if entry in best:
-                    continue
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return [(s, -i) for s, i in best]
+            return np.sqrt(np.maximum(norm[at] + self.top - 2.0 * worst[at], 0.0) + slack[at]) + slack[at] ** 0.5 * 1e-3
+
+        def visit(leaf: int, at: np.ndarray, distance: np.ndarray) -> None:
+            nonlocal rows, ids, scores
+            value = _scores(queries[at], self.vectors[leaf], largest)
+            fits = np.abs(distance[:, None] - self.distance[leaf][None, :]) <= reach(at)[:, None]
+            fits &= (value >= worst[at][:, None]) & (self.ids[leaf][None, :] != query_ids[at][:, None])
+            q, e = np.nonzero(fits)
+            if not len(q):
+                return
+            rows = np.concatenate([rows, at[q]])
+            ids = np.concatenate([ids, self.ids[leaf][e]])
+            scores = np.concatenate([scores, value[q, e]])
+            order = np.lexsort((ids, -scores, rows))
+            rows, ids, scores = rows[order], ids[order], scores[order]
+            starts = np.searchsorted(rows, rows)
+            place = np.arange(len(rows)) - starts
+            kept = place < k
+            rows, ids, scores, place = rows[kept], ids[kept], scores[kept], place[kept]
+            full = place == k - 1
+            worst[rows[full]] = np.maximum(worst[rows[full]], scores[full].astype(np.float64))
+
+        leaves = self._leaves(lifted, reach(np.arange(len(queries))))
+        nearest, bound = np.full(len(queries), -1), np.full(len(queries), np.inf)
+        for number, (_, at, _, low) in enumerate(leaves):
+            closer = low < bound[at]
+            nearest[at[closer]], bound[at[closer]] = number, low[closer]
+        for number, (leaf, at, distance, _) in enumerate(leaves):
+            first = nearest[at] == number
+            if first.any():
+                visit(leaf, at[first], distance[first])
+        by_bound = sorted(range(len(leaves)), key=lambda n: float(leaves[n][3].min(initial=np.inf)))
+        for number in by_bound:
+            leaf, at, distance, low = leaves[number]
+            still = (nearest[at] != number) & (low <= reach(at))
+            if still.any():
+                visit(leaf, at[still], distance[still])
+        return rows, ids, scores
 
 
 _NODES = (
@@ -200,96 +225,167 @@ def _build_shard(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
-def build_index(points: DataFrame, k: int) -> DataFrame:
-    """All pages of the index, one subtree per shard, as a written table.
+def _nearest_cell(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return ((centers**2).sum(axis=1)[None, :] - 2.0 * (x @ centers.T)).argmin(axis=1)
+
+
+class Cells(NamedTuple):
+    """Routing objects of the top level by width, their norm bound, and how each cell is cut into shards."""
+
+    centers: dict[int, np.ndarray]
+    top: dict[int, float]
+    parts: dict[tuple[int, int], int]
+    radius: dict[tuple[int, int], float]
+
 
-    ``points`` (vec_id, width, q) is a written table; rows that repeat count once. Of equal vectors only the ``k`` + 1
-    smallest ids can ever be among a query's ``k`` best (ties go to the smaller id and one
-    may be the query itself), so the others are left out exactly; that limit is applied
-    before the shuffle. A vector goes to the nearest of at most ``TOP_PIVOTS`` routing objects
-    of its width; a cell is dealt on by hash into shards of about ``SHARD_ROWS`` rows.
+def build_index(points: DataFrame, k: int) -> tuple[DataFrame, Cells]:
+    """All pages of the index, one subtree per shard, as a written table, and its top level.
+
+    ``points`` (vec_id, width, q) is a written table; every row counts, repeated ones too. Of equal vectors only
+    ``k`` rows of an id and the 2 ``k`` rows with the smallest ids can ever be among a query's ``k``
+    best (ties go to the smaller id, and the query's own id takes ``k`` of them at most), so the others are left
+    out exactly; both limits are applied before the shuffle. A vector goes to the nearest of at most ``TOP_PIVOTS``
+    routing objects of its width; a cell is dealt on by hash into shards of about ``SHARD_ROWS`` rows.
     """
+    one_id = Window.partitionBy("width", "q", "vec_id").orderBy("vec_id")
     same = Window.partitionBy("width", "q").orderBy("vec_id")
-    distinct = written(
-        points.select("vec_id", "width", "q").distinct().withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= k + 1).drop("_r"),
+    kept = written(
+        points.select("vec_id", "width", "q")
+        .withColumn("_r", F.row_number().over(one_id)).filter(F.col("_r") <= k)
+        .withColumn("_r", F.row_number().over(same)).filter(F.col("_r") <= 2 * k).drop("_r"),
         "mtree-points",
     )
     norm = F.aggregate("q", F.lit(0.0), lambda a, x: a + x * x)
-    widths = distinct.groupBy("width").agg(F.max(norm).alias("top"))
+    widths = kept.groupBy("width").agg(F.max(norm).alias("top"))
     draw = Window.partitionBy("width").orderBy(F.xxhash64("vec_id"), "vec_id")
     drawn = (
-        distinct.withColumn("_r", F.row_number().over(draw)).filter(F.col("_r") <= TOP_PIVOTS).drop("_r")
+        kept.withColumn("_r", F.row_number().over(draw)).filter(F.col("_r") <= TOP_PIVOTS).drop("_r")
         .join(widths, "width").select("width", "q", "top")
     )
     pivots: dict[int, list] = {}
+    top: dict[int, float] = {}
     for row in drawn.toLocalIterator():
-        pivots.setdefault(row["width"], []).append((row["q"], row["top"]))
-    centers = {w: (np.asarray([q for q, _ in v]), v[0][1]) for w, v in pivots.items()}
+        pivots.setdefault(row["width"], []).append(row["q"])
+        top[row["width"]] = row["top"]
+    centers = {w: _lift(np.asarray(q), top[w]) for w, q in pivots.items()}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             width = batch.column(1).to_numpy()
-            cell = np.zeros(len(width), np.int32)
-            top = np.zeros(len(width))
-            for w in np.unique(width):
+            cell, tops, away = np.zeros(len(width), np.int32), np.zeros(len(width)), np.zeros(len(width))
+            for w in np.unique(width).tolist():
                 at = np.flatnonzero(width == w)
-                c, t = centers[int(w)]
-                x = _lift(_matrix(batch.column(2).take(pa.array(at)), int(w)), t)
-                c = _lift(c, t)
-                cell[at] = ((c**2).sum(axis=1)[None, :] - 2.0 * (x @ c.T)).argmin(axis=1)
-                top[at] = t
+                x = _lift(_matrix(batch.column(2).take(pa.array(at)), w), top[w])
+                cell[at] = _nearest_cell(x, centers[w])
+                away[at] = np.sqrt(((x - centers[w][cell[at]]) ** 2).sum(axis=1))
+                tops[at] = top[w]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell), pa.array(top)], names=["vec_id", "width", "q", "cell", "top"]
+                [*batch.columns, pa.array(cell), pa.array(tops), pa.array(away)],
+                names=["vec_id", "width", "q", "cell", "top", "away"],
             )
 
     routed = written(
-        distinct.mapInArrow(route, "vec_id bigint, width int, q array<double>, cell int, top double"),
+        kept.mapInArrow(route, "vec_id bigint, width int, q array<double>, cell int, top double, away double"),
         "mtree-routed",
     )
-    sizes = routed.groupBy("width", "cell").agg(F.ceil(F.count("*") / F.lit(SHARD_ROWS)).alias("parts"))
-    shard = F.concat_ws(":", "width", "cell", F.pmod(F.xxhash64("vec_id"), "parts"))
+    sizes = routed.groupBy("width", "cell").agg(
+        F.ceil(F.count("*") / F.lit(SHARD_ROWS)).alias("parts"), F.max("away").alias("radius")
+    )
+    shard = F.concat_ws(":", "width", "cell", F.pmod(F.xxhash64("vec_id", "q"), "parts"))
     sharded = routed.join(sizes, ["width", "cell"]).select(shard.alias("shard"), "vec_id", "width", "q", "top")
-    return written(sharded.groupBy("shard").applyInArrow(_build_shard, _NODES), "mtree-nodes")
+    # At most TOP_PIVOTS rows for each width
+    cut = {(r["width"], r["cell"]): (int(r["parts"]), float(r["radius"])) for r in sizes.collect()}
+    cells = Cells(centers, top, {c: p for c, (p, _) in cut.items()}, {c: r for c, (_, r) in cut.items()})
+    return written(sharded.groupBy("shard").applyInArrow(_build_shard, _NODES), "mtree-nodes"), cells
+
+
+def _sent(asked: DataFrame, cells: Cells, home: bool) -> DataFrame:
+    """Queries with the shards that they are sent to: one at home, then all others whose cell they still reach."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number, width, floor = (batch.column(c).to_numpy() for c in ("number", "width", "floor"))
+            rows, shards = [np.zeros(0, np.int64)], []
+            for w in [w for w in np.unique(width).tolist() if w in cells.centers]:
+                at = np.flatnonzero(width == w)
+                q, centers = _matrix(batch.column("q").take(pa.array(at)), w), cells.centers[w]
+                lifted, norm = np.hstack([q, np.zeros((len(q), 1))]), np.einsum("ij,ij->i", q, q)
+                homes = _nearest_cell(lifted, centers)
+                slack = _SLACK * (cells.top[w] + norm + 1.0)
+                reach = np.sqrt(np.maximum(norm + cells.top[w] - 2.0 * floor[at], 0.0) + slack) + slack**0.5 * 1e-3
+                for c in [c for c in range(len(centers)) if (w, c) in cells.parts]:
+                    parts = cells.parts[w, c]
+                    own = np.where(homes == c, number[at] % parts, -1)
+                    close = _to(lifted, centers[c]) - cells.radius[w, c] <= reach
+                    for part in range(parts):
+                        takes = own == part if home else close & (own != part)
+                        rows.append(at[takes])
+                        shards += [f"{w}:{c}:{part}"] * int(takes.sum())
+            taken = batch.take(pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.string()), *taken.columns], names=["shard", *batch.schema.names])
+
+    return asked.select("number", "query_id", "width", "q", "floor").mapInArrow(send, _SENT)
+
+
+_SENT = "shard string, number bigint, query_id bigint, width int, q array<double>, floor bigint"
+_FOUND = "number bigint, query_id bigint, vec_id bigint, score bigint"
+
+
+def _searched(nodes: DataFrame, sent: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): every shard's pages once in one task, and the queries sent to it in passing."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, pages, tree = None, [], None
+        for batch in batches:
+            names = batch.column(0)
+            at = 0
+            for run in pc.run_end_encode(names).run_ends.to_pylist() if len(batch) else []:
+                part, at = batch.slice(at, run - at), run
+                if part.column(0)[0].as_py() != shard:
+                    shard, pages, tree = part.column(0)[0].as_py(), [], None
+                first = part.column("number").null_count
+                if first:
+                    pages.append(part.slice(0, first))
+                for begin in range(first, len(part) if pages else 0, BLOCK_QUERIES):
+                    block = part.slice(begin, BLOCK_QUERIES)
+                    width = block.column("width")[0].as_py()
+                    tree = tree or Tree(pa.Table.from_batches(pages).combine_chunks(), width)
+                    ids, numbers = block.column("query_id").to_numpy(), block.column("number").to_numpy()
+                    rows, found, scores = tree.search(ids, _matrix(block.column("q"), width), block.column("floor").to_numpy(), k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers[rows]), pa.array(ids[rows]), pa.array(found), pa.array(scores)],
+                        names=["number", "query_id", "vec_id", "score"],
+                    )
+
+    none = lambda df, other: [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields if f.name not in df.columns]
+    pages, asked = nodes.select("*", *none(nodes, sent)), sent.select("*", *none(sent, nodes))
+    dealt = pages.unionByName(asked).repartition("shard").sortWithinPartitions("shard", F.col("number").asc_nulls_first())
+    return dealt.mapInArrow(search, _FOUND)
 
 
 def top_k(points: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query, exact.
 
-    Both tables are (vec_id, width, q) and written; a query's own vec_id is no candidate, and
-    only vectors of its width are. Queries go in blocks to every shard of their width; a task
-    holds one shard and one block, searches the shard's tree best first for each query of the
-    block and passes on at most ``k`` rows a query. Without other vectors a query has no
-    rows; a vec_id that repeats is a candidate once per distinct vector. Scores must fit in 53
-    bits.
+    Both tables are (vec_id, width, q) and written; rows with a query's own vec_id are no candidates, and
+    only vectors of its width are. A query is searched in its home shard first, and the k-th score found there is the
+    floor in the others; cells that cannot reach it are not asked. A shard's pages are sent to one task once, and
+    its queries pass by in blocks. Every row counts: a vector that repeats takes as many ranks, and an id with several
+    query rows has the best of all of them. Ties go to the smaller vec_id. Without other vectors a query has no
+    rows, nor does an empty table. Scores are whole numbers, exact to 63 bits; larger ones are an error.
     """
-    nodes = build_index(points, k)
-    queries = queries.select("vec_id", "width", "q").distinct()
-    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    shards = nodes.filter("parent < 0").select(
-        F.col("shard").alias("home"), F.substring_index("shard", ":", 1).cast("int").alias("width")
-    )
-    offered = nodes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    sent = asked.join(shards, "width")
-
-    def search(key: tuple, pages: pa.Table, questions: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
-        if len(pages) and len(questions):
-            width = questions["width"][0].as_py()
-            tree = Tree(pages, width)
-            vectors = _matrix(questions["q"].combine_chunks(), width)
-            for query_id, query in zip(questions["vec_id"].to_pylist(), vectors, strict=True):
-                found += [(query_id, v, s) for s, v in tree.search(query_id, query, k)]
-        columns = list(zip(*found, strict=True)) or [(), (), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
-
-    near = (
-        offered.groupBy("shard", "block").cogroup(sent.groupBy("home", "block"))
-        .applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+    nodes, cells = build_index(points, k)
+    asked = written(
+        queries.select(F.monotonically_increasing_id().alias("number"), F.col("vec_id").alias("query_id"), "width", "q"), "mtree-queries"
     )
+    none = F.lit(-(2**62)).cast("bigint")
+    near = written(_searched(nodes, _sent(asked.withColumn("floor", none), cells, True), k), "mtree-home")
+    kth = Window.partitionBy("number").orderBy(F.col("score").desc(), "vec_id")
+    floors = near.withColumn("_r", F.row_number().over(kth)).filter(F.col("_r") == k).select("number", F.col("score").alias("floor"))
+    after = asked.join(floors, "number", "left").withColumn("floor", F.coalesce("floor", none))
+    far = _searched(nodes, _sent(after, cells, False), k)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
-        near.distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        near.unionByName(far).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 
@@ -299,7 +395,7 @@ def nearest(vectors: DataFrame, every: int, k: int = 5) -> DataFrame:
 
     A vector that is null, empty or holds a null or non-finite component takes no part; nor
     does a null vec_id. Of an id that repeats with different vectors, each is a query and the
-    best of them count.
+    best of them count. The cases of :func:`top_k` hold.
     """
     points = written(usable(vectors), "mtree-vectors")
     return top_k(points, points.filter(F.col("vec_id") % every == 0), k)

@@ -206,17 +206,34 @@ def test_mtree_leaves_bad_vectors_out(spark):
             (None, [1.0, 1.0]), (7, []), (5, [2.0, 1.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<double>, width string")
     got = [(r.query_id, r["rank"], r.vec_id) for r in mtree.nearest(df, 50).collect()]
-    assert got == [(0, 1, 5)]
+    # Row 5 stands twice and takes two ranks
+    assert got == [(0, 1, 5), (0, 2, 5)]
     assert mtree.nearest(df.filter("false"), 50).count() == 0
 
 
-def test_mtree_counts_repeated_rows_once(spark):
-    """Seven copies of one row, and an id with two vectors of one score, take one place each."""
-    rows = [(1, [2.0, 2.0])] * 7 + [(i, [2.0, 2.0]) for i in range(2, 5)] + [(5, [3.0, 1.0]), (5, [1.0, 3.0])]
-    rows += [(i, [1.0, 1.0]) for i in range(6, 9)] + [(0, [1.0, 1.0])] * 2
+@pytest.mark.parametrize("k", [3, 7])
+@pytest.mark.parametrize("large", [False, True])
+def test_mtree_counts_every_row(spark, k, large):
+    """Repeated rows, ids with several vectors and a repeated query, against all pairs of rows in whole numbers."""
+    rows = [(1, [2.0, 2.0])] * 9 + [(0, [2.0, 2.0])] * 8 + [(i, [2.0, 2.0]) for i in range(2, 5)]
+    rows += [(5, [3.0, 1.0]), (5, [1.0, 3.0])] + [(i, [1.0, 1.0]) for i in range(6, 9)] + [(0, [1.0, 1.0])] * 2 + [(50, [2.0, -1.0])]
+    if large:
+        # Inner products near 2**57, which doubles round
+        rows = [(i, [v * 2.0**20 + i / 256.0 for v in x]) for i, x in rows]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    got = sorted((r["rank"], r.vec_id) for r in mtree.nearest(df, 50, 7).collect())
-    assert got == [(k + 1, k + 1) for k in range(7)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in mtree.nearest(df, 50, k).collect())
+    whole = [(i, [int(np.floor(256 * v)) for v in x]) for i, x in rows]
+    want = []
+    for query in (0, 50):
+        scored = [(-sum(a * b for a, b in zip(x, y, strict=True)), j) for i, x in whole if i == query for j, y in whole if j != query]
+        want += [(query, n + 1, j, -s) for n, (s, j) in enumerate(sorted(scored)[:k])]
+    assert got == sorted(want)
+
+
+def test_mtree_refuses_scores_beyond_64_bits(spark):
+    df = spark.createDataFrame([(0, [2.0**30]), (1, [2.0**30])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit in 64 bits"):
+        mtree.nearest(df, 50).collect()
 
 
 def test_tree_prunes():
