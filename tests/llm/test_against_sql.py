@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, folder, con, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 NATIVE = ("op5_quality_ledger", "op6_line_chunks", "op7_linked_secrets")
