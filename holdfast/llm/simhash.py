@@ -84,13 +84,18 @@ def variants(nodes: DataFrame) -> DataFrame:
     return _opened(nodes, "print", 32, "0L").withColumnsRenamed({"_half": "half", "_bit": "side"})
 
 
-def quarters(rows: DataFrame) -> DataFrame:
-    """Rows of a spot dealt to 32 finer ones by the half that the spot leaves open.
+def _finer(rows: DataFrame, near: bool) -> DataFrame:
+    """Rows dealt to finer spots by the half that their spot leaves open: by each of its quarters, of 16 bits.
 
-    Links within a spot differ in three bits of that half at most, so in one bit at most of one of its halves.
+    Links within a spot differ in three bits of that half at most, so in one bit at most of one quarter. Rows are
+    kept under their quarters; with ``near``, sought under each quarter and the 16 that differ from it in one bit.
     """
-    other = "shiftrightunsigned(print, IF(half = 0, 32, 0)) & 4294967295L"
-    return _opened(rows.withColumn("_open", F.expr(other)), "_open", 16, "spot").drop("_open", "_half", "_bit")
+    n = 17 if near else 1
+    other = "shiftrightunsigned(print, IF(half = 0, 32, 0))"
+    quarter = f"(shiftrightunsigned({other}, CAST(16 * (_i DIV {n}) AS INT)) & 65535L)"
+    sought = f"({quarter} ^ IF(_i % {n} = 16, 0L, shiftleft(1L, _i % {n})))" if near else quarter
+    numbered = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(2 * n - 1))))
+    return numbered.withColumn("finer", F.expr(f"shiftleft(spot, 17) | shiftleft(_i DIV {n}, 16) | {sought}")).drop("_i")
 
 
 def _starred(rows: DataFrame, distance: int) -> DataFrame:
@@ -127,28 +132,44 @@ def _torn(rows: DataFrame) -> DataFrame:
     return rows.join(spans, "spot").filter(meets).select(*rows.columns)
 
 
-def _pairs(rows: DataFrame, distance: int) -> DataFrame:
-    """Links between members of one spot and of different components, pair by pair."""
-    side = ["side"] if "side" in rows.columns else []
-    x = rows.select("spot", F.col("print").alias("a"), F.col("label").alias("_a"), *[F.col(c).alias("_sa") for c in side])
-    y = rows.select("spot", F.col("print").alias("b"), F.col("label").alias("_b"), *[F.col(c).alias("_sb") for c in side])
-    order = (F.col("_sa") < F.col("_sb")) & (F.col("_a") != F.col("_b")) if side else F.col("_a") < F.col("_b")
-    return x.join(y, "spot").filter(order & (apart("a", "b") <= distance)).select("a", "b").distinct()
+def _outside(rows: DataFrame) -> DataFrame:
+    """The rows that are not of the component with most rows of their spot: one end of every link that is missing."""
+    counted = rows.groupBy("spot", "label").agg(F.count("*").alias("_rows"))
+    main = counted.groupBy("spot").agg(F.max_by("label", "_rows").alias("_main"))
+    return rows.join(main, "spot").filter("label <> _main").drop("_main")
+
+
+def _crossing(rows: DataFrame, distance: int, leads: bool) -> DataFrame:
+    """Links (a, b) between members of one spot and of different components.
+
+    Rows outside a spot's main component are looked up at the finer spots, among all rows or their leads.
+    """
+    sides = ["side"] if "side" in rows.columns else []
+    kept = _finer(rows, False)
+    if leads:
+        kept = kept.groupBy("finer", *sides).agg(F.max_by(F.struct("print", "label"), "n").alias("k")).select("finer", *sides, "k.*")
+    there = kept.select("finer", F.col("print").alias("b"), F.col("label").alias("_b"), *[F.col(c).alias("_side") for c in sides])
+    asked = _finer(_outside(rows), True).select("finer", F.col("print").alias("a"), F.col("label").alias("_a"), *sides)
+    links = (F.col("_a") != F.col("_b")) & (apart("a", "b") <= distance)
+    met = asked.join(there, ["finer"]).filter(links & (F.col("side") != F.col("_side")) if sides else links)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _joined(rows: DataFrame, labels: DataFrame, distance: int) -> DataFrame:
     """``labels`` with every link inside the spots of ``rows`` (spot, half, print, n, label): a written table.
 
-    Members are compared with leads, first in these spots and then in the finer ones, and those that
-    are apart after that pair by pair. Spots whose members are all of one component leave in between.
+    Members are compared with their spot's lead first, those outside the spot's main component then with
+    the leads of finer spots, and those that are still outside with all members of the finer spots. Spots whose
+    members are all of one component leave in between.
     """
-    labels = merged(labels, written(_starred(rows, distance), "simhash-edges"))
-    finer = written(_torn(quarters(_torn(written(_labelled(rows, labels), "simhash-rows")))), "simhash-finer")
-    if finer.isEmpty():
-        return labels
-    labels = merged(labels, written(_starred(finer, distance), "simhash-edges"))
-    left = written(_torn(written(_labelled(finer, labels), "simhash-rows")), "simhash-left")
-    return labels if left.isEmpty() else merged(labels, written(_pairs(left, distance), "simhash-edges"))
+    edges = _starred(rows, distance)
+    for leads in (True, False):
+        labels = merged(labels, written(edges, "simhash-edges"))
+        rows = written(_torn(written(_labelled(rows, labels), "simhash-rows")), "simhash-torn")
+        if rows.isEmpty():
+            return labels
+        edges = _crossing(rows, distance, leads)
+    return merged(labels, written(edges, "simhash-edges"))
 
 
 def linked_prints(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
