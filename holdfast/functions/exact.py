@@ -24,6 +24,42 @@ def factor(value: Column) -> Column:
     return value.cast(FACTOR_TYPE)
 
 
+# Units held, up to 10^12 with ten decimals; a product of units and a price with all its decimals
+UNIT_TYPE = "decimal(22,10)"
+PRODUCT_TYPE = "decimal(37,18)"
+
+
+def product(units: Column, price: Column) -> Column:
+    """units * price, exact to eighteen decimals; NULL where one of them does not fit its type.
+
+    A product of both types at once would need 41 digits. The whole units and their fraction are
+    multiplied apart, which needs 32 and 29, and added. A value that does not fit (too large, infinite, no
+    number) costs its row the product and not the job: see :func:`unfit_factors`.
+    """
+    held, each = units.try_cast(UNIT_TYPE), price.try_cast(FACTOR_TYPE)
+    whole = F.floor(held)
+    return (whole * each).try_cast(PRODUCT_TYPE) + ((held - whole).cast("decimal(10,10)") * each).cast(PRODUCT_TYPE)
+
+
+def unfit_factors(df, **kinds: str):
+    """(column, cut, unfit) per column: how many values lose decimals in their type, and how many do not fit.
+
+    ``kinds`` maps columns to the types in which they enter a product.
+    """
+    parts = []
+    for column, kind in kinds.items():
+        held = F.col(column).try_cast(kind)
+        parts += [
+            F.count_if(held.isNotNull() & (held.cast("double") != F.col(column).cast("double"))).alias(f"{column}.cut"),
+            F.count_if(held.isNull() & F.col(column).isNotNull()).alias(f"{column}.unfit"),
+        ]
+    counted = df.agg(*parts)
+    rows = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(f"`{c}.cut`").alias("cut"), F.col(f"`{c}.unfit`").alias("unfit")) for c in kinds]
+    )
+    return counted.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def cut_factors(df, *columns: str):
     """Per column, how many rows hold more decimals than :func:`factor` keeps."""
     exact = "decimal(38,18)"

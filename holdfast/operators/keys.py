@@ -43,6 +43,17 @@ def current_master(df: DataFrame, *keys: str) -> DataFrame:
     return latest_per_key(df, keys, rest) if rest else df.distinct()
 
 
+def latest_value(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """``keys`` and the value of one column in the row that :func:`current_master` keeps of (keys, column).
+
+    Without a landing time that is the largest value, and a hash aggregation finds it: no sort,
+    partial sums in the map tasks, and no further shuffle where the rows are dealt by these keys already.
+    """
+    if "_ingest_ts" in df.columns:
+        return current_master(df.select(*keys, column, "_ingest_ts"), *keys).select(*keys, column)
+    return df.groupBy(*keys).agg(F.max(column).alias(column))
+
+
 def mark_known(
     df: DataFrame, column: str, reference: DataFrame, reference_column: str, flag: str
 ) -> DataFrame:

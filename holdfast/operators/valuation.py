@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions.exact import factor, money, ratio, rounded
-from holdfast.operators.keys import current_master, latest_per_key
+from holdfast.functions.exact import FACTOR_TYPE, UNIT_TYPE, money, product, ratio, rounded, unfit_factors
+from holdfast.operators.keys import current_master, latest_per_key, latest_value
 
 # Fixed values
 ALL_PORTFOLIOS = "ALL"
@@ -35,10 +35,11 @@ def daily_holding(holdings: DataFrame, prices: DataFrame, assets: DataFrame) ->
     """Priced holdings with sector, issuer and market value; unmatched holdings drop out.
 
     Masters are landed append-only, so assets and prices are reduced to one row per key before
-    the join and cannot multiply holdings. Factors keep eight decimals, the product all sixteen.
+    the join and cannot multiply holdings. Units keep ten decimals, prices eight, the product all
+    eighteen; a holding whose units or price do not fit has no market value, which a gate counts.
     """
-    priced = current_master(prices, "investment_asset_id", "price_date").select(
-        "investment_asset_id", F.col("price_date").alias("as_of_date"), "close_price"
+    priced = latest_value(prices, ["investment_asset_id", "price_date"], "close_price").withColumnRenamed(
+        "price_date", "as_of_date"
     )
     master = current_master(assets, "investment_asset_id").select(
         "investment_asset_id", "sector", "issuer_id"
@@ -46,7 +47,7 @@ def daily_holding(holdings: DataFrame, prices: DataFrame, assets: DataFrame) ->
     return (
         holdings.join(priced, ["investment_asset_id", "as_of_date"])
         .join(master, "investment_asset_id")
-        .withColumn("market_value", factor(F.col("quantity")) * factor(F.col("close_price")))
+        .withColumn("market_value", product(F.col("quantity"), F.col("close_price")))
         .select(
             "portfolio_id", "as_of_date", "investment_asset_id", "quantity", "close_price",
             "sector", "issuer_id", "market_value",
@@ -185,7 +186,7 @@ def daily_pnl(holdings: DataFrame, prices: DataFrame) -> DataFrame:
     number of assets. Each price is offered twice, as the price of its date and as the
     previous price of the next date, which pairs both by one aggregation and no self-join.
     """
-    prices = current_master(prices, "investment_asset_id", "price_date")
+    prices = latest_value(prices, ["investment_asset_id", "price_date"], "close_price")
     dates = prices.select("price_date").distinct()
     calendar = dates.withColumn(
         "next_date", F.lead("price_date").over(Window.orderBy("price_date"))
@@ -196,13 +197,13 @@ def daily_pnl(holdings: DataFrame, prices: DataFrame) -> DataFrame:
             F.array(
                 F.struct(
                     F.col("price_date").alias("as_of_date"),
-                    factor(F.col("close_price")).alias("current"),
+                    F.col("close_price").try_cast(FACTOR_TYPE).alias("current"),
                     F.lit(None).cast("decimal(18,8)").alias("previous"),
                 ),
                 F.struct(
                     F.col("next_date").alias("as_of_date"),
                     F.lit(None).cast("decimal(18,8)").alias("current"),
-                    factor(F.col("close_price")).alias("previous"),
+                    F.col("close_price").try_cast(FACTOR_TYPE).alias("previous"),
                 ),
             )
         ).alias("p"),
@@ -217,7 +218,7 @@ def daily_pnl(holdings: DataFrame, prices: DataFrame) -> DataFrame:
     return (
         holdings.join(moves, ["investment_asset_id", "as_of_date"])
         .groupBy("portfolio_id", "as_of_date")
-        .agg(F.round(F.sum(factor(F.col("quantity")) * F.col("move")), 4).alias("daily_pnl"))
+        .agg(F.round(F.sum(product(F.col("quantity"), F.col("move"))), 4).alias("daily_pnl"))
     )
 
 
@@ -269,6 +270,15 @@ def gate_counts(holdings: DataFrame, prices: DataFrame, fact: DataFrame, exposur
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+def factor_gate(holdings: DataFrame, prices: DataFrame) -> DataFrame:
+    """(gate, failing_rows, passed): units and prices that lose decimals in a valuation, or that do not fit at all."""
+    counted = unfit_factors(holdings, quantity=UNIT_TYPE).unionByName(unfit_factors(prices, close_price=FACTOR_TYPE))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("failing_rows")) for k in ("cut", "unfit")])
+    return counted.select("column", F.explode(kinds).alias("k")).select(
+        F.concat_ws("_", "column", "k.kind").alias("gate"), "k.failing_rows", (F.col("k.failing_rows") == 0).alias("passed")
+    )
+
+
 def enforce_gates(counts: DataFrame) -> None:
     failed = counts.filter("NOT passed").collect()
     if failed:

@@ -9,7 +9,7 @@ from holdfast.operators.keys import dedupe_latest
 from holdfast.plans import valuation as valuation_plans
 from holdfast.plans.registry import query
 from holdfast.session import work_dir
-from holdfast.sources import keyed, market, sinks
+from holdfast.sources import keyed, market, sinks, tables
 
 # Where the landed data is cut into a first load and a later batch
 BATCH_CUT = "1999-01-01 00:00:00"
@@ -80,6 +80,40 @@ def upsert_composite(spark, folder):
     return spark.read.schema(fact.schema).parquet(path)
 
 
+@query(
+    "append_merge",
+    f"""SELECT transaction_id, portfolio_id, quantity,
+               CASE WHEN _ingest_ts >= TIMESTAMP '{BATCH_CUT}' THEN transaction_type END AS transaction_type
+        FROM txn WHERE quantity IS NOT NULL""",
+)
+def append_merge(spark, folder):
+    """Two runs: the second brings a column more, in another order, and quantities of a wider type."""
+    landed = market.transactions(spark, folder).filter(F.col("quantity").isNotNull())
+    early = F.col("_ingest_ts") < F.lit(BATCH_CUT).cast("timestamp_ntz")
+    path = work_dir(spark, "append-merge")
+    first = landed.filter(early).select("transaction_id", "portfolio_id", F.col("quantity").cast("int").alias("quantity"))
+    tables.append_merge(spark, first, path)
+    tables.append_merge(spark, landed.filter(~early).select("transaction_type", "quantity", "transaction_id", "portfolio_id"), path)
+    return tables.read_merged(spark, path)
+
+
+@query(
+    "holding_slice",
+    """SELECT portfolio_id, as_of_date, investment_asset_id, quantity FROM holding
+       WHERE as_of_date = (SELECT max(as_of_date) FROM holding WHERE portfolio_id = (SELECT min(portfolio_id) FROM holding))
+         AND portfolio_id = (SELECT min(portfolio_id) FROM holding)""",
+)
+def holding_slice(spark, folder):
+    """The last date of the first portfolio, from a table laid out by portfolio and date."""
+    rows, path = market.holdings(spark, folder), work_dir(spark, "holding-slice")
+    tables.create_clustered(spark, rows, path, ["portfolio_id", "as_of_date"], 64)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    first = stored.agg(F.min("portfolio_id")).first()[0]
+    own = tables.read_clustered(spark, path, rows.schema, portfolio_id=first)
+    last = own.agg(F.max("as_of_date")).first()[0]
+    return tables.read_clustered(spark, path, rows.schema, portfolio_id=first, as_of_date=last)
+
+
 @query(
     "replace_slice",
     """SELECT portfolio_id, sector, exposure_pct, as_of_date FROM expo

@@ -212,6 +212,26 @@ def gold_gates(spark, folder):
     )
 
 
+_ODD_UNITS = "CASE WHEN quantity >= 45 THEN quantity * 1e12 WHEN quantity <= 9 THEN quantity / 7 ELSE quantity END"
+
+
+@query(
+    "factor_gates",
+    f"""WITH odd AS (SELECT {_ODD_UNITS} AS q, quantity FROM holding),
+        counts AS (
+          SELECT 'quantity_cut' AS gate, count(*) FILTER (q < 1e12 AND q::DECIMAL(22,10)::DOUBLE <> q) AS failing_rows
+          FROM (SELECT CASE WHEN q < 1e12 THEN q ELSE 0 END AS q FROM odd)
+          UNION ALL SELECT 'quantity_unfit', count(*) FILTER (q >= 1e12) FROM odd
+          UNION ALL SELECT 'close_price_cut', count(*) FILTER (close_price::DECIMAL(18,8)::DOUBLE <> close_price) FROM price
+          UNION ALL SELECT 'close_price_unfit', count(*) FILTER (close_price >= 1e10) FROM price)
+        SELECT gate, failing_rows::BIGINT AS failing_rows, failing_rows = 0 AS passed FROM counts""",
+)
+def factor_gates(spark, folder):
+    """Holdings of which some have more decimals than a product keeps and some more units than it takes."""
+    odd = market.holdings(spark, folder).withColumn("quantity", F.expr(_ODD_UNITS))
+    return valuation.factor_gate(odd, market.prices(spark, folder))
+
+
 @query(
     "open_breaches",
     """SELECT as_of_date, count(*) AS breach_count FROM breach
