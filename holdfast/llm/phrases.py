@@ -26,7 +26,7 @@ BLOCK_BYTES = 1 << 21
 TASK_KEYS = 1 << 20
 # Counters of one hash partition's summary, about; n-grams in one row of a partial summary
 CELL_KEYS = 1 << 18
-ROW_KEYS = 1 << 10
+ROW_KEYS = 1 << 8
 # Bits of the filter that the second pass asks first: a fixed size whatever the corpus
 FILTER_BITS = 1 << 27
 _PROBES = 3
