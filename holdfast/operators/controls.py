@@ -240,6 +240,42 @@ def recon_balance(
     )
 
 
+def recon_balances(
+    bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, job_run_id: str
+) -> DataFrame:
+    """Both balances of :func:`recon_balance` per business date, with ``variant``, from one pass over the landed rows.
+
+    Landed rows are counted by id and date first; an id counts once, on its last date, in the deduplicated
+    variant. What is left to add up with the other two tables is one row per date.
+    """
+    by_id = bronze.groupBy("transaction_id", F.col("transaction_date").alias("d")).agg(F.count("*").alias("landed"))
+    last = F.row_number().over(Window.partitionBy("transaction_id").orderBy(F.col("d").desc_nulls_last())) == 1
+    landed = by_id.withColumn("once", last.cast("int")).groupBy(F.col("d").cast("date").alias("d")).agg(
+        F.sum("landed").alias("landed"), F.sum("once").alias("once")
+    )
+    none = F.lit(0).cast("bigint")
+    out = [
+        df.groupBy(F.col(c).cast("date").alias("d")).agg(F.count("*").alias("out"))
+        for df, c in ((silver, "transaction_date"), (quarantine, "business_date"))
+    ]
+    parts = [landed.withColumn("out", none), *[o.select("d", none.alias("landed"), none.alias("once"), "out") for o in out]]
+    sums = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("d").agg(
+        *[F.sum(c).alias(c) for c in ("landed", "once", "out")]
+    )
+    # A date on which an id landed, but not for the last time, has no row in the deduplicated variant by itself
+    variants = F.array(
+        F.struct(F.lit("landed").alias("variant"), F.abs(F.col("landed") - F.col("out")).alias("metric"), F.lit(True).alias("there")),
+        F.struct(F.lit("deduplicated").alias("variant"), F.abs(F.col("once") - F.col("out")).alias("metric"),
+                 ((F.col("once") > 0) | (F.col("out") > 0)).alias("there")),
+    )
+    sides = sums.select("d", F.explode(variants).alias("v")).filter("v.there").select("d", "v.variant", "v.metric")
+    rows = result_rows(
+        sides, "bronze_silver_quarantine_balance", "bronze.raw_investment_transactions", F.col("d"),
+        pipeline_run_id=F.col("variant"), job_run_id=job_run_id,
+    )
+    return rows.withColumns({"variant": F.col("pipeline_run_id"), "pipeline_run_id": F.lit(None).cast("string")})
+
+
 def recon_duplicate_keys(
     df: DataFrame, key: str, source_table: str, business_date: str, job_run_id: str
 ) -> DataFrame:

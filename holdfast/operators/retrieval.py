@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,10 +13,11 @@ from holdfast.operators.keys import latest_per_key
 
 # Scores are ranked after rounding, so equal texts tie and the id decides
 SCORE_DIGITS = 9
-# Question vectors held by a task at once; more questions are scored block by block
+# Question vectors that a task holds
 QUESTION_BLOCK = 4096
-# Bytes of scores that a task holds at once
+# Bytes of scores that a task holds at once, and of the chunk vectors that it meets them with
 SCORE_BYTES = 32 << 20
+SHARD_BYTES = 64 << 20
 
 
 def approved_documents(documents: DataFrame, register: DataFrame) -> DataFrame:
@@ -74,40 +73,34 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _block_scorer(question_ids: list, questions: np.ndarray, k: int):
-    """Arrow task: the best ``k`` chunks of its partition for each question of the block."""
-    rows = max(1, SCORE_BYTES // (8 * max(1, len(question_ids))))
-
-    def best(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(ids) > k:
-            # All that reach the k-th score, ties included; then the exact order among them
-            reach = np.partition(scores, len(scores) - k)[len(scores) - k]
-            near = scores >= reach
-            ids, scores = ids[near], scores[near]
-        order = np.lexsort((ids, -scores))[:k]
-        return ids[order], scores[order]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [(np.empty(0, np.int64), np.empty(0))] * len(question_ids)
-        for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                batch = whole.slice(at, rows)
-                ids = batch.column("chunk_id").to_numpy(zero_copy_only=False)
-                scores = np.round(_unit(_vectors(batch.column("embedding"))) @ questions.T, SCORE_DIGITS)
-                kept = [
-                    best(np.concatenate([old_ids, ids]), np.concatenate([old, scores[:, q]]))
-                    for q, (old_ids, old) in enumerate(kept)
-                ]
-        sizes = [len(ids) for ids, _ in kept]
-        if sum(sizes):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.asarray(question_ids, np.int64), sizes)),
-                    pa.array(np.concatenate([ids for ids, _ in kept]).astype(np.int64)),
-                    pa.array(np.concatenate([scores for _, scores in kept])),
-                ],
-                names=["question_id", "chunk_id", "score"],
-            )
+def _pair_scorer(k: int):
+    """Arrow task of one block of questions and one shard of chunks: the best ``k`` chunks of each question."""
+
+    def score(questions: pa.Table, chunks: pa.Table) -> pa.Table:
+        asked, ids = questions["question_id"].to_numpy(), chunks["chunk_id"].to_numpy()
+        if not len(asked) or not len(ids):
+            return pa.table({"question_id": pa.array([], pa.int64()), "chunk_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        matrix = _unit(_vectors(questions["embedding"].combine_chunks()))
+        vectors = _vectors(chunks["embedding"].combine_chunks())
+        rows = max(1, SCORE_BYTES // (8 * len(asked)))
+        # The scores that a chunk has to reach by now, and what did so far, by question
+        reach = np.full(len(asked), -np.inf)
+        q, c, best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for at in range(0, len(ids), rows):
+            scores = np.round(matrix @ _unit(vectors[at : at + rows]).T, SCORE_DIGITS)
+            if scores.shape[1] > k:
+                reach = np.maximum(reach, np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k])
+            new_q, new_c = np.nonzero(scores >= reach[:, None])
+            q, best = np.concatenate([q, new_q]), np.concatenate([best, scores[new_q, new_c]])
+            c = np.concatenate([c, ids[at + new_c]])
+            order = np.lexsort((c, -best, q))
+            q, c, best = q[order], c[order], best[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            kept = place < k
+            q, c, best, place = q[kept], c[kept], best[kept], place[kept]
+            full = place == k - 1
+            reach[q[full]] = best[full]
+        return pa.table({"question_id": pa.array(asked[q]), "chunk_id": pa.array(c), "score": pa.array(best)})
 
     return score
 
@@ -125,46 +118,72 @@ def rejected_vectors(chunks: DataFrame) -> DataFrame:
 
 
 def vector_topk(
-    questions: DataFrame, chunks: DataFrame, k: int = 3, block: int = QUESTION_BLOCK
+    questions: DataFrame, chunks: DataFrame, k: int = 3, block: int = QUESTION_BLOCK, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
-    """The ``k`` chunks most similar (cosine) to each question vector; exact.
-
-    Chunk vectors stay where they are: each task scores slices of its Arrow batches against a
-    block of question vectors by one matrix product of at most ``SCORE_BYTES`` and hands on
-    only its best ``k`` per question, so the shuffle carries k rows per question and task,
-    never all pairs. A question meets the chunks of its own width; the question block is the
-    only thing shipped to tasks, its size is bounded, and more questions or widths mean more
-    blocks, each a further scan of the chunks. See ``rejected_vectors`` for the rest.
+    """The ``k`` chunks most similar (cosine) to each question vector; exact, also with ties (smaller id).
+
+    Both sides stay tables. Questions are dealt to blocks and chunks to shards by hash, every block meets every
+    shard of its width in one task by a cogroup, and a task hands on its best ``k`` per question: the shuffle
+    carries each side once for every block or shard of the other, never pairs of rows. A task holds one block, one shard and
+    ``SCORE_BYTES`` of scores; nothing but the number of rows by width reaches the driver, and the plan is
+    the same for any number of questions. See ``rejected_vectors`` for vectors that no search can return.
     """
     width = F.size("embedding")
-    usable = chunks.filter(_usable()).select("chunk_id", "embedding")
-    asked = questions.filter(_usable()).select(F.col("question_id").cast("bigint"), "embedding")
-    scored = None
-    for shape in asked.groupBy(width.alias("width")).agg(F.count("*").alias("n")).orderBy("width").collect():
-        blocks = max(1, -(-shape.n // block))
-        for number in range(blocks):
-            part = asked.filter(width == shape.width)
-            if blocks > 1:
-                part = part.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == number)
-            rows = part.collect()
-            if not rows:
-                continue
-            matrix = _unit(np.asarray([row.embedding for row in rows], dtype=np.float64))
-            best = usable.filter(width == shape.width).mapInArrow(
-                _block_scorer([row.question_id for row in rows], matrix, k),
-                "question_id bigint, chunk_id bigint, score double",
-            )
-            scored = best if scored is None else scored.unionByName(best)
-    if scored is None:
-        return usable.select(
-            F.lit(0).cast("bigint").alias("question_id"), "chunk_id",
-            F.lit(0.0).alias("score"), F.lit(0).alias("rank"),
-        ).filter("false")
+    usable = chunks.filter(_usable()).select(F.col("chunk_id").cast("bigint"), "embedding", width.alias("width"))
+    asked = questions.filter(_usable()).select(F.col("question_id").cast("bigint"), "embedding", width.alias("width"))
+    sizes = (
+        asked.groupBy("width").agg(F.count("*").alias("q"))
+        .join(usable.groupBy("width").agg(F.count("*").alias("c")), "width").collect()
+    )
+    blocks = {r["width"]: max(1, -(-r["q"] // block)) for r in sizes}
+    shards = {r["width"]: max(1, -(-r["c"] * 8 * r["width"] // shard_bytes)) for r in sizes}
+    of = lambda parts: F.create_map(*[F.lit(x) for pair in (parts or {-1: 1}).items() for x in pair])[F.col("width")]
+    deal = lambda column, parts: F.pmod(F.xxhash64(column), of(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), (of(parts) - 1).cast("int")))
+    some = F.col("width").isin(*blocks) if blocks else F.lit(False)
+    left = asked.filter(some).withColumn("block", deal("question_id", blocks)).withColumn("shard", every(shards))
+    right = usable.filter(some).withColumn("shard", deal("chunk_id", shards)).withColumn("block", every(blocks))
+    pair = ["width", "block", "shard"]
+    scored = (
+        left.groupBy(*pair).cogroup(right.groupBy(*pair))
+        .applyInArrow(_pair_scorer(k), "question_id bigint, chunk_id bigint, score double")
+    )
     return latest_per_key(
         scored, ["question_id"], [F.col("score").desc(), F.col("chunk_id")], k, rank="rank"
     )
 
 
+def score_floor(top: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(floor): the best score of any passage found for a question that must find nothing; one row.
+
+    ``labelled`` (question_id, expected) says whether the index holds an answer. A passage counts
+    when it scores more than the floor; without expected misses that is NULL and every passage counts.
+    """
+    best = top.filter("rank = 1").select("question_id", "score")
+    return labelled.filter("NOT expected").join(best, "question_id").agg(F.max("score").alias("floor"))
+
+
+def above_floor(top: DataFrame, floor: Column) -> DataFrame:
+    """Passages that score more than the floor; a question without any can cite none."""
+    return top.filter(F.coalesce(F.col("score") > floor, floor.isNull()))
+
+
+def golden_rates(top: DataFrame, labelled: DataFrame, floor: Column) -> DataFrame:
+    """Per ``expected``: questions, how many found a passage above the floor, and the rates of both mistakes.
+
+    An expected answer that is not found is a miss, an expected miss that finds a passage a false hit.
+    """
+    best = above_floor(top, floor).filter("rank = 1").select("question_id", "score")
+    found = F.col("score").isNotNull()
+    share = lambda wrong: F.coalesce(rounded(ratio(F.count_if(wrong), F.count("*")), 4), F.lit(0.0))
+    return labelled.join(best, "question_id", "left").groupBy("expected").agg(
+        F.count("*").alias("questions"),
+        F.count_if(found).alias("found"),
+        share(F.col("expected") & ~found).alias("miss_rate"),
+        share(~F.col("expected") & found).alias("false_hit_rate"),
+    )
+
+
 def hit_at_k(top: DataFrame, questions: DataFrame, chunks: DataFrame) -> DataFrame:
     """Per question: how many of its top chunks have the expected topic."""
     found = top.join(chunks.select("chunk_id", "topic"), "chunk_id")

@@ -9,6 +9,7 @@ from holdfast.plans import quality as quality_plans
 from holdfast.plans import valuation as valuation_plans
 from holdfast.plans.quality import BUSINESS_DATE, JOB_RUN_ID
 from holdfast.plans.registry import query
+from holdfast.session import work_dir
 from holdfast.sources import market
 
 # Parameters of the registered runs
@@ -183,13 +184,12 @@ def _balance(landed):
                                                  "AS transaction_date FROM txn GROUP BY 1")})""",
 )
 def recon_balance(spark, folder):
-    bronze = market.transactions(spark, folder)
-    silver = quality.silver_rows(quality_plans.conformed(spark, folder))
-    log = quality_plans.quarantine_log(spark, folder)
-    landed = controls.recon_balance(bronze, silver, log, JOB_RUN_ID)
-    deduplicated = controls.recon_balance(bronze, silver, log, JOB_RUN_ID, deduplicated=True)
-    return landed.withColumn("variant", F.lit("landed")).unionByName(
-        deduplicated.withColumn("variant", F.lit("deduplicated"))
+    """Silver and quarantine are tables of one conformed run; the landed rows are read once for both variants."""
+    path = work_dir(spark, "recon-conformed")
+    quality_plans.conformed(spark, folder).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return controls.recon_balances(
+        market.transactions(spark, folder), quality.silver_rows(rows), quality_plans.quarantine_log(spark, folder, rows), JOB_RUN_ID
     )
 
 

@@ -43,9 +43,9 @@ def reasoned(spark, folder):
     )
 
 
-def quarantine_log(spark, folder):
+def quarantine_log(spark, folder, rows=None):
     return quality.quarantine_log(
-        conformed(spark, folder),
+        conformed(spark, folder) if rows is None else rows,
         "bronze.raw_investment_transactions",
         F.col("transaction_date"),
         run_id(),

@@ -147,6 +147,40 @@ def retrieval_hit_at_k(spark, folder):
     )
 
 
+_GOLDEN = f"""WITH best AS (
+    SELECT q.question_id, max(round(list_cosine_similarity(q.q::DOUBLE[], e.embedding::DOUBLE[]), 9)) AS score
+    FROM embeddings e JOIN ({_QUESTIONS}) q ON true
+    WHERE e.vec_id IN (SELECT doc_id FROM labels GROUP BY doc_id
+                       HAVING bool_or(quality = 1) AND NOT bool_or(toxic = 1))
+      AND e.vec_id NOT IN (SELECT min(vec_id) FROM embeddings GROUP BY label) AND e.label % 3 <> 0 GROUP BY 1),
+  golden AS (SELECT question_id, question_id % 3 <> 0 AS expected, question_id % 2 = 0 AS calibrates FROM ({_QUESTIONS})),
+  floor AS (SELECT max(score) AS f FROM best JOIN golden USING (question_id) WHERE NOT expected AND calibrates)
+  SELECT expected, count(*) AS questions, count(*) FILTER (coalesce(score > f, f IS NULL)) AS found,
+         round((count(*) FILTER (expected AND NOT coalesce(score > f, f IS NULL AND score IS NOT NULL)))::DOUBLE / count(*), 4) AS miss_rate,
+         round((count(*) FILTER (NOT expected AND coalesce(score > f, f IS NULL AND score IS NOT NULL)))::DOUBLE / count(*), 4)
+             AS false_hit_rate
+  FROM golden LEFT JOIN best USING (question_id), floor GROUP BY expected"""
+
+
+@query("golden_misses", _GOLDEN)
+def golden_misses(spark, folder):
+    """Golden questions of which a third must find nothing: the passages of their topics are not in the index.
+
+    The floor is calibrated on the expected misses with even numbers and judged on all questions.
+    """
+    questions = market.question_vectors(spark, folder)
+    restricted = market.chunk_vectors(spark, folder).filter(F.col("topic") % 3 != 0)
+    index = retrieval.approved_documents(
+        restricted.withColumnRenamed("chunk_id", "doc_id"), market.document_register(spark, folder)
+    ).withColumnRenamed("doc_id", "chunk_id")
+    others = index.join(questions.select(F.col("own_chunk_id").alias("chunk_id")), "chunk_id", "left_anti")
+    best = retrieval.vector_topk(questions, others, 1)
+    path = work_dir(spark, "golden")
+    best.write.parquet(path)
+    found = spark.read.parquet(path)
+    golden = questions.select("question_id", (F.col("question_id") % 3 != 0).alias("expected"))
+    floor = retrieval.score_floor(found, golden.filter(F.col("question_id") % 2 == 0)).scalar()
+    return retrieval.golden_rates(found, golden, floor)
 
 
 @query(

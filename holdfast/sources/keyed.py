@@ -119,6 +119,15 @@ def read(spark: SparkSession, root: str, version: Version | None = None) -> Data
     return plain.select(*version.schema.names)
 
 
+def read_near(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """The rows of the buckets in which the keys of ``rows`` lie; other buckets are not opened."""
+    version = current(spark, root)
+    if version is None:
+        raise ValueError(f"no keyed table at {root}")
+    near = {r[0] for r in rows.select(_bucket_of(version.keys, version.buckets)).distinct().collect()}
+    return read(spark, root, version._replace(parts=tuple(p for p in version.parts if p.bucket in near)))
+
+
 def _joined(schema: StructType, new: StructType) -> StructType:
     """All columns of both, nullable; a column that changes its type is an error."""
     known = {f.name: f.dataType for f in schema.fields}

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.text import is_blank
+from holdfast.operators.keys import latest_per_key
 from holdfast.operators.quality import FLAG_CODES, MandatoryKeyError, with_flags
+from holdfast.sources import keyed
 
 
 def flag_stream(stream: DataFrame, portfolios: DataFrame, assets: DataFrame) -> DataFrame:
@@ -90,3 +92,36 @@ def expectation_counts(written: DataFrame) -> DataFrame:
 def dedupe_stream(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
     """First arrival per key; the watermark bounds how long a key is remembered."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+
+
+def dedupe_by_table(
+    stream: DataFrame, key: str, root: str, checkpoint: str, buckets: int = keyed.BUCKETS
+) -> DataFrame | None:
+    """First arrival per key over the whole history, without state that grows in memory; returns the kept rows.
+
+    The keys that have landed are a keyed table with the number of the batch that brought each. A batch reads
+    the buckets of its own keys, keeps the rows whose key is new, or is its own from an attempt that failed, and adds
+    their keys as a delta. Within a batch the row that sorts first by all columns stays. NULL is a key.
+    """
+    seen, target = f"{root}/seen", f"{root}/rows"
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = latest_per_key(batch, [key], [F.col(c) for c in batch.columns if c != key] or [F.lit(0)])
+        if keyed.current(spark, seen) is not None:
+            before = keyed.read_near(spark, seen, rows).filter(F.col("_batch") != batch_id).select(F.col(key).alias("_seen"))
+            rows = rows.join(before, F.col(key).eqNullSafe(F.col("_seen")), "left_anti")
+        path = f"{target}/_batch={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        new = spark.read.schema(rows.schema).parquet(path).select(key, F.lit(batch_id).cast("bigint").alias("_batch"))
+        keyed.apply(spark, seen, new, [key], buckets=buckets)
+
+    (
+        stream.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    spark = stream.sparkSession
+    return spark.read.parquet(target).drop("_batch") if keyed.current(spark, seen) is not None else None
