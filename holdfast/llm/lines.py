@@ -21,19 +21,19 @@ def _bare(text: Column) -> Column:
 def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``_chunks``: the text's chunks in order, as (body, n_lines); joined, they are the text.
 
-    A rolling hash over the hashes of two consecutive lines ends a chunk after about every
-    second line. An end depends on those two lines alone, so a passage is cut in the same
-    places wherever it stands and whatever stands before it.
+    Over the hashes of the lines rolls a window of three: a chunk ends after a line whose hash is less than
+    that of the line before and of the line behind. Two such lines never follow each other, so every chunk
+    but a text's last has two lines at least, three on average. An end depends on those three lines alone, so
+    a passage is cut in the same places wherever it stands and whatever stands before it.
     """
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), LINE_END), lambda s: s != "")
     hashed = df.withColumn("_lines", lines).withColumn(
         "_hashes", F.transform("_lines", lambda s: F.md5(_bare(s)))
     )
     line_hashes, last = F.col("_hashes"), F.size("_lines")
-    rolling = lambda i: F.md5(F.concat(F.coalesce(F.get(line_hashes, i - 2), F.lit("")), F.get(line_hashes, i - 1)))
-    ends = F.filter(
-        F.transform("_lines", lambda s, i: i + 1), lambda i: (i == last) | (rolling(i) < "8")
-    )
+    hashed_at = lambda i: F.get(line_hashes, i)
+    least = lambda i: (hashed_at(i - 1) < hashed_at(i - 2)) & (hashed_at(i - 1) < hashed_at(i))
+    ends = F.filter(F.transform("_lines", lambda s, i: i + 1), lambda i: (i == last) | ((i > 1) & least(i)))
     ended = hashed.withColumn("_ends", ends)
     before = lambda j: F.coalesce(F.get(F.col("_ends"), j - 1), F.lit(0))
     chunk = lambda e, j: F.struct(
@@ -138,7 +138,7 @@ WITH d AS (
                      lambda x: x <> '') AS l FROM documents),
 s AS (
   SELECT r, doc_id, i, s, lead(i) OVER w IS NULL
-         OR md5(coalesce(lag(h) OVER w, '') || h) < '8' AS is_end
+         OR coalesce(h < lag(h) OVER w AND h < lead(h) OVER w, false) AS is_end
   FROM (SELECT r, doc_id, i, l[i] AS s, md5({bare.format("l[i]")}) AS h
         FROM (SELECT r, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d))
   WINDOW w AS (PARTITION BY r ORDER BY i)),

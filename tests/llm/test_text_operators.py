@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -275,6 +276,32 @@ def test_line_chunk_edges(edge, make):
     assert out[5][0].text == "A text of its own. It has two sentences in it."
 
 
+def test_planted_passages_go_mostly(make):
+    """Passages of short sentences among other text: each loses most of its words but in the first document."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("aeioubcdlmnrst") for _ in range(rng.randint(2, 9)))
+    said = lambda n: " ".join(" ".join(word() for _ in range(rng.randint(3, 12))).capitalize() + rng.choice((". ", ".\n")) for _ in range(n))
+    planted = [said(16) for _ in range(8)]
+    rows = [(i, said(6) + planted[i % 8] + said(6), "s") for i in range(40)]
+    kept = {r.doc_id: r.text for r in lines.deduplicated(make(*rows)).collect()}
+    words = lambda t: Counter(t.split())
+    lost = whole = 0
+    for i, text, _ in rows:
+        if i < 8:
+            assert kept[i] == text
+            continue
+        gone = words(text) - words(kept[i])
+        assert not gone - words(planted[i % 8])
+        lost, whole = lost + sum(gone.values()), whole + len(planted[i % 8].split())
+    assert lost > 0.6 * whole
+
+
+def test_chunks_have_two_lines(spark):
+    text = "".join(f"Line {i * 7919 % 101}. " for i in range(200))
+    chunks = lines.with_chunks(spark.createDataFrame([(text,)], "text string")).first()._chunks
+    assert all(c.n_lines >= 2 for c in chunks[:-1]) and "".join(c.body for c in chunks) == text
+
+
 def test_secret_edges_and_links(edge, make):
     rows, df = edge
     got = secrets.secret_spans(df).collect()
