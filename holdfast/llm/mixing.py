@@ -16,6 +16,8 @@ BUDGET_PERCENT = 150
 EPOCHS = 2
 # Rows that one window task orders, about
 ROWS_PER_BUCKET = 2000
+# Rows of one range of a source's order, about
+ROWS_PER_RANGE = 50_000
 
 
 def source_targets(
@@ -65,17 +67,21 @@ def source_targets(
     )
 
 
-def _virtual_finish(sized: DataFrame, buckets: int, epochs: int) -> DataFrame:
+def _virtual_finish(sized: DataFrame, rows: int, epochs: int) -> DataFrame:
     """One row per document and epoch with its virtual finish time.
 
-    The order of a source is a hash of document and epoch. Its running sum is taken in two
-    steps: sums of ranges of the hash, then inside each range, so that a source with a third
-    of all documents is spread over all ranges.
+    The order of a source is a hash of document and epoch, then what tells rows of one id apart. Its
+    running sum is taken in two steps: sums of ranges of that order, then inside each range, so that a
+    source with a third of all documents, or an id, or rows without one, are spread over many ranges.
     """
     copies = sized.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "epoch"))
-    dealt = copies.withColumn("draw", key).withColumn(
-        "bucket", F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("bigint") * buckets / F.lit(1 << 32))
+    order = ["draw", "doc_id", "size", "row_id"]
+    ranges = max(16, -(-rows * epochs // ROWS_PER_RANGE))
+    dealt = written(
+        copies.withColumn("draw", key).repartitionByRange(ranges, "source_no", "epoch", *order)
+        .withColumn("bucket", F.spark_partition_id()),
+        "mix-order",
     )
     lane = ["source_no", "epoch"]
     sums = dealt.groupBy(*lane, "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -83,7 +89,7 @@ def _virtual_finish(sized: DataFrame, buckets: int, epochs: int) -> DataFrame:
     offsets = sums.select(
         *lane, "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset")
     )
-    inside = Window.partitionBy(*lane, "bucket").orderBy("draw", "doc_id", "size", "row_id").rowsBetween(
+    inside = Window.partitionBy(*lane, "bucket").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     through = F.col("epoch") * F.col("source_size") + F.col("offset") + F.col("inside")
@@ -119,7 +125,7 @@ def schedule(
     planned = sized.join(
         targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     ).drop("_source")
-    copies = written(_virtual_finish(planned, buckets, epochs), "mix-finish").withColumn(
+    copies = written(_virtual_finish(planned, rows, epochs), "mix-finish").withColumn(
         "range", F.least(F.floor(F.col("finish") * buckets), F.lit(2 * buckets))
     )
     total = sized.agg(F.sum("size")).first()[0] or 0

@@ -8,6 +8,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from holdfast.llm import lines, mixing, mtree, neardup, quality, warc
 from holdfast.llm.common import body, held, written
@@ -162,6 +164,20 @@ def test_mix_edges(edge, make):
     assert mixing.mix(make((1, None, "a"))).count() == 0
 
 
+def test_rows_without_an_id_are_spread(spark, monkeypatch):
+    """One draw for all rows: they are cut into ranges by what follows it, and taken as if in one."""
+    df = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("s").alias("source"),
+                                  F.repeat(F.lit("w "), F.pmod("id", F.lit(7)).cast("int") + 1).alias("text"))
+    seen = []
+    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", 300)
+    monkeypatch.setattr(mixing, "written", lambda frame, label: seen.append((label, out := written(frame, label))) or out)
+    plan = mixing.mix_plan(df).collect()
+    sizes = [r["count"] for r in dict(seen)["mix-order"].groupBy("bucket").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 1500
+    whole = sum(r.size for r in plan)
+    assert 1.5 * whole - 7 <= sum(r.taken for r in plan) <= 1.5 * whole
+
+
 def test_mix_comes_near_its_targets(spark, folder, documents):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = mixing.mix_plan(docs).collect()

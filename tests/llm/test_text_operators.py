@@ -236,6 +236,23 @@ def test_long_texts_are_cut_safely(text):
     assert "".join(tokens.pieces(text, 1000)) == text
 
 
+def test_very_many_short_texts_keep_their_numbers(monkeypatch):
+    """More texts in one chunk than 16 bits number: each is dealt with its own row."""
+    texts = pa.array([f"w{i % 5}" for i in range(150)])
+    monkeypatch.setattr(hpylm, "DEAL_DOCS", 64)
+    model = hpylm.Model(3, np.zeros(0, np.uint64))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150)), pa.array([True] * 150), texts], ["row_id", "train", "text"])
+    rows = [r for b in hpylm._deal(model)(iter([batch])) for r in pa.Table.from_batches([b]).to_pylist()]
+    found = Counter()
+    for part in range(3):
+        own = [r for r in rows if r["part"] == part]
+        if own:
+            table = hpylm._gather(pa.Table.from_pylist(own)).to_pylist()[0]
+            for row, n in zip(np.frombuffer(table["rows"], np.int64).tolist(), np.frombuffer(table["n"], np.int32).tolist(), strict=True):
+                found[row] += n
+    assert found == Counter(dict.fromkeys(range(150), 2))
+
+
 def test_token_edges(edge):
     rows, df = edge
     out = tokens.token_columns(df, PATH, public_tokenizers.PATTERN, ("n_tokens", "ids", "decoded"), keep=("doc_id", "node"))
