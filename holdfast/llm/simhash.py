@@ -84,18 +84,17 @@ def variants(nodes: DataFrame) -> DataFrame:
     return _opened(nodes, "print", 32, "0L").withColumnsRenamed({"_half": "half", "_bit": "side"})
 
 
-def _finer(rows: DataFrame, near: bool) -> DataFrame:
-    """Rows dealt to finer spots by the half that their spot leaves open: by each of its quarters, of 16 bits.
+def _finer(rows: DataFrame) -> DataFrame:
+    """Rows dealt to finer spots by each piece of the half that their spot leaves open.
 
-    Links within a spot differ in three bits of that half at most, so in one bit at most of one quarter. Rows are
-    kept under their quarters; with ``near``, sought under each quarter and the 16 that differ from it in one bit.
+    Links within a spot differ in three bits of that half at most, so one of its four pieces is equal. Between the
+    sides of a variant, which differ in the bit that it leaves out, it is two bits, and three pieces do.
     """
-    n = 17 if near else 1
-    other = "shiftrightunsigned(print, IF(half = 0, 32, 0))"
-    quarter = f"(shiftrightunsigned({other}, CAST(16 * (_i DIV {n}) AS INT)) & 65535L)"
-    sought = f"({quarter} ^ IF(_i % {n} = 16, 0L, shiftleft(1L, _i % {n})))" if near else quarter
-    numbered = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(2 * n - 1))))
-    return numbered.withColumn("finer", F.expr(f"shiftleft(spot, 17) | shiftleft(_i DIV {n}, 16) | {sought}")).drop("_i")
+    pieces = 3 if "side" in rows.columns else 4
+    size = -(-32 // pieces)
+    piece = f"shiftrightunsigned(shiftrightunsigned(print, IF(half = 0, 32, 0)) & 4294967295L, CAST({size} * _i AS INT)) & {(1 << size) - 1}L"
+    numbered = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
+    return numbered.withColumn("finer", F.expr(f"shiftleft(spot, 13) | shiftleft(_i, 11) | ({piece})")).drop("_i")
 
 
 def _starred(rows: DataFrame, distance: int) -> DataFrame:
@@ -145,11 +144,11 @@ def _crossing(rows: DataFrame, distance: int, leads: bool) -> DataFrame:
     Rows outside a spot's main component are looked up at the finer spots, among all rows or their leads.
     """
     sides = ["side"] if "side" in rows.columns else []
-    kept = _finer(rows, False)
+    kept = _finer(rows)
     if leads:
         kept = kept.groupBy("finer", *sides).agg(F.max_by(F.struct("print", "label"), "n").alias("k")).select("finer", *sides, "k.*")
     there = kept.select("finer", F.col("print").alias("b"), F.col("label").alias("_b"), *[F.col(c).alias("_side") for c in sides])
-    asked = _finer(_outside(rows), True).select("finer", F.col("print").alias("a"), F.col("label").alias("_a"), *sides)
+    asked = _finer(_outside(rows)).select("finer", F.col("print").alias("a"), F.col("label").alias("_a"), *sides)
     links = (F.col("_a") != F.col("_b")) & (apart("a", "b") <= distance)
     met = asked.join(there, ["finer"]).filter(links & (F.col("side") != F.col("_side")) if sides else links)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
