@@ -206,13 +206,13 @@ def prompt_context(
 ) -> DataFrame:
     """One prompt per question: instruction, breach rows, ranked passages, the question.
 
-    ``questions`` (question_id, question, portfolio_id); ``passages`` (question_id, rank,
-    doc_name, chunk_text), k per question; ``breaches`` of the day (portfolio_id, limit_id,
+    ``questions`` (question_id, question, portfolio_id); ``passages`` (question_id, rank, line_no,
+    doc_name, chunk_text), the chunks of k documents per question; ``breaches`` of the day (portfolio_id, limit_id,
     line), as many as the portfolio has limits.
     """
     line = F.concat(F.lit("["), "doc_name", F.lit("] "), "chunk_text")
     cited = passages.groupBy("question_id").agg(
-        F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))).alias("p")
+        F.sort_array(F.collect_list(F.struct("rank", "line_no", line.alias("line")))).alias("p")
     )
     listed = breaches.groupBy("portfolio_id").agg(
         F.sort_array(F.collect_list(F.struct("limit_id", "line"))).alias("b")

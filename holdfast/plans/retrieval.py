@@ -190,9 +190,8 @@ def golden_misses(spark, folder):
                      || limit_id, chr(10) ORDER BY limit_id, scope_value) AS txt
               FROM day GROUP BY 1),
         p AS (SELECT t.question_id, string_agg('[' || c.doc_name || '] ' || c.chunk_text, chr(10)
-                     ORDER BY t.rank) AS txt
-              FROM ({_TOP}) t JOIN approved_chunk c ON c.doc_id = t.chunk_id
-                   AND c.chunk_id = c.doc_name || '#0' GROUP BY 1)
+                     ORDER BY t.rank, substr(c.chunk_id, length(c.doc_name) + 2)::INT) AS txt
+              FROM ({_TOP}) t JOIN approved_chunk c ON c.doc_id = t.chunk_id GROUP BY 1)
         SELECT q.item_id AS question_id, 'PF_' || q.item_id AS portfolio_id,
                '{INSTRUCTION}' || chr(10) || chr(10) || 'BREACH DATA:' || chr(10)
                || coalesce(b.txt, '') || chr(10) || chr(10) || 'POLICY PASSAGES:' || chr(10)
@@ -204,8 +203,8 @@ def golden_misses(spark, folder):
 def prompt_context(spark, folder):
     """A prompt per benchmark question that has a vector, about the portfolio of the same number.
 
-    Questions and topics share their numbers. A passage is the first chunk of an approved
-    document found for the question.
+    Questions and topics share their numbers. The passages are all chunks, in order, of the approved
+    documents found for the question.
     """
     questions = market.table(spark, folder, "benchmark").select(
         F.col("item_id").alias("question_id"),
@@ -213,15 +212,14 @@ def prompt_context(spark, folder):
         F.concat(F.lit("PF_"), "item_id").alias("portfolio_id"),
     ).join(market.question_vectors(spark, folder).select("question_id"), "question_id", "left_semi")
     allowed = approved(spark, folder)
-    chunks = retrieval.chunk_documents(allowed).filter(
-        F.col("chunk_id") == F.concat("doc_name", F.lit("#0"))
-    )
+    chunks = retrieval.chunk_documents(allowed)
+    line_no = F.substring("chunk_id", F.length("doc_name") + 2, F.length("chunk_id")).cast("int").alias("line_no")
     names = allowed.select(F.col("doc_id").alias("chunk_id"), "doc_name")
     passages = (
         top(spark, folder)
         .join(names, "chunk_id")
-        .join(chunks.select("doc_name", "chunk_text"), "doc_name")
-        .select("question_id", "rank", "doc_name", "chunk_text")
+        .join(chunks.select("doc_name", line_no, "chunk_text"), "doc_name")
+        .select("question_id", "rank", "line_no", "doc_name", "chunk_text")
     )
     breaches = valuation_plans.breaches(spark, folder)
     newest = breaches.agg(F.max("as_of_date").alias("d")).scalar()
