@@ -23,7 +23,7 @@ TOP = 2_000
 UNKNOWN = "und"
 # Bytes of text whose words are numbered together; n-grams that a task holds before it hands them on
 BLOCK_BYTES = 1 << 21
-TASK_KEYS = 1 << 20
+TASK_KEYS = 1 << 19
 # Counters of one hash partition's summary, about; n-grams in one row of a partial summary
 CELL_KEYS = 1 << 18
 ROW_KEYS = 1 << 8
