@@ -292,8 +292,10 @@ def recon_feed_freshness(spark, folder):
     )
 
 
-# A second formulation of the breaches, in SQL: grouping sets over one read of the fact,
-# and the limit rule as one OR condition instead of the offered portfolio keys.
+# A second formulation of the breaches, in SQL: grouping sets over one read of the fact, and
+# each share looks up the limits for all and its portfolio's own ones instead of being offered
+# under two keys. Both lookups are equalities: an OR would pair a share with the scope's limits of
+# every portfolio.
 _RECOMPUTE = """
     WITH sums AS (
       SELECT portfolio_id, as_of_date, sector, issuer_id, sum(market_value) AS value,
@@ -301,18 +303,25 @@ _RECOMPUTE = """
       FROM {fact}
       GROUP BY GROUPING SETS ((portfolio_id, as_of_date, sector), (portfolio_id, as_of_date, issuer_id),
                               (portfolio_id, as_of_date))),
+    totaled AS (
+      SELECT *, max(IF(no_sector + no_issuer = 2, value, NULL)) OVER (PARTITION BY portfolio_id, as_of_date) AS total
+      FROM sums),
     shares AS (
-      SELECT p.portfolio_id, p.as_of_date, IF(p.no_sector = 0, 'SECTOR', 'ISSUER') AS scope_type,
-             IF(p.no_sector = 0, p.sector, p.issuer_id) AS scope_value,
-             CAST(round(CAST(CAST(p.value AS DOUBLE) / CAST(t.value AS DOUBLE) * 100
+      SELECT portfolio_id, as_of_date, IF(no_sector = 0, 'SECTOR', 'ISSUER') AS scope_type,
+             IF(no_sector = 0, sector, issuer_id) AS scope_value,
+             CAST(round(CAST(CAST(value AS DOUBLE) / CAST(total AS DOUBLE) * 100
                  AS DECIMAL(28,10)), 4) AS DOUBLE) AS pct
-      FROM sums p JOIN sums t ON p.portfolio_id = t.portfolio_id AND p.as_of_date = t.as_of_date
-      WHERE p.no_sector + p.no_issuer = 1 AND t.no_sector + t.no_issuer = 2 AND t.value <> 0)
-    SELECT s.portfolio_id, s.as_of_date, s.scope_type, s.scope_value, l.limit_id
-    FROM shares s JOIN {limits} l
-      ON upper(l.scope_type) = s.scope_type AND l.scope_value = s.scope_value
-     AND (l.portfolio_id IS NULL OR l.portfolio_id = 'ALL' OR l.portfolio_id = s.portfolio_id)
-    WHERE s.pct > l.max_pct"""
+      FROM totaled WHERE no_sector + no_issuer = 1 AND total <> 0),
+    rules AS (
+      SELECT nullif(portfolio_id, 'ALL') AS own, upper(scope_type) AS scope_type, scope_value,
+             collect_set(struct(limit_id, max_pct)) AS found
+      FROM {limits} GROUP BY 1, 2, 3),
+    ruled AS (
+      SELECT s.*, inline(concat(coalesce(a.found, array()), coalesce(o.found, array())))
+      FROM shares s
+      LEFT JOIN rules a ON a.own IS NULL AND a.scope_type = s.scope_type AND a.scope_value = s.scope_value
+      LEFT JOIN rules o ON o.own = s.portfolio_id AND o.scope_type = s.scope_type AND o.scope_value = s.scope_value)
+    SELECT portfolio_id, as_of_date, scope_type, scope_value, limit_id FROM ruled WHERE pct > max_pct"""
 
 
 @query(

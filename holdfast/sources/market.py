@@ -189,15 +189,20 @@ SNAPSHOT_DATES = ("2024-01-31", "2024-02-29", "2024-03-31")
 
 
 def holdings(spark: SparkSession, folder: str) -> DataFrame:
-    """Month-end holdings, one row per portfolio, date and asset."""
+    """Month-end holdings, one row per portfolio, date and asset.
+
+    Rows are grouped by the numbers that the ids stand for; the texts are made afterwards.
+    """
     return (
         table(spark, folder, "lineitem")
-        .groupBy(
+        .groupBy("l_suppkey", F.last_day(F.col("l_shipdate").cast("date")).alias("day"), "l_partkey")
+        .agg(F.sum("l_quantity").alias("quantity"))
+        .select(
             _id("PF_", "l_suppkey").alias("portfolio_id"),
-            _month_end("l_shipdate").alias("as_of_date"),
+            F.col("day").cast("string").alias("as_of_date"),
             _id("AS_", "l_partkey").alias("investment_asset_id"),
+            "quantity",
         )
-        .agg(F.sum("l_quantity").alias("quantity"))
     )
 
 
