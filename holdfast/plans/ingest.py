@@ -298,15 +298,19 @@ def scd2_stream(spark, folder):
 
 @query("chunk_refresh_stream", "SELECT chunk_id, doc_name, chunk_text FROM approved_chunk")
 def chunk_refresh_stream(spark, folder):
-    """Approved documents arrive in three deliveries and are chunked and merged on arrival, one file a batch."""
+    """Approved documents arrive in three deliveries; each is chunked and merged by a run of its own.
+
+    A delivery has as many files as tasks wrote it, and a run takes them all as one micro-batch.
+    """
     root = work_dir(spark, "chunk-stream")
-    documents = approved(spark, folder)
+    documents, chunks = approved(spark, folder), None
     for turn in range(3):
-        documents.filter(F.pmod("doc_id", F.lit(3)) == turn).coalesce(1).write.mode("append").parquet(f"{root}/documents")
-    stream = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/documents")
-    return snapshots.merge_stream(
-        retrieval.chunk_documents(stream), ["chunk_id"], f"{root}/chunks", f"{root}/checkpoint", buckets=16
-    )
+        documents.filter(F.pmod("doc_id", F.lit(3)) == turn).write.mode("append").parquet(f"{root}/documents")
+        stream = spark.readStream.schema(documents.schema).parquet(f"{root}/documents")
+        chunks = snapshots.merge_stream(
+            retrieval.chunk_documents(stream), ["chunk_id"], f"{root}/chunks", f"{root}/checkpoint", buckets=16
+        )
+    return chunks
 
 
 @query(

@@ -1,6 +1,9 @@
 """Steps whose work must grow no faster than their input."""
 
+import pathlib
+
 from holdfast.plans import controls as control_plans
+from holdfast.plans import ingest as ingest_plans
 
 
 def _joins(df):
@@ -14,3 +17,14 @@ def test_second_formulation_of_breaches_pairs_no_share_with_other_portfolios_lim
     assert _joins(compared) and not [j for j in _joins(compared) if " OR " in j]
     counts = compared.first()
     assert counts.in_both > 0 and counts.only_left == counts.only_right == 0
+
+
+def test_a_delivery_of_documents_is_not_written_by_one_task(spark, folder, monkeypatch, tmp_path):
+    dealt = ingest_plans.approved(spark, folder).repartition(4)
+    monkeypatch.setattr(ingest_plans, "approved", lambda *_: dealt)
+    monkeypatch.setattr(ingest_plans, "work_dir", lambda *_: str(tmp_path))
+    chunks = ingest_plans.chunk_refresh_stream(spark, folder)
+    assert len(list(pathlib.Path(tmp_path, "documents").glob("*.parquet"))) > 3
+    # One micro-batch for each delivery
+    assert len(list(pathlib.Path(tmp_path, "checkpoint", "commits").glob("[0-9]*"))) == 3
+    assert chunks.select("doc_name").distinct().count() == dealt.filter("trim(text) != ''").count()
