@@ -8,6 +8,7 @@ from holdfast.operators import generator, governance, operations, profiling, qua
 from holdfast.plans import quality as quality_plans
 from holdfast.plans import valuation as valuation_plans
 from holdfast.plans.registry import query
+from holdfast.session import work_dir
 from holdfast.sources import market
 
 # Parameters of the registered reports; the windows cover the whole tables
@@ -265,9 +266,11 @@ def _quantile(column):
 
 @query("profile_quantiles", " UNION ALL ".join(_quantile(c) for c in _FACT_NUMBERS))
 def profile_quantiles(spark, folder):
-    return profiling.exact_quantiles(
-        valuation_plans.fact(spark, folder), _FACT_NUMBERS, (0.25, 0.5, 0.75)
-    )
+    """The numbers of the fact are written once, as the quantiles read them three times."""
+    path = work_dir(spark, "profile-quantiles")
+    numbers = valuation_plans.fact(spark, folder).select(*_FACT_NUMBERS)
+    numbers.write.parquet(path)
+    return profiling.exact_quantiles(spark.read.schema(numbers.schema).parquet(path), _FACT_NUMBERS, (0.25, 0.5, 0.75))
 
 
 def _slice(column):

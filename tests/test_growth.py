@@ -4,6 +4,8 @@ import pathlib
 
 from holdfast.plans import controls as control_plans
 from holdfast.plans import ingest as ingest_plans
+from holdfast.plans import serving as serving_plans
+from holdfast.plans import valuation as valuation_plans
 
 
 def _joins(df):
@@ -28,3 +30,19 @@ def test_a_delivery_of_documents_is_not_written_by_one_task(spark, folder, monke
     # One micro-batch for each delivery
     assert len(list(pathlib.Path(tmp_path, "checkpoint", "commits").glob("[0-9]*"))) == 3
     assert chunks.select("doc_name").distinct().count() == dealt.filter("trim(text) != ''").count()
+
+
+def test_quantiles_value_the_fact_once(spark, folder, monkeypatch):
+    passes = spark.sparkContext.accumulator(0)
+    fact = valuation_plans.fact(spark, folder)
+    rows = fact.count()
+
+    def counting(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(valuation_plans, "fact", lambda *_: fact.mapInArrow(counting, fact.schema))
+    quantiles = serving_plans.profile_quantiles(spark, folder)
+    assert quantiles.count() == 2
+    assert passes.value == rows
