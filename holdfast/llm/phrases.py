@@ -24,6 +24,8 @@ UNKNOWN = "und"
 # Bytes of text whose words are numbered together; n-grams that a task holds before it hands them on
 BLOCK_BYTES = 1 << 21
 TASK_KEYS = 1 << 19
+# Rows of an Arrow batch that are texts in memory at once
+BATCH_TEXTS = 2_500
 # Counters of one hash partition's summary, about; n-grams in one row of a partial summary
 CELL_KEYS = 1 << 18
 ROW_KEYS = 1 << 8
@@ -76,20 +78,24 @@ class Grams:
 
     def __init__(self, tokens: list[bytes], carried: int, longest: int):
         ids, self.words = pd.factorize(np.array(tokens, object))
+        self.ids, self.carried, self.longest = ids.astype(np.int64), carried, longest
+
+    @property
+    def widths(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(width, ids, place, count, key), worked out one width at a time."""
+        ids = self.ids
         stop = np.array([w == _STOP for w in self.words], bool)
         hashed = np.array([xxhash.xxh64_intdigest(w) for w in self.words], _U)
-        ids = ids.astype(np.int64)
         inside = ~stop[ids] if len(ids) else np.zeros(0, bool)
-        self.widths = []
         level, n = ids, len(ids)
-        for width in range(1, longest + 1):
+        for width in range(1, self.longest + 1):
             if n < width:
                 break
             if width > 1:
                 inside = inside[:-1] & ~stop[ids[width - 1 :]]
                 # Two numbers below 2**31 each in one, then numbered anew: exact, no hash
                 level = pd.factorize(level[:-1] * (len(self.words) + 1) + ids[width - 1 :])[0].astype(np.int64)
-            new = np.arange(len(level)) + width > carried
+            new = np.arange(len(level)) + width > self.carried
             places = np.flatnonzero(inside & new)
             count = np.bincount(level[places])
             some = np.zeros(len(count), np.int64)
@@ -99,7 +105,7 @@ class Grams:
                 key = np.full(len(at), _U(width))
                 for j in range(width):
                     key += hashed[ids[at + j]] * _FACTORS[j]
-            self.widths.append((width, ids, at, count, key))
+            yield width, ids, at, count, key
 
     def texts(self, width: int, ids: np.ndarray, at: np.ndarray) -> list[str]:
         parts = [self.words[ids[at + j]] for j in range(width)]
@@ -111,15 +117,19 @@ def _grams(texts: Sequence[str | None], longest: int) -> Iterator[Grams]:
     tail: list[bytes] = []
     for block in _blocks(texts):
         tokens = tail + block.split()
-        yield Grams(tokens, len(tail), longest)
-        tail = tokens[max(0, len(tokens) - longest + 1) :]
+        grams, tail = Grams(tokens, len(tail), longest), tokens[max(0, len(tokens) - longest + 1) :]
+        # Only the distinct words stay while the n-grams are counted
+        del tokens, block
+        yield grams
 
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str | None]]]:
+    """The texts of a language in some rows of a batch; no more than ``BATCH_TEXTS`` at once."""
     for batch in batches:
-        frame = batch.to_pandas()
-        for lang, texts in frame.groupby("lang", sort=False)["text"]:
-            yield lang, texts.tolist()
+        for first in range(0, batch.num_rows, BATCH_TEXTS):
+            frame = batch.slice(first, BATCH_TEXTS).to_pandas()
+            for lang, texts in frame.groupby("lang", sort=False)["text"]:
+                yield lang, texts.tolist()
 
 
 def _lang_key(lang: str) -> np.uint64:
