@@ -10,8 +10,11 @@ from holdfast.sources import market
 
 
 def fact(spark, folder):
-    return valuation.daily_holding(
-        market.holdings(spark, folder), market.prices(spark, folder), market.assets(spark, folder)
+    """Valued holdings; joined by numbers and days, and named afterwards."""
+    return market.named(
+        valuation.daily_holding(
+            market.holding_rows(spark, folder), market.price_rows(spark, folder), market.asset_rows(spark, folder)
+        )
     )
 
 

@@ -82,13 +82,18 @@ def portfolios(spark: SparkSession, folder: str) -> DataFrame:
 
 def assets(spark: SparkSession, folder: str) -> DataFrame:
     """Asset master: parts below the largest size; the others are unknown assets."""
+    return named(asset_rows(spark, folder))
+
+
+def asset_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`assets` by the number that the id stands for."""
     size = F.col("p_size")
     listed = size <= 35
     return (
         table(spark, folder, "part")
         .filter(size < 50)
         .select(
-            _id("AS_", "p_partkey").alias("investment_asset_id"),
+            F.col("p_partkey").alias("investment_asset_id"),
             F.col("p_name").alias("name"),
             F.when(size <= 25, "LISTED_EQUITY").when(listed, "LISTED_BOND")
             .when(size <= 42, "FUND").otherwise("PRIVATE_COMPANY").alias("asset_type"),
@@ -188,19 +193,49 @@ SNAPSHOT_DATES = ("2024-01-31", "2024-02-29", "2024-03-31")
 # ---- valuation data ---------------------------------------------------------------
 
 
-def holdings(spark: SparkSession, folder: str) -> DataFrame:
-    """Month-end holdings, one row per portfolio, date and asset.
+_ID_PREFIXES = {"portfolio_id": "PF_", "investment_asset_id": "AS_"}
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """Rows with the ids and dates of the feeds in place of the numbers and days they stand for."""
+    texts = {c: _id(prefix, c) for c, prefix in _ID_PREFIXES.items()}
+    texts |= {c: F.col(c).cast("string") for c in ("as_of_date", "price_date")}
+    return rows.select(*[texts[c].alias(c) if c in texts else F.col(c) for c in rows.columns])
+
+
+def _month(column: str) -> Column:
+    return F.last_day(F.col(column).cast("date"))
+
+
+def _exact_sum(column: str) -> Column:
+    """Sum of a column as ``decimal(18,2)``, exact, as double.
 
-    Rows are grouped by the numbers that the ids stand for; the texts are made afterwards.
+    Amounts of whole cents, which are nearly all, are added as two halves of a whole number; only the others are
+    made decimals one by one.
     """
+    cents = F.rint(F.col(column) * 100)
+    plain = (F.abs(cents) < 1e15) & (cents / 100 == F.col(column))
+    whole = F.when(plain, cents.cast("bigint")).otherwise((F.col(column).cast("decimal(18,2)") * 100).cast("bigint"))
+    high, low = F.sum(F.shiftright(whole, 32)), F.sum(whole.bitwiseAND(F.lit(0xFFFFFFFF)))
+    total = high.cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(19,0)")
+    return (total * F.lit("0.01").cast("decimal(2,2)")).cast("double")
+
+
+def holdings(spark: SparkSession, folder: str) -> DataFrame:
+    """Month-end holdings, one row per portfolio, date and asset."""
+    return named(holding_rows(spark, folder))
+
+
+def holding_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`holdings` by numbers and days: grouped and joined so, and named afterwards."""
     return (
         table(spark, folder, "lineitem")
-        .groupBy("l_suppkey", F.last_day(F.col("l_shipdate").cast("date")).alias("day"), "l_partkey")
+        .groupBy("l_suppkey", _month("l_shipdate").alias("day"), "l_partkey")
         .agg(F.sum("l_quantity").alias("quantity"))
         .select(
-            _id("PF_", "l_suppkey").alias("portfolio_id"),
-            F.col("day").cast("string").alias("as_of_date"),
-            _id("AS_", "l_partkey").alias("investment_asset_id"),
+            F.col("l_suppkey").alias("portfolio_id"),
+            F.col("day").alias("as_of_date"),
+            F.col("l_partkey").alias("investment_asset_id"),
             "quantity",
         )
     )
@@ -208,15 +243,17 @@ def holdings(spark: SparkSession, folder: str) -> DataFrame:
 
 def prices(spark: SparkSession, folder: str) -> DataFrame:
     """Month-end prices: mean traded price; assets traded only in the top tax band have none."""
-    value = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+    return named(price_rows(spark, folder))
+
+
+def price_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`prices` by numbers and days."""
     return (
         table(spark, folder, "lineitem")
         .filter(F.col("l_tax") != 0.08)
-        .groupBy(
-            _month_end("l_shipdate").alias("price_date"),
-            _id("AS_", "l_partkey").alias("investment_asset_id"),
-        )
-        .agg(rounded(value / F.sum("l_quantity"), 4).alias("close_price"))
+        .groupBy(F.col("l_partkey").alias("investment_asset_id"), _month("l_shipdate").alias("price_date"))
+        .agg(rounded(_exact_sum("l_extendedprice") / F.sum("l_quantity"), 4).alias("close_price"))
+        .select("price_date", "investment_asset_id", "close_price")
     )
 
 

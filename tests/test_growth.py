@@ -2,10 +2,13 @@
 
 import pathlib
 
+from pyspark.sql import functions as F
+
 from holdfast.plans import controls as control_plans
 from holdfast.plans import ingest as ingest_plans
 from holdfast.plans import serving as serving_plans
 from holdfast.plans import valuation as valuation_plans
+from holdfast.sources import market
 
 
 def _joins(df):
@@ -46,3 +49,22 @@ def test_quantiles_value_the_fact_once(spark, folder, monkeypatch):
     quantiles = serving_plans.profile_quantiles(spark, folder)
     assert quantiles.count() == 2
     assert passes.value == rows
+
+
+def test_holdings_and_prices_meet_by_numbers_not_by_texts_made_for_the_join(spark, folder):
+    fact = valuation_plans.fact(spark, folder)
+    plan = fact._jdf.queryExecution().optimizedPlan()
+    price_join = [line for line in _joins(fact) if "as_of_date" in line or "day" in line]
+    assert price_join
+    # Ids are put together above the joins only; before, every row's were in the scans, shuffles and sorts
+    joined = plan.toString().split("Join ", 1)[1]
+    assert "concat(AS_" not in joined and "concat(PF_" not in joined
+    assert dict(fact.dtypes)["as_of_date"] == dict(fact.dtypes)["portfolio_id"] == "string"
+
+
+def test_amounts_added_as_whole_cents_are_the_sum_of_decimals(spark):
+    amounts = [1.005, -1.005, 0.015, -0.005, 2.675, 123456789.125, 9e14 + 0.5, 1e15, -7.0, 0.1, None, -12345678901234.56]
+    for upto in range(1, len(amounts) + 1):
+        df = spark.createDataFrame([(a,) for a in amounts[:upto]], "x double")
+        want = df.agg(F.sum(F.col("x").cast("decimal(18,2)")).cast("double")).first()[0]
+        assert df.agg(market._exact_sum("x")).first()[0] == want
