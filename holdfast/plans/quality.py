@@ -144,11 +144,17 @@ def fail_gate(spark, folder):
         FROM quarantined""",
 )
 def quarantine(spark, folder):
-    """The log as stored: a run's slice is written twice and is there once."""
-    rows = quarantine_log(spark, folder)
+    """The log as stored: a run's slice is written twice and is there once.
+
+    The rows are judged once and kept for both writes, on the executors' disks where memory ends.
+    """
+    rows = quarantine_log(spark, folder).persist()
     path = work_dir(spark, "quarantine")
-    sinks.replace_partitions(rows, path, ["pipeline_run_id"])
-    sinks.replace_partitions(rows, path, ["pipeline_run_id"])
+    try:
+        sinks.replace_partitions(rows, path, ["pipeline_run_id"])
+        sinks.replace_partitions(rows, path, ["pipeline_run_id"])
+    finally:
+        rows.unpersist()
     stored = spark.read.parquet(path)
     return stored.select(
         *[c for c in rows.columns if c != "raw_payload"],

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from holdfast.plans import controls as control_plans
 from holdfast.plans import ingest as ingest_plans
+from holdfast.plans import quality as quality_plans
 from holdfast.plans import serving as serving_plans
 from holdfast.plans import valuation as valuation_plans
-from holdfast.sources import market
+from holdfast.sources import feeds, market
+from holdfast.sources.schemas import SCHEMAS
 
 
 def _joins(df):
@@ -68,3 +70,32 @@ def test_amounts_added_as_whole_cents_are_the_sum_of_decimals(spark):
         df = spark.createDataFrame([(a,) for a in amounts[:upto]], "x double")
         want = df.agg(F.sum(F.col("x").cast("decimal(18,2)")).cast("double")).first()[0]
         assert df.agg(market._exact_sum("x")).first()[0] == want
+
+
+def test_quarantine_judges_its_rows_once_for_both_writes(spark, folder, monkeypatch):
+    passes = spark.sparkContext.accumulator(0)
+    log = quality_plans.quarantine_log(spark, folder)
+    rows = log.count()
+
+    def counting(batches):
+        for batch in batches:
+            passes.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(quality_plans, "quarantine_log", lambda *_: log.mapInArrow(counting, log.schema))
+    assert quality_plans.quarantine(spark, folder).count() == rows
+    assert passes.value == rows
+
+
+def test_json_lines_that_keep_the_contract_are_not_filtered_field_by_field(spark):
+    schema = SCHEMAS["investment_transactions"]
+    lines = [
+        '{"quantity":"n/a"}', '{"quantity":1,"fee":2}', "[1]", "no", "{}", '{"quantity":1,"quantity":"x"}',
+        '{"quantity":null}', '{"fee":null}', None, "", '{"quantity":1,"QUANTITY":2}',
+    ]
+    read = feeds.rescue_json(spark.createDataFrame([(line,) for line in lines], "value string"), schema)
+    assert [r._rescued_data for r in read.collect()] == [
+        '{"quantity":"n/a"}', '{"fee":"2"}', "[1]", "no", None, None, None, '{"fee":null}', None, "", '{"QUANTITY":"2"}',
+    ]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_contains_key" in plan or "array_contains(map_keys" in plan
