@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from holdfast.operators import history, valuation
@@ -15,6 +16,7 @@ from holdfast.sources import keyed, market, sinks, tables
 BATCH_CUT = "1999-01-01 00:00:00"
 CORRECTION_FROM = "2000-01-01"
 UPSERT_BUCKETS = 16
+UPSERT_RATIO = 2.0
 TRACKED = ("sector", "issuer_id", "asset_type", "name")
 ASSET_KEY = ("investment_asset_id",)
 D1, D2, D3 = market.SNAPSHOT_DATES
@@ -39,15 +41,19 @@ _ORDER = """ORDER BY _ingest_ts DESC NULLS LAST, transaction_date DESC NULLS LAS
         WHERE transaction_id NOT IN (SELECT transaction_id FROM batch)""",
 )
 def upsert(spark, folder):
-    """Create from the first load, upsert the later batch, upsert it again: same table."""
+    """Create from the first load, upsert the later batch, upsert it again: same table.
+
+    The batch is worked out once for both upserts. As the table is read once, its deltas are merged by that read.
+    """
     landed = market.transactions(spark, folder)
     cut = F.lit(BATCH_CUT).cast("timestamp_ntz")
     key = ["transaction_id"]
     first = dedupe_latest(landed.filter(F.col("_ingest_ts") < cut), key, "_ingest_ts")
-    batch = dedupe_latest(landed.filter(F.col("_ingest_ts") >= cut), key, "_ingest_ts")
+    batch = dedupe_latest(landed.filter(F.col("_ingest_ts") >= cut), key, "_ingest_ts").persist(StorageLevel.DISK_ONLY)
     root = work_dir(spark, "upsert")
     for rows in (first, batch, batch):
-        keyed.merge(spark, root, rows, key, buckets=UPSERT_BUCKETS)
+        keyed.apply(spark, root, rows, key, buckets=UPSERT_BUCKETS, ratio=UPSERT_RATIO, spread=True)
+    batch.unpersist()
     return keyed.read(spark, root)
 
 

@@ -76,11 +76,16 @@ def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
-def _write(spark: SparkSession, version: Version, rows: DataFrame, generation: int, delta: bool) -> list[Part]:
-    """Write rows (with ``_deleted``) as one generation and count them by bucket."""
+def _write(spark: SparkSession, version: Version, rows: DataFrame, generation: int, delta: bool, spread: bool) -> list[Part]:
+    """Write rows (with ``_deleted``) as one generation and count them by bucket.
+
+    Rows that are ``spread`` come from a shuffle by key: every task holds its share of each bucket and writes
+    it as a file of its own, without a second shuffle of all rows.
+    """
     path = f"{version.root}/data/{_GENERATION}={generation}"
     dealt = rows.withColumn(_BUCKET, _bucket_of(version.keys, version.buckets))
-    dealt.hint("rebalance", F.col(_BUCKET)).write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
+    dealt = dealt if spread else dealt.hint("rebalance", F.col(_BUCKET))
+    dealt.write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
     stored = spark.read.schema(f"{_DELETED} boolean, {_BUCKET} bigint").parquet(path)
     counts = stored.groupBy(_BUCKET).agg(F.count("*").alias("n")).collect()
     return [Part(r[_BUCKET], generation, r["n"], delta) for r in counts]
@@ -138,7 +143,13 @@ def _joined(schema: StructType, new: StructType) -> StructType:
 
 
 def _with_delta(
-    spark: SparkSession, root: str, rows: DataFrame | None, deletes: DataFrame | None, keys: Sequence[str], buckets: int
+    spark: SparkSession,
+    root: str,
+    rows: DataFrame | None,
+    deletes: DataFrame | None,
+    keys: Sequence[str],
+    buckets: int,
+    spread: bool = False,
 ) -> Version:
     """The next version, not committed: the batch as a delta behind what is there."""
     old = current(spark, root) or Version(root, 0, tuple(keys), buckets, StructType([]), ())
@@ -157,7 +168,7 @@ def _with_delta(
     batch = marked[0] if len(marked) == 1 else marked[0].unionByName(marked[1], allowMissingColumns=True)
     new = old._replace(number=old.number + 1)
     held = {p.bucket for p in old.parts}
-    parts = _write(spark, new, batch, 2 * new.number, True)
+    parts = _write(spark, new, batch, 2 * new.number, True, spread and deletes is None)
     # The first rows of a bucket need no merging, unless some of them are marks
     first = deletes is None
     parts = [p._replace(delta=not first or p.bucket in held) for p in parts]
@@ -175,7 +186,7 @@ def _settled(spark: SparkSession, version: Version, ratio: float) -> Version:
     if not due:
         return version
     rows = _merged(_load(spark, version, [p for p in version.parts if p.bucket in due]), version.keys)
-    parts = _write(spark, version, rows.drop(_GENERATION), 2 * version.number + 1, False)
+    parts = _write(spark, version, rows.drop(_GENERATION), 2 * version.number + 1, False, True)
     return version._replace(parts=tuple(sorted([p for p in version.parts if p.bucket not in due] + parts)))
 
 
@@ -187,16 +198,19 @@ def apply(
     deletes: DataFrame | None = None,
     buckets: int = BUCKETS,
     ratio: float = REWRITE_RATIO,
+    spread: bool = False,
 ) -> Version:
     """Upsert ``rows`` (one per key) and delete the keys of ``deletes``; creates the table where there is none.
 
     A key in both is upserted. What is written is the batch, and the buckets whose deltas have reached
     ``ratio`` times the rows below them: over many batches a constant factor of what they bring. A repeated
     batch leaves the same rows. NULL keys are equal to each other. New columns are added, NULL before.
+    ``spread`` says that ``rows`` come from a shuffle by their keys, as :func:`dedupe_latest` leaves them; without
+    deletes they are then not shuffled again.
     """
     if rows is None and deletes is None:
         raise ValueError("nothing to apply")
-    return _commit(spark, _settled(spark, _with_delta(spark, root, rows, deletes, keys, buckets), ratio))
+    return _commit(spark, _settled(spark, _with_delta(spark, root, rows, deletes, keys, buckets, spread), ratio))
 
 
 def merge(
