@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from holdfast.operators import history, valuation
@@ -49,11 +48,11 @@ def upsert(spark, folder):
     cut = F.lit(BATCH_CUT).cast("timestamp_ntz")
     key = ["transaction_id"]
     first = dedupe_latest(landed.filter(F.col("_ingest_ts") < cut), key, "_ingest_ts")
-    batch = dedupe_latest(landed.filter(F.col("_ingest_ts") >= cut), key, "_ingest_ts").persist(StorageLevel.DISK_ONLY)
+    batch = dedupe_latest(landed.filter(F.col("_ingest_ts") >= cut), key, "_ingest_ts")
+    batch = sinks.written_once(batch, work_dir(spark, "upsert-batch"))
     root = work_dir(spark, "upsert")
     for rows in (first, batch, batch):
         keyed.apply(spark, root, rows, key, buckets=UPSERT_BUCKETS, ratio=UPSERT_RATIO, spread=True)
-    batch.unpersist()
     return keyed.read(spark, root)
 
 

@@ -205,8 +205,8 @@ def apply(
     A key in both is upserted. What is written is the batch, and the buckets whose deltas have reached
     ``ratio`` times the rows below them: over many batches a constant factor of what they bring. A repeated
     batch leaves the same rows. NULL keys are equal to each other. New columns are added, NULL before.
-    ``spread`` says that ``rows`` come from a shuffle by their keys, as :func:`dedupe_latest` leaves them; without
-    deletes they are then not shuffled again.
+    ``spread`` says that ``rows`` lie in tasks of even size, as a shuffle by their keys or a table of them leaves them;
+    without deletes they are then not shuffled again.
     """
     if rows is None and deletes is None:
         raise ValueError("nothing to apply")

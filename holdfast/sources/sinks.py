@@ -27,6 +27,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def written_once(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a new folder and read back, for steps that would work it out several times."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one table partition together, large ones split, small ones merged (AQE)."""
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
