@@ -11,7 +11,7 @@ from holdfast.plans.registry import query
 from holdfast.plans.retrieval import approved
 from holdfast.session import work_dir
 from holdfast.sources import feeds as readers
-from holdfast.sources import market
+from holdfast.sources import market, sinks
 from holdfast.sources.schemas import SCHEMAS, missing_columns
 from holdfast.streaming import ingest as landing
 from holdfast.streaming import routing, snapshots
@@ -123,7 +123,7 @@ def rescue_csv(spark, folder):
 def rescue_csv_header(spark, folder):
     """Files with columns in other orders, one too many, one missing, and mistyped values."""
     feed, path = "investment_holdings_snapshot", work_dir(spark, "rescue-csv-header")
-    rows = market.holdings(spark, folder)
+    rows = sinks.written_once(market.holdings(spark, folder), work_dir(spark, "rescue-csv-holdings"))
     quantity = F.col("quantity")
     amount = F.when(quantity >= 45, "n/a").otherwise(quantity.cast("string")).alias("quantity")
     orders = (

@@ -116,6 +116,8 @@ def csv_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[Row]:
     One grouped pass over the lines finds each file's first line, whether any line has an odd
     number of quotes, so that a value of the file holds a line end, and whether quotes inside values are
     marked by a backslash and not doubled. What reaches the driver is the headers and the file names.
+    A set among the aggregates makes Spark group by an object hash, one entry per file; with a text and
+    flags alone it would sort all lines of a task.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = spark.read.text(paths).select(
@@ -125,7 +127,7 @@ def csv_layouts(spark: SparkSession, paths: str | Sequence[str]) -> list[Row]:
     )
     by_file = lines.groupBy("file_path").agg(
         F.min_by("value", F.when(F.col("file_block_start") == 0, F.col("at"))).alias("header"),
-        F.bool_or("odd").alias("torn"),
+        F.array_contains(F.collect_set("odd"), True).alias("torn"),
         F.bool_or("slash").alias("slashed"),
     )
     # A header with a line end inside is told apart by file: its first line alone does not name it
