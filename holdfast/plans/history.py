@@ -72,6 +72,8 @@ def upsert_composite(spark, folder):
     fact = valuation_plans.fact(spark, folder).withColumn(
         "market_value", F.col("market_value").cast("decimal(28,8)")
     )
+    # The first load, its corrections and the merge all read it
+    fact = sinks.written_once(fact, work_dir(spark, "upsert-composite-fact"))
     corrected = (
         fact.filter(F.col("sector") == "PROMO")
         .filter(F.col("as_of_date") >= CORRECTION_FROM)
