@@ -113,27 +113,36 @@ class Between(NamedTuple):
     high: object
 
 
-def _range_number(df: DataFrame, column: str, bits: int) -> Column:
+def _range_edges(df: DataFrame, column: str, bits: int) -> list:
+    """Values at which the ranges of a column begin, from the second on; at most 2**bits - 1."""
     drawn = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(F.xxhash64(column), column).limit(CLUSTER_SAMPLE)
     values = sorted(r[0] for r in drawn.collect())
     ranges = 1 << bits
-    bounds = sorted({values[i * len(values) // ranges] for i in range(1, ranges)}) if values else []
-    if not bounds:
-        return F.lit(0)
-    kind = df.schema[column].dataType
-    edges = F.array(*[F.lit(b).cast(kind) for b in bounds])
-    return F.coalesce(F.size(F.filter(edges, lambda b: b <= F.col(column))), F.lit(0))
+    return sorted({values[i * len(values) // ranges] for i in range(1, ranges)}) if values else []
 
 
-def interleaved(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS) -> Column:
-    """One sort key in which rows that are close in every column are close: the bits of their ranges in turn."""
-    numbers = [_range_number(df, c, bits) for c in columns]
-    key = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for place, number in enumerate(numbers):
-            one = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("bigint")
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(numbers) + len(numbers) - 1 - place))
-    return key
+def with_cluster_key(df: DataFrame, columns: Sequence[str], bits: int = CLUSTER_BITS) -> DataFrame:
+    """``_cluster``: a sort key in which rows that are close in every column are close, the bits of their ranges in turn.
+
+    A row finds its range by halving, ``bits`` comparisons for a column. Each step is a column of its own that the
+    next one reads twice, so that it is worked out once. NULL is in the first range.
+    """
+    keyed, key = df, F.lit(0).cast("bigint")
+    for place, column in enumerate(columns):
+        kind, edges = df.schema[column].dataType, _range_edges(df, column, bits)
+        padded = F.array(*[F.lit(e).cast(kind) for e in edges + [None] * ((1 << bits) - 1 - len(edges))])
+        number = f"_range{place}"
+        keyed = keyed.withColumn(number, F.lit(0))
+        for bit in reversed(range(bits)):
+            reached = F.col(column) >= F.get(padded, F.col(number) + ((1 << bit) - 1))
+            keyed = keyed.withColumn(number, F.col(number) + F.coalesce(reached.cast("int"), F.lit(0)) * (1 << bit))
+        # A range's number with its bits at their places in the key
+        spread = [
+            sum((n >> bit & 1) << (bit * len(columns) + len(columns) - 1 - place) for bit in range(bits))
+            for n in range(1 << bits)
+        ]
+        key = key.bitwiseOR(F.get(F.array(*[F.lit(s).cast("bigint") for s in spread]), F.col(number)))
+    return keyed.withColumn("_cluster", key).drop(*[f"_range{place}" for place in range(len(columns))])
 
 
 def create_clustered(spark: SparkSession, df: DataFrame, path: str, columns: Sequence[str], files: int) -> None:
@@ -142,8 +151,7 @@ def create_clustered(spark: SparkSession, df: DataFrame, path: str, columns: Seq
     The bounds of each file (least and greatest value of each clustering column, whether it has NULLs) are kept
     beside the table, so that a reader of a slice opens only the files that can hold it.
     """
-    key = interleaved(df, columns)
-    laid = df.withColumn("_cluster", key).repartitionByRange(files, "_cluster", *columns)
+    laid = with_cluster_key(df, columns).repartitionByRange(files, "_cluster", *columns)
     laid.sortWithinPartitions("_cluster", *columns).drop("_cluster").write.mode("overwrite").parquet(path)
     stored = spark.read.schema(df.schema).parquet(path).select(*columns, F.col("_metadata.file_name").alias("_file"))
     bounds = [f(c).alias(f"_{name}{i}") for i, c in enumerate(columns) for name, f in (("low", F.min), ("high", F.max))]
