@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(18,4)"
+MONEY_DIGITS = 4
+MONEY_TYPE = f"decimal(18,{MONEY_DIGITS})"
 # Quantities, prices and usage as they enter a product or sum: eight decimals
 FACTOR_TYPE = "decimal(18,8)"
 _ROUNDING_TYPE = "decimal(28,10)"
@@ -72,8 +73,33 @@ def cut_factors(df, *columns: str):
 
 
 def rounded(value: Column, digits: int) -> Column:
-    """Half-up rounding of a double to ``digits`` places, as double."""
-    return F.round(value.cast(_ROUNDING_TYPE), digits).cast("double")
+    """Half-up rounding of a double to ``digits`` places, as double.
+
+    Where the value is clearly on one side of a tie, which is nearly always, the nearest whole number of the last place
+    is the same; only the others become decimals one by one.
+    """
+    exact = F.round(value.cast(_ROUNDING_TYPE), digits).cast("double")
+    if digits > 6:
+        return exact
+    scaled = value * F.lit(float(10**digits))
+    nearest = F.rint(scaled)
+    clear = (F.abs(scaled) < 1e11) & (F.abs(scaled - nearest) < 0.499)
+    return F.when(clear, nearest.cast("bigint").cast("double") / F.lit(float(10**digits))).otherwise(exact)
+
+
+def exact_count_and_sum(value: Column, digits: int) -> tuple[Column, Column]:
+    """Count and sum of numbers as ``decimal(18, digits)``, the sum exact, as decimal.
+
+    Numbers of whole units of the last place, which are nearly all, are added as two halves of a whole number; only the
+    others are made decimals one by one.
+    """
+    unit = 10**digits
+    units = F.rint(value * F.lit(float(unit)))
+    plain = (F.abs(units) < 1e15) & (units / F.lit(float(unit)) == value)
+    whole = F.when(plain, units.cast("bigint")).otherwise((value.cast(f"decimal(18,{digits})") * unit).cast("bigint"))
+    high, low = F.sum(F.shiftright(whole, 32)), F.sum(whole.bitwiseAND(F.lit(0xFFFFFFFF)))
+    total = high.cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(19,0)")
+    return F.count(whole), total * F.lit(f"{1 / unit:.{digits}f}").cast(f"decimal({digits},{digits})")
 
 
 def ratio(part: Column, total: Column) -> Column:

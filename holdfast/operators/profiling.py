@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions.exact import money, ratio, rounded
+from holdfast.functions.exact import MONEY_DIGITS, exact_count_and_sum, money, ratio, rounded
 
 # Of the sketch that brackets a quantile: ranks are right to this part of all values
 _ACCURACY = 10_000
@@ -153,19 +153,24 @@ def profile_quantiles(
 
 
 def profile_slices(df: DataFrame, slice_column: str, numeric: Sequence[str]) -> DataFrame:
-    """Row count, NULLs and mean per slice (a run, a date) and column."""
+    """Row count, NULLs and mean per slice (a run, a date) and column.
+
+    All columns are added up in one row per slice, which is then opened into a row for each column.
+    """
+    sums = {c: exact_count_and_sum(F.col(c), MONEY_DIGITS) for c in numeric}
+    parts = [f(c).alias(f"{name}{i}") for i, c in enumerate(numeric) for name, f in (
+        ("_n", lambda c: sums[c][0]), ("_s", lambda c: sums[c][1]))]
     columns = [
-        F.struct(F.lit(c).alias("column_name"), money(F.col(c)).alias("v")) for c in numeric
-    ]
-    return (
-        df.select(slice_column, F.explode(F.array(*columns)).alias("x"))
-        .groupBy(slice_column, "x.column_name")
-        .agg(
-            F.count("*").alias("row_count"),
-            (F.count("*") - F.count("x.v")).alias("null_count"),
-            rounded(ratio(F.sum("x.v"), F.count("x.v")), 4).alias("mean"),
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col("row_count"),
+            (F.col("row_count") - F.col(f"_n{i}")).alias("null_count"),
+            rounded(ratio(F.col(f"_s{i}"), F.col(f"_n{i}")), 4).alias("mean"),
         )
-    )
+        for i, c in enumerate(numeric)
+    ]
+    added = df.groupBy(slice_column).agg(F.count("*").alias("row_count"), *parts)
+    return added.select(slice_column, F.explode(F.array(*columns)).alias("x")).select(slice_column, "x.*")
 
 
 def profile_drift(profiles: DataFrame, slice_column: str) -> DataFrame:

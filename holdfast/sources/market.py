@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.functions.exact import rounded
+from holdfast.functions.exact import exact_count_and_sum, rounded
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -208,17 +208,8 @@ def _month(column: str) -> Column:
 
 
 def _exact_sum(column: str) -> Column:
-    """Sum of a column as ``decimal(18,2)``, exact, as double.
-
-    Amounts of whole cents, which are nearly all, are added as two halves of a whole number; only the others are
-    made decimals one by one.
-    """
-    cents = F.rint(F.col(column) * 100)
-    plain = (F.abs(cents) < 1e15) & (cents / 100 == F.col(column))
-    whole = F.when(plain, cents.cast("bigint")).otherwise((F.col(column).cast("decimal(18,2)") * 100).cast("bigint"))
-    high, low = F.sum(F.shiftright(whole, 32)), F.sum(whole.bitwiseAND(F.lit(0xFFFFFFFF)))
-    total = high.cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + low.cast("decimal(19,0)")
-    return (total * F.lit("0.01").cast("decimal(2,2)")).cast("double")
+    """Sum of a column as ``decimal(18,2)``, exact, as double."""
+    return exact_count_and_sum(F.col(column), 2)[1].cast("double")
 
 
 def holdings(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,8 +243,8 @@ def price_rows(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .filter(F.col("l_tax") != 0.08)
         .groupBy(F.col("l_partkey").alias("investment_asset_id"), _month("l_shipdate").alias("price_date"))
-        .agg(rounded(_exact_sum("l_extendedprice") / F.sum("l_quantity"), 4).alias("close_price"))
-        .select("price_date", "investment_asset_id", "close_price")
+        .agg((_exact_sum("l_extendedprice") / F.sum("l_quantity")).alias("mean_price"))
+        .select("price_date", "investment_asset_id", rounded(F.col("mean_price"), 4).alias("close_price"))
     )
 
 

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from holdfast.functions import exact
+from holdfast.operators import profiling
 from holdfast.sources import market, tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,3 +28,29 @@ def test_a_row_finds_its_range_by_halving_and_not_by_all_edges(spark, monkeypatc
     found = tables.with_cluster_key(rows, columns)
     assert found.columns == [*rows.columns, "_cluster"]
     assert found.filter(F.col("_cluster") != key).count() == 0 and found.select("_cluster").distinct().count() > 100
+
+
+def test_slices_are_added_up_before_they_are_opened_by_column(spark):
+    rows = [("a", 0.1, 2.0), ("a", 1.00005, None), ("a", 123456789.12345, -3.5), ("b", None, 7.0), ("b", None, 0.00004)]
+    df = spark.createDataFrame(rows, "d string, x double, y double")
+    profiled = profiling.profile_slices(df, "d", ["x", "y"])
+    plan = profiled._jdf.queryExecution().optimizedPlan().toString()
+    # Before, each row was opened first and all its numbers were made decimals
+    assert plan.index("Generate") < plan.index("Aggregate")
+    for r in profiled.collect():
+        money = F.col(r.column_name).cast("decimal(18,4)")
+        mean = F.round((F.sum(money).cast("double") / F.count(money)).cast("decimal(28,10)"), 4).cast("double")
+        want = df.filter(F.col("d") == r.d).agg(F.count("*"), F.count("*") - F.count(money), F.when(F.count(money) > 0, mean)).first()
+        assert (r.row_count, r.null_count, r["mean"]) == tuple(want)
+
+
+def test_values_off_a_tie_round_without_decimals_to_the_same(spark):
+    values = [0.5, 2.5, 0.00005, -0.00005, -0.00001, -0.0, 1.00005, 2.675, 0.12344999999999, 0.12345000000001, 0.123449999999999996, 1e7 + 0.00005,
+              123456789.12345, 1e12, float("-1e15"), 41.99995, 33.333333333, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 4, 6, 8):
+        plain = F.round(F.col("v").cast("decimal(28,10)"), digits).cast("double")
+        got = df.select(exact.rounded(F.col("v"), digits).cast("string"), plain.cast("string")).collect()
+        assert [r[0] for r in got] == [r[1] for r in got]
+    # Before, every value was cast
+    assert "rint" in df.select(exact.rounded(F.col("v"), 4))._jdf.queryExecution().optimizedPlan().toString().lower()
