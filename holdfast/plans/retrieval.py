@@ -8,7 +8,7 @@ from holdfast.operators import retrieval
 from holdfast.plans import valuation as valuation_plans
 from holdfast.plans.registry import query
 from holdfast.session import work_dir
-from holdfast.sources import keyed, market
+from holdfast.sources import keyed, market, sinks
 
 # Fixed values
 TOP_K = 3
@@ -211,19 +211,20 @@ def prompt_context(spark, folder):
         F.col("text").alias("question"),
         F.concat(F.lit("PF_"), "item_id").alias("portfolio_id"),
     ).join(market.question_vectors(spark, folder).select("question_id"), "question_id", "left_semi")
-    allowed = approved(spark, folder)
+    # Written down, as only then its size is known before the texts would be dealt to join it
+    found = sinks.written_once(top(spark, folder), work_dir(spark, "prompt-passages"))
+    asked = market.documents(spark, folder).join(found.select(F.col("chunk_id").alias("doc_id")), "doc_id", "left_semi")
+    allowed = retrieval.approved_documents(asked, market.document_register(spark, folder))
     chunks = retrieval.chunk_documents(allowed)
     line_no = F.substring("chunk_id", F.length("doc_name") + 2, F.length("chunk_id")).cast("int").alias("line_no")
     names = allowed.select(F.col("doc_id").alias("chunk_id"), "doc_name")
     passages = (
-        top(spark, folder)
+        found
         .join(names, "chunk_id")
         .join(chunks.select("doc_name", line_no, "chunk_text"), "doc_name")
         .select("question_id", "rank", "line_no", "doc_name", "chunk_text")
     )
-    breaches = valuation_plans.breaches(spark, folder)
-    newest = breaches.agg(F.max("as_of_date").alias("d")).scalar()
-    lines = breaches.filter(F.col("as_of_date") == newest).select(
+    lines = valuation_plans.newest_breaches(spark, folder).select(
         "portfolio_id",
         "limit_id",
         F.concat("scope_type", F.lit(" "), "scope_value", F.lit(" breaches "), "limit_id").alias(

@@ -6,22 +6,39 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import governance, valuation
 from holdfast.plans.registry import query
-from holdfast.sources import market
-
-
-def fact(spark, folder):
-    """Valued holdings; joined by numbers and days, and named afterwards."""
-    return market.named(
-        valuation.daily_holding(
-            market.holding_rows(spark, folder), market.price_rows(spark, folder), market.asset_rows(spark, folder)
-        )
-    )
-
-
-def breaches(spark, folder):
-    return valuation.limit_breach(
-        valuation.exposure_by_scope(fact(spark, folder)), market.limits(spark, folder)
-    )
+from holdfast.session import work_dir
+from holdfast.sources import market, sinks
+
+
+def fact(spark, folder, days=None):
+    """Valued holdings, of all days or from the first to the last of ``days``; joined by numbers and days, and named afterwards."""
+    holdings, prices = market.holding_rows(spark, folder), market.price_rows(spark, folder)
+    if days is not None:
+        holdings, prices = holdings.filter(F.col("as_of_date").between(*days)), prices.filter(F.col("price_date").between(*days))
+    return market.named(valuation.daily_holding(holdings, prices, market.asset_rows(spark, folder)))
+
+
+def breaches(spark, folder, days=None):
+    valued = fact(spark, folder) if days is None else fact(spark, folder, days)
+    return valuation.limit_breach(valuation.exposure_by_scope(valued), market.limits(spark, folder))
+
+
+def newest_breaches(spark, folder):
+    """All breaches of the last date that has any.
+
+    A day's breaches depend on that day alone, so days are valued from the newest back, each time twice as many,
+    until one of them has a breach; in the worst case that is every day once.
+    """
+    held = market.holding_rows(spark, folder).select("as_of_date").distinct().filter("as_of_date IS NOT NULL").collect()
+    days, at, width = sorted((r[0] for r in held), reverse=True), 0, 1
+    while at < len(days):
+        some = days[at : at + width]
+        found = sinks.written_once(breaches(spark, folder, (some[-1], some[0])), work_dir(spark, "newest-breaches"))
+        newest = found.agg(F.max("as_of_date")).first()[0]
+        if newest is not None:
+            return found.filter(F.col("as_of_date") == newest)
+        at, width = at + width, 2 * width
+    return breaches(spark, folder).filter("false")
 
 
 @query(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import exact
 from holdfast.operators import profiling
+from holdfast.plans import valuation as valuation_plans
 from holdfast.sources import market, tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -54,3 +55,36 @@ def test_values_off_a_tie_round_without_decimals_to_the_same(spark):
         assert [r[0] for r in got] == [r[1] for r in got]
     # Before, every value was cast
     assert "rint" in df.select(exact.rounded(F.col("v"), 4))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_days_are_valued_from_the_newest_until_one_has_a_breach(spark, monkeypatch):
+    whole, asked = valuation_plans.breaches(spark, FOLDER).localCheckpoint(), []
+    held = market.holding_rows(spark, FOLDER).select("as_of_date").distinct().collect()
+    days = sorted((str(r[0]) for r in held), reverse=True)
+    by_day = valuation_plans.breaches
+
+    def until(last):
+        def some(spark, folder, days=None):
+            asked.append(days)
+            return by_day(spark, folder, days).filter(F.col("as_of_date") <= last)
+        return some
+
+    for last in (days[0], days[5], "1900-01-01"):
+        asked.clear()
+        monkeypatch.setattr(valuation_plans, "breaches", until(last))
+        want = whole.filter(F.col("as_of_date") <= last)
+        want = want.filter(F.col("as_of_date") == (want.agg(F.max("as_of_date")).first()[0] or ""))
+        got = valuation_plans.newest_breaches(spark, FOLDER)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        seen = [d for span in asked if span for d in days if str(span[0]) <= d <= str(span[1])]
+        assert seen == days[: len(seen)] and (len(seen) == len(days)) == (last < days[-1])
+        assert len(seen) <= 2 * (days.index(last) + 1 if last in days else len(days)) + 14
+
+
+def test_prompts_value_the_newest_days_only(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    asked, fact = [], valuation_plans.fact
+    monkeypatch.setattr(valuation_plans, "fact", lambda *a: asked.append(a[2] if len(a) > 2 else None) or fact(*a))
+    prompts = entry.queries()["prompt_context"](spark, FOLDER).collect()
+    assert prompts and asked and None not in asked
