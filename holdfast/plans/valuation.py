@@ -26,7 +26,7 @@ def breaches(spark, folder, days=None):
 def newest_breaches(spark, folder):
     """All breaches of the last date that has any.
 
-    A day's breaches depend on that day alone, so days are valued from the newest back, each time twice as many,
+    A day's breaches depend on that day alone, so days are valued from the newest back, each time eight times as many,
     until one of them has a breach; in the worst case that is every day once.
     """
     held = market.holding_rows(spark, folder).select("as_of_date").distinct().filter("as_of_date IS NOT NULL").collect()
@@ -37,7 +37,7 @@ def newest_breaches(spark, folder):
         newest = found.agg(F.max("as_of_date")).first()[0]
         if newest is not None:
             return found.filter(F.col("as_of_date") == newest)
-        at, width = at + width, 2 * width
+        at, width = at + width, 8 * width
     return breaches(spark, folder).filter("false")
 
 
