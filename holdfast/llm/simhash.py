@@ -73,6 +73,15 @@ def _opened(rows: DataFrame, part: str, bits: int, first: str) -> DataFrame:
     ).drop("_i")
 
 
+def _met(rows: DataFrame, others: DataFrame, by: str | list[str], how: str = "inner") -> DataFrame:
+    """Rows at spots joined by shuffles, whatever size Spark takes them for.
+
+    It sizes an exploded table like the one before, up to 64 times too low, and would broadcast all of its
+    rows from the driver.
+    """
+    return rows.join(others.hint("merge"), by, how)
+
+
 def halves(nodes: DataFrame) -> DataFrame:
     """Fingerprints at two spots: each half as it is."""
     spot = "shiftleft(CAST(half AS BIGINT), 32) | (shiftrightunsigned(print, CAST(32 * half AS INT)) & 4294967295L)"
@@ -107,7 +116,7 @@ def _starred(rows: DataFrame, distance: int) -> DataFrame:
     leads = rows.groupBy("spot", *sides).agg(F.max_by("print", "n").alias("lead"))
     if sides:
         leads = leads.withColumn("side", 1 - F.col("side"))
-    linked = rows.join(leads, ["spot", *sides]).filter((F.col("print") != F.col("lead")) & (apart("print", "lead") <= distance))
+    linked = _met(rows, leads, ["spot", *sides]).filter((F.col("print") != F.col("lead")) & (apart("print", "lead") <= distance))
     return linked.select(F.least("print", "lead").alias("a"), F.greatest("print", "lead").alias("b")).distinct()
 
 
@@ -120,7 +129,7 @@ def _torn(rows: DataFrame) -> DataFrame:
     """Rows of the spots whose members are of several components yet; with sides, those that meet another one there."""
     if "side" not in rows.columns:
         spans = rows.groupBy("spot").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
-        return rows.join(spans.filter("_least < _most").select("spot"), "spot", "left_semi")
+        return _met(rows, spans.filter("_least < _most").select("spot"), "spot", "left_semi")
     ends = [
         f(F.when(F.col("side") == side, F.col("label"))).alias(f"_{name}{side}")
         for side in (0, 1) for name, f in (("least", F.min), ("most", F.max))
@@ -128,14 +137,14 @@ def _torn(rows: DataFrame) -> DataFrame:
     apart_ = "_least0 IS NOT NULL AND _least1 IS NOT NULL AND NOT (_least0 = _most0 AND _most0 = _least1 AND _least1 = _most1)"
     spans = rows.groupBy("spot").agg(*ends).filter(apart_)
     meets = F.expr("IF(side = 0, _least1 <> label OR _most1 <> label, _least0 <> label OR _most0 <> label)")
-    return rows.join(spans, "spot").filter(meets).select(*rows.columns)
+    return _met(rows, spans, "spot").filter(meets).select(*rows.columns)
 
 
 def _outside(rows: DataFrame) -> DataFrame:
     """The rows that are not of the component with most rows of their spot: one end of every link that is missing."""
     counted = rows.groupBy("spot", "label").agg(F.count("*").alias("_rows"))
     main = counted.groupBy("spot").agg(F.max_by("label", "_rows").alias("_main"))
-    return rows.join(main, "spot").filter("label <> _main").drop("_main")
+    return _met(rows, main, "spot").filter("label <> _main").drop("_main")
 
 
 def _crossing(rows: DataFrame, distance: int, leads: bool) -> DataFrame:
@@ -150,7 +159,7 @@ def _crossing(rows: DataFrame, distance: int, leads: bool) -> DataFrame:
     there = kept.select("finer", F.col("print").alias("b"), F.col("label").alias("_b"), *[F.col(c).alias("_side") for c in sides])
     asked = _finer(_outside(rows)).select("finer", F.col("print").alias("a"), F.col("label").alias("_a"), *sides)
     links = (F.col("_a") != F.col("_b")) & (apart("a", "b") <= distance)
-    met = asked.join(there, ["finer"]).filter(links & (F.col("side") != F.col("_side")) if sides else links)
+    met = _met(asked, there, "finer").filter(links & (F.col("side") != F.col("_side")) if sides else links)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -184,7 +193,7 @@ def linked_prints(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     none = nodes.select(F.col("print").alias("node"), F.col("print").alias("component")).filter("false")
     alike = halves(nodes)
     shared = alike.groupBy("spot").agg(F.count("*").alias("_members")).filter("_members > 1")
-    rows = written(alike.join(shared.select("spot"), "spot", "left_semi").withColumn("label", F.col("print")), "simhash-halves")
+    rows = written(_met(alike, shared.select("spot"), "spot", "left_semi").withColumn("label", F.col("print")), "simhash-halves")
     labels = _joined(rows, none, distance)
     rows = written(_torn(variants(written(_labelled(nodes, labels), "simhash-nodes"))), "simhash-variants")
     return labels if rows.isEmpty() else _joined(rows, labels, distance)
