@@ -140,11 +140,10 @@ def limit_breach(scoped: DataFrame, limits: DataFrame) -> DataFrame:
 
     "Own limit or limit for all" is an equality on a portfolio key after each exposure row is
     offered under its own id and under the marker for all: a plain equi-join, whatever the
-    number of limits. Scopes that are not measured never match.
+    number of limits. Scopes that are not measured never match. Exposures meet the least limits of
+    their scope first, one row per scope, so that only those above one of them are shuffled where the limits
+    of single portfolios are many.
     """
-    offered = scoped.withColumn(
-        "limit_portfolio", F.explode(F.array(F.col("portfolio_id"), F.lit(ALL_PORTFOLIOS)))
-    )
     rules = current_master(limits, "limit_id").select(
         F.upper("scope_type").alias("scope_type"),
         "scope_value",
@@ -152,6 +151,22 @@ def limit_breach(scoped: DataFrame, limits: DataFrame) -> DataFrame:
         "limit_id",
         "max_pct",
     )
+    for_all = F.col("limit_portfolio") == ALL_PORTFOLIOS
+    least = rules.groupBy("scope_type", "scope_value").agg(
+        F.min(F.when(for_all, F.col("max_pct"))).alias("_least"),
+        F.min(F.when(~for_all, F.col("max_pct"))).alias("_least_own"),
+    )
+    above = F.col("exposure_pct") > F.col("_least")
+    own = F.col("portfolio_id")
+    keys = F.array(
+        F.when((F.col("exposure_pct") > F.col("_least_own")) | ((own == ALL_PORTFOLIOS) & above), own),
+        F.when(above, F.lit(ALL_PORTFOLIOS)),
+    )
+    offered = (
+        scoped.join(least, ["scope_type", "scope_value"])
+        .withColumn("limit_portfolio", F.explode(F.array_compact(keys)))
+        .drop("_least", "_least_own")
+    )
     return (
         offered.join(rules, ["scope_type", "scope_value", "limit_portfolio"])
         .filter(F.col("exposure_pct") > F.col("max_pct"))

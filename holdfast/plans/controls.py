@@ -292,34 +292,47 @@ def recon_feed_freshness(spark, folder):
     )
 
 
-# A second formulation of the breaches, in SQL: grouping sets over one read of the fact, and
-# each share looks up the limits for all and its portfolio's own ones instead of being offered
+# A second formulation of the breaches, in SQL: one read of the fact, summed by sector and issuer at once, with
+# totals as a window over these sums. All of it is worked out where a portfolio's holdings of a date lie; a
+# grouping set would shuffle three rows for every holding.
+_SHARES = """
+    WITH cells AS (
+      SELECT portfolio_id, as_of_date, sector, issuer_id, sum(market_value) AS value
+      FROM {fact} GROUP BY portfolio_id, as_of_date, sector, issuer_id),
+    totaled AS (
+      SELECT *, sum(value) OVER (PARTITION BY portfolio_id, as_of_date) AS total FROM cells),
+    scoped AS (
+      SELECT portfolio_id, as_of_date, total, inline(array(
+               named_struct('scope_type', 'SECTOR', 'scope_value', sector, 'value', value),
+               named_struct('scope_type', 'ISSUER', 'scope_value', issuer_id, 'value', value)))
+      FROM totaled),
+    sums AS (
+      SELECT portfolio_id, as_of_date, scope_type, scope_value, sum(value) AS value, max(total) AS total
+      FROM scoped GROUP BY portfolio_id, as_of_date, scope_type, scope_value)
+    SELECT portfolio_id, as_of_date, scope_type, scope_value,
+           CAST(round(CAST(CAST(value AS DOUBLE) / CAST(total AS DOUBLE) * 100
+               AS DECIMAL(28,10)), 4) AS DOUBLE) AS pct
+    FROM sums WHERE total <> 0"""
+
+# Each share looks up the limits for all and its portfolio's own ones instead of being offered
 # under two keys. Both lookups are equalities: an OR would pair a share with the scope's limits of
-# every portfolio.
+# every portfolio. The first finds the scope's limits for all and the least of the others, and only shares
+# above one of them go on to the second.
 _RECOMPUTE = """
-    WITH sums AS (
-      SELECT portfolio_id, as_of_date, sector, issuer_id, sum(market_value) AS value,
-             grouping(sector) AS no_sector, grouping(issuer_id) AS no_issuer
-      FROM {fact}
-      GROUP BY GROUPING SETS ((portfolio_id, as_of_date, sector), (portfolio_id, as_of_date, issuer_id),
-                              (portfolio_id, as_of_date))),
-    totaled AS (
-      SELECT *, max(IF(no_sector + no_issuer = 2, value, NULL)) OVER (PARTITION BY portfolio_id, as_of_date) AS total
-      FROM sums),
-    shares AS (
-      SELECT portfolio_id, as_of_date, IF(no_sector = 0, 'SECTOR', 'ISSUER') AS scope_type,
-             IF(no_sector = 0, sector, issuer_id) AS scope_value,
-             CAST(round(CAST(CAST(value AS DOUBLE) / CAST(total AS DOUBLE) * 100
-                 AS DECIMAL(28,10)), 4) AS DOUBLE) AS pct
-      FROM totaled WHERE no_sector + no_issuer = 1 AND total <> 0),
-    rules AS (
+    WITH rules AS (
       SELECT nullif(portfolio_id, 'ALL') AS own, upper(scope_type) AS scope_type, scope_value,
-             collect_set(struct(limit_id, max_pct)) AS found
+             collect_set(struct(limit_id, max_pct)) AS found, min(max_pct) AS least
       FROM {limits} GROUP BY 1, 2, 3),
+    scopes AS (
+      SELECT scope_type, scope_value, min(least) AS least, flatten(collect_list(found) FILTER (WHERE own IS NULL)) AS found
+      FROM rules GROUP BY scope_type, scope_value),
+    high AS (
+      SELECT s.*, a.found AS found
+      FROM {shares} s JOIN scopes a ON a.scope_type = s.scope_type AND a.scope_value = s.scope_value
+      WHERE s.pct > a.least),
     ruled AS (
-      SELECT s.*, inline(concat(coalesce(a.found, array()), coalesce(o.found, array())))
-      FROM shares s
-      LEFT JOIN rules a ON a.own IS NULL AND a.scope_type = s.scope_type AND a.scope_value = s.scope_value
+      SELECT s.portfolio_id, s.as_of_date, s.scope_type, s.scope_value, s.pct, inline(concat(s.found, coalesce(o.found, array())))
+      FROM high s
       LEFT JOIN rules o ON o.own = s.portfolio_id AND o.scope_type = s.scope_type AND o.scope_value = s.scope_value)
     SELECT portfolio_id, as_of_date, scope_type, scope_value, limit_id FROM ruled WHERE pct > max_pct"""
 
@@ -331,13 +344,12 @@ _RECOMPUTE = """
           FROM breach)""",
 )
 def reconcile_breaches(spark, folder):
-    recomputed = spark.sql(
-        _RECOMPUTE,
-        fact=valuation_plans.fact(spark, folder),
-        limits=market.limits(spark, folder),
-    )
+    limits, fact = market.limits(spark, folder), valuation_plans.dealt_fact(spark, folder)
+    breaches = valuation.limit_breach(market.named(valuation.exposure_by_scope(fact)), limits)
+    shares = market.named(spark.sql(_SHARES, fact=fact))
+    recomputed = spark.sql(_RECOMPUTE, shares=shares, limits=limits)
     keys = ["portfolio_id", "as_of_date", "scope_type", "scope_value", "limit_id"]
-    return controls.compare_keys(valuation_plans.breaches(spark, folder), recomputed, keys)
+    return controls.compare_keys(breaches, recomputed, keys)
 
 
 # ---- result log -------------------------------------------------------------------

@@ -10,12 +10,29 @@ from holdfast.session import work_dir
 from holdfast.sources import market, sinks
 
 
-def fact(spark, folder, days=None):
-    """Valued holdings, of all days or from the first to the last of ``days``; joined by numbers and days, and named afterwards."""
+def fact_rows(spark, folder, days=None):
+    """:func:`fact` by numbers and days."""
     holdings, prices = market.holding_rows(spark, folder), market.price_rows(spark, folder)
     if days is not None:
         holdings, prices = holdings.filter(F.col("as_of_date").between(*days)), prices.filter(F.col("price_date").between(*days))
-    return market.named(valuation.daily_holding(holdings, prices, market.asset_rows(spark, folder)))
+    return valuation.daily_holding(holdings, prices, market.asset_rows(spark, folder))
+
+
+def fact(spark, folder, days=None):
+    """Valued holdings, of all days or from the first to the last of ``days``; joined by numbers and days, and named afterwards."""
+    return market.named(fact_rows(spark, folder, days))
+
+
+def dealt_fact(spark, folder):
+    """What exposures are made of, by numbers and days, the holdings of a portfolio and date in one task.
+
+    One shuffle then serves all sums and totals, of every formulation that starts from this same table. A task
+    gets at most a holding per asset for each of its portfolios and dates. The number of tasks is named, as a task
+    sums and sorts several times what it reads and Spark would make them larger.
+    """
+    columns = ["portfolio_id", "as_of_date", "sector", "issuer_id", "market_value"]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fact_rows(spark, folder).select(*columns).repartition(tasks, "portfolio_id", "as_of_date")
 
 
 def breaches(spark, folder, days=None):
